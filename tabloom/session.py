@@ -18,6 +18,7 @@ def build_session(master: str = "local[8]", app: str = "tabloom", **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if master.startswith("local"):
         settings["spark.sql.shuffle.partitions"] = "8"
