@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from tabloom.catalog import relational  # noqa: F401
+from tabloom.catalog import relational, scalars, series, storage  # noqa: F401
 from tabloom.catalog.registry import ORACLES, QUERIES  # noqa: F401

@@ -88,7 +88,7 @@ def human_size(c: str | Column) -> Column:
     size = col(c).cast("double")
     out = None
     for i in reversed(range(len(BYTE_UNITS))):
-        text = F.format_string(f"%.2f{BYTE_UNITS[i]}", size / float(1024**i))
+        text = F.format_string(f"%.2f{BYTE_UNITS[i]}", F.bround(size / float(1024**i), 2))
         fits = F.abs(size) >= float(1024**i)
         out = F.when(fits, text) if out is None else out.when(fits, text)
     return out.when(size.isNotNull(), F.format_string("%.2fB", size))

@@ -10,27 +10,41 @@ from tabloom.functions.scalar import basename, url_join
 
 PAGE_SCHEMA = ("id long, ns int, title string, redirect struct<_title:string>, "
                "revision struct<id:long,text:string>, _corrupt_record string")
+PAGE_START = "<page>"
+
+
+def parse_pages(records: DataFrame) -> DataFrame:
+    """Page records (value, file), cut at the page start tag, to id, ns, title, redirect, text, file, damaged.
+
+    The page id is the one outside the revision.
+    """
+    end = F.instr("value", "</page>")
+    xml = F.concat(F.lit(PAGE_START), F.substring("value", F.lit(1), end - 1), F.lit("</page>"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    pages = records.filter(end > 0).select("file", F.from_xml(xml, PAGE_SCHEMA, options).alias("p"))
+    return pages.select(
+        "p.id",
+        "p.ns",
+        "p.title",
+        F.nullif("p.redirect._title", F.lit("")).alias("redirect"),
+        F.col("p.revision.text").alias("text"),
+        "file",
+        F.col("p._corrupt_record").isNotNull().alias("damaged"),
+    )
 
 
 def read_wiki_dump(spark: SparkSession, path: str | Sequence[str], first_only: bool = False) -> DataFrame:
-    """Pages of ``.xml`` or ``.xml.bz2`` dumps: id, ns, title, redirect, text, file, damaged.
+    """Pages of ``.xml`` or ``.xml.bz2`` dumps.
 
-    The page id is the one outside the revision. Files and file splits are read in
-    parallel; a page that does not parse is kept with ``damaged`` set.
+    The file is split at page start tags by the text source, so that even one huge plain or
+    bz2 file is read by many tasks (the XML source takes a whole file per task); each page
+    is then parsed by the built-in XML function. A page that does not parse is kept with
+    ``damaged`` set.
     """
     if first_only:
         path = first_file(spark, path if isinstance(path, str) else path[0])
-    pages = (spark.read.format("xml").option("rowTag", "page").option("mode", "PERMISSIVE")
-             .schema(PAGE_SCHEMA).load(path if isinstance(path, str) else list(path)))
-    return pages.select(
-        "id",
-        "ns",
-        "title",
-        F.nullif("redirect._title", F.lit("")).alias("redirect"),
-        F.col("revision.text").alias("text"),
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_corrupt_record").isNotNull().alias("damaged"),
-    )
+    text = spark.read.option("lineSep", PAGE_START).text(path if isinstance(path, str) else list(path))
+    return parse_pages(text.select("value", F.col("_metadata.file_name").alias("file")))
 
 
 def file_names(spark: SparkSession, path: str) -> DataFrame:
@@ -57,12 +71,10 @@ def latest_complete(links: DataFrame, status: DataFrame, href: str = "href", fal
     number = F.substring_index(href, "/", 1).try_cast("long")
     dumps = links.select(number.alias("dump")).filter("dump is not null").distinct()
     newest = dumps.orderBy(F.desc("dump")).limit(fallback)
-    newest = newest.join(status, "dump", "left")
-    done = F.when(F.col("status") == "done", F.col("dump"))
+    newest = newest.join(status, "dump", "left").withColumn("status", F.coalesce("status", F.lit("missing")))
     top, second = F.max("dump"), F.min("dump")
     top_done = F.max_by("status", "dump") == "done"
-    return newest.agg(F.when(top_done, top).otherwise(second).alias("dump"),
-                      F.max(done).alias("newest_done"))
+    return newest.agg(F.when(top_done, top).otherwise(second).alias("dump"))
 
 
 def extract_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -71,6 +83,12 @@ def extract_links(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     return pages.select(key, F.posexplode(found).alias("pos", "href"))
 
 
+def extract_file_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """Links inside ``<li class="file">`` items only: (key, pos, href)."""
+    items = F.regexp_extract_all(html, F.lit(r'(?s)<li[^>]*class="file"[^>]*>(.*?)</li>'), F.lit(1))
+    return extract_links(pages.select(key, F.array_join(items, "\n").alias("_items")), key, "_items")
+
+
 def select_dump_files(links: DataFrame, base: str | Column, contains: Sequence[str] = ("-current", "xml-"),
                       excludes: Sequence[str] = ("-stub",), href: str = "href") -> DataFrame:
     """Keep links by name, resolve them and add the target file name."""

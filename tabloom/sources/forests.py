@@ -83,7 +83,11 @@ def score_pmml(df: DataFrame, nodes: DataFrame, classes: list[str],
     """Add the votes per class, their shares and the majority class (first class on ties)."""
     votes = tree_votes(nodes, fields)
     scored = df.withColumn("_votes", F.array(*votes))
-    shares = [F.size(F.filter("_votes", lambda v, k=k: v == k)) / F.lit(len(votes)) for k in classes]
+
+    def share(name: str) -> Column:
+        return F.size(F.filter("_votes", lambda v: v == name)) / F.lit(len(votes))
+
+    shares = [share(k) for k in classes]
     scored = scored.withColumns({f"probability_{k}": s for k, s in zip(classes, shares)})
     best = F.array(*[F.col(f"`probability_{k}`") for k in classes])
     pick = F.element_at(F.array(*[F.lit(k) for k in classes]), F.array_position(best, F.array_max(best)).cast("int"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # fixed values: the test functions with their inputs and ranges (expression, ranges of x1..xk)
 FUNCTIONS = {
@@ -21,14 +21,15 @@ FUNCTIONS = {
 }
 
 
-def generate(spark: SparkSession, rows: int, ranges: Sequence[tuple[float, float]], expr: str,
-             seed: int = 42, tries: int = 4) -> DataFrame:
-    """``rows`` uniform inputs with ``y = expr``; inputs without a finite value are redrawn.
+def generate(base: DataFrame, ranges: Sequence[tuple[float, float]], expr: str, seed: int = 42,
+             tries: int = 4) -> DataFrame:
+    """One uniform input tuple with ``y = expr`` per row of ``base`` (a table, or
+    ``spark.range(n)``); inputs without a finite value are redrawn.
 
     Every row holds its own redraws and keeps the first good one, so nothing has to be
     counted or cut afterwards. ``expr`` should use ``try_divide`` for divisions.
     """
-    made, picks = spark.range(rows), []
+    made, picks = base, []
     width = len(ranges)
     for t in range(tries):
         xs = {f"x{i + 1}": F.lit(lo) + F.rand(seed + t * width + i) * (hi - lo)
@@ -37,18 +38,19 @@ def generate(spark: SparkSession, rows: int, ranges: Sequence[tuple[float, float
         made = made.withColumn(f"_t{t}", F.struct(*xs, "y")).drop(*xs, "y")
         y = F.col(f"_t{t}.y")
         picks.append(F.when(y.isNotNull() & ~F.isnan(y), F.col(f"_t{t}")))
-    return made.select(F.coalesce(*picks).alias("r")).filter("r is not null").select("r.*")
+    chosen = made.withColumn("_r", F.coalesce(*picks)).filter("_r is not null")
+    return chosen.select(*base.columns, "_r.*")
 
 
-def generate_mixture(spark: SparkSession, centers: Sequence[Sequence[float]],
-                     sigmas: Sequence[Sequence[float]], n: int, seed: int = 42) -> DataFrame:
-    """``n`` Gaussian points per centre: x1..xk and the centre number."""
+def generate_mixture(base: DataFrame, centers: Sequence[Sequence[float]],
+                     sigmas: Sequence[Sequence[float]], seed: int = 42) -> DataFrame:
+    """For every row of ``base`` one Gaussian point per centre: x1..xk and the centre number."""
     out = None
     for k, (center, sigma) in enumerate(zip(centers, sigmas)):
         cols: list[Column] = [
             (F.lit(float(m)) + F.randn(seed + 100 * k + i) * float(s)).alias(f"x{i + 1}")
             for i, (m, s) in enumerate(zip(center, sigma))
         ]
-        part = spark.range(n).select(*cols, F.lit(k).alias("center"))
+        part = base.select(*base.columns, *cols, F.lit(k).alias("center"))
         out = part if out is None else out.unionByName(part)
     return out

@@ -10,12 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabloom.functions.scalar import basename
 
 
-def list_images(spark: SparkSession, path: str) -> DataFrame:
-    """Files whose name starts with ``yyyy_MM_dd``: (path, file, date)."""
+def image_dates(files: DataFrame) -> DataFrame:
+    """(path, file, date) of paths whose file name starts with ``yyyy_MM_dd``."""
     name = basename("path")
     date = F.try_to_date(F.substring(name, 1, 10), "yyyy_MM_dd")
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-            .select("path", name.alias("file"), date.alias("date")))
+    return files.select("path", name.alias("file"), date.alias("date"))
+
+
+def list_images(spark: SparkSession, path: str) -> DataFrame:
+    """The same for a folder; only its listing is read."""
+    return image_dates(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path))
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:

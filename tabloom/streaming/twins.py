@@ -8,17 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabloom.operators.wiki import wiki_tables
-from tabloom.sources.dumps import PAGE_SCHEMA
+from tabloom.sources.dumps import PAGE_START, parse_pages
 
 
 def stream_pages(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """New dump files as a stream of pages."""
-    pages = (spark.readStream.format("xml").option("rowTag", "page").options(**options)
-             .schema(PAGE_SCHEMA).load(path))
-    return pages.select(
-        "id", "ns", "title", F.nullif("redirect._title", F.lit("")).alias("redirect"),
-        F.col("revision.text").alias("text"), F.col("_metadata.file_name").alias("file"),
-        F.col("_corrupt_record").isNotNull().alias("damaged"))
+    text = spark.readStream.option("lineSep", PAGE_START).options(**options).text(path)
+    return parse_pages(text.select("value", F.col("_metadata.file_name").alias("file")))
 
 
 def stream_wiki(spark: SparkSession, path: str, out: str, checkpoint: str, **options: str) -> StreamingQuery:
