@@ -1,4 +1,5 @@
 """All registered queries."""
 
-from tabloom.catalog import relational, scalars, series, storage  # noqa: F401
+from tabloom.catalog import (evaluation, features, modelling, relational, scalars, series,  # noqa: F401
+                             storage, streams, vectors)
 from tabloom.catalog.registry import ORACLES, QUERIES  # noqa: F401

@@ -220,8 +220,9 @@ def _(t):
 UNION ALL SELECT 'articleLink', count(*) FROM ({_LINKS}) UNION ALL SELECT 'redirect', count(*) FROM ({_WIKI}) WHERE ns = 0 AND redirect IS NOT NULL
 UNION ALL SELECT 'template', count(*) FROM ({_WIKI}) WHERE ns = 10""")
 def _(t):
-    made, out = WK.wiki_tables(_pages(t)), new_path(t.spark, "wiki-tables")
-    sinks.write_tables(made, out)
+    pages, out = _pages(t), new_path(t.spark, "wiki-tables")
+    made = WK.wiki_tables(pages)
+    sinks.write_tables(made, out, shared=pages)
     counts = None
     for name in made:
         back = t.spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{out}/{name}")

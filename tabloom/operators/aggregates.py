@@ -209,7 +209,7 @@ def progress(reports: DataFrame, order: Order, completed: str = "completed", eve
     """Running total of worker reports, flagged where it passes a multiple of ``every``."""
     out = running_totals(reports, order, {"total": completed})
     passed = F.floor(F.col("total") / every) > F.floor((F.col("total") - F.col(completed)) / every)
-    return out.drop("_pos").withColumn("message", passed)
+    return out.withColumn("message", passed)
 
 
 def rate_by(df: DataFrame, key: str, flag: str) -> DataFrame:

@@ -68,7 +68,8 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str, normalize: bool = False)
     """(actual, predicted, n) with zero cells; normalised by the row total on request."""
     counts = df.groupBy(F.col(y).alias("actual"), F.col(yhat).alias("predicted")).agg(F.count("*").alias("n"))
     seen = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct()
-    labels = F.array(*[F.lit(r[0]) for r in sorted(bounded_rows(seen, MAX_CLASSES, "classes"))])
+    kind = counts.schema["actual"].dataType
+    labels = F.array(*[F.lit(r[0]).cast(kind) for r in sorted(bounded_rows(seen, MAX_CLASSES, "classes"))])
     cells = df.sparkSession.range(1).select(F.explode(labels).alias("actual"))
     cells = cells.select("actual", F.explode(labels).alias("predicted"))
     out = cells.join(counts, ["actual", "predicted"], "left").na.fill(0, ["n"])

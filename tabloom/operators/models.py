@@ -157,13 +157,21 @@ def seasonal_forecast(df: DataFrame, key: str | None, ts: str, y: str, periods:
         (F.col("yhat") + z * F.col("_sd")).alias("yhat_upper"), (F.col("date") > F.col("_hi")).alias("future"))
 
 
-def _memberships(cols: Sequence[str], centers: Sequence[Sequence[float]], m: float) -> list[Column]:
-    """Membership of a row in each centre: inverse distances, normalised to sum 1."""
+def _memberships(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], m: float) -> list[Column]:
+    """Membership of a row in each centre: inverse distances, normalised to sum 1.
+
+    The centres come in as a one-row subquery, so the generated code of a round is reused by
+    the next one.
+    """
     power = 1.0 / (m - 1.0)
+    table = df.sparkSession.createDataFrame([([[float(v) for v in c] for c in centers],)], "c array<array<double>>")
+    held = table.scalar()
     weights = []
-    for center in centers:
-        d2 = sum((F.pow(F.col(c) - F.lit(float(v)), 2.0) for c, v in zip(cols[1:], center[1:])),
-                 F.pow(F.col(cols[0]) - F.lit(float(center[0])), 2.0))
+    for k in range(len(centers)):
+        d2 = None
+        for i, name in enumerate(cols):
+            gap = F.col(name) - F.get(F.get(held, F.lit(k)), F.lit(i))
+            d2 = gap * gap if d2 is None else d2 + gap * gap
         weights.append(F.pow(F.greatest(d2, F.lit(1e-16)), -power))
     total = sum(weights[1:], weights[0])
     return [w / total for w in weights]
@@ -184,7 +192,7 @@ def fuzzy_cmeans(df: DataFrame, cols: Sequence[str], c: int, m: float = 2.0, tol
     now = [[float(r[x]) for x in cols] for r in start]
     fpc, rounds = 0.0, 0
     for rounds in range(1, max_iter + 1):
-        before, u = _memberships(cols, old, m), _memberships(cols, now, m)
+        before, u = _memberships(data, cols, old, m), _memberships(data, cols, now, m)
         aggs = []
         for k in range(c):
             w = F.pow(u[k], float(m))
@@ -202,7 +210,7 @@ def fuzzy_cmeans(df: DataFrame, cols: Sequence[str], c: int, m: float = 2.0, tol
 
 def fuzzy_assign(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], m: float = 2.0) -> DataFrame:
     """Add the membership array and the centre with the largest one."""
-    u = F.array(*_memberships(cols, centers, m))
+    u = F.array(*_memberships(df, cols, centers, m))
     return df.withColumn("membership", u).withColumn(
         "cluster", (F.array_position("membership", F.array_max("membership")) - 1).cast("int"))
 
@@ -215,7 +223,7 @@ BP_SD = 2.5
 A1C = {"l": 4.0, "n": 5.25, "h": 7.0}
 RATING = {"DC": 10.0, "ST": 5.0, "PF": 1.0}
 CONE_RADIUS = 5.0
-UNIVERSE = [i / 10 for i in range(401)]
+UNIVERSE_STEPS = 400
 
 
 def bell(x: Column, center: float, sd: float) -> Column:
@@ -236,10 +244,9 @@ def fuzzy_rating(df: DataFrame, bmi: str = "bmi", a1c: str = "a1c", bp: str = "b
         "_ST": F.greatest(weight["over"], sugar["n"], press["pre"]),
         "_PF": F.least(weight["fit"], sugar["n"], press["norm"]),
     })
-    points = F.array(*[F.struct(F.lit(x).alias("x"), *[
-        F.lit(max(0.0, 1 - abs(x - v) / CONE_RADIUS)).alias(k) for k, v in RATING.items()]) for x in UNIVERSE])
-    heights = F.transform(points, lambda p: F.struct(p["x"].alias("x"), F.greatest(
-        *[F.least(p[k], F.col(f"_{k}")) for k in RATING]).alias("h")))
+    steps = F.sequence(F.lit(0), F.lit(UNIVERSE_STEPS))
+    heights = F.transform(steps, lambda i: F.struct((i / 10).alias("x"), F.greatest(
+        *[F.least(cone(i / 10, v), F.col(f"_{k}")) for k, v in RATING.items()]).alias("h")))
     sums = F.aggregate(
         heights, F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("b")),
         lambda acc, p: F.struct((acc["a"] + p["x"] * p["h"]).alias("a"), (acc["b"] + p["h"]).alias("b")))

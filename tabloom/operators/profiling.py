@@ -150,16 +150,16 @@ def profile_categorical(df: DataFrame, cols: Sequence[str] | None = None) -> Dat
     """Per column the unique count, and above 100 values its share of rows in whole percent,
     else the values with their percents, most frequent first."""
     cols = list(cols or df.columns)
-    total = df.agg(F.count("*")).scalar()
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols])
     counts = df.select(F.inline(pairs)).groupBy("name", "value").agg(F.count("*").alias("n"))
-    unique = counts.groupBy("name").agg(F.count("*").alias("n_unique"))
+    # every row has one entry per column, so the counts of a column add up to the rows
+    unique = counts.groupBy("name").agg(F.count("*").alias("n_unique"), F.sum("n").alias("rows"))
     listed = counts.join(unique.filter(F.col("n_unique") <= MAX_LISTED), "name").filter("value is not null")
     # at most MAX_LISTED entries per column are gathered
     entry = F.struct((-F.col("n")).alias("n"), F.col("value"),
-                     F.format_string("%s:%.2f%%", F.col("value"), 100 * F.col("n") / total).alias("text"))
+                     F.format_string("%s:%.2f%%", F.col("value"), 100 * F.col("n") / F.col("rows")).alias("text"))
     lists = listed.groupBy("name").agg(F.array_sort(F.collect_list(entry)).alias("e")).select(
         "name", F.concat(F.lit("["), F.array_join(F.transform("e", lambda x: x["text"]), ","), F.lit("]")).alias("values"))
-    share = F.when(F.col("n_unique") > MAX_LISTED, F.floor(100 * F.col("n_unique") / total))
+    share = F.when(F.col("n_unique") > MAX_LISTED, F.floor(100 * F.col("n_unique") / F.col("rows")))
     return (unique.join(lists, "name", "left")
             .select("name", "n_unique", share.alias("pct_unique"), "values"))

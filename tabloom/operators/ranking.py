@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.regression import LinearRegression
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from tabloom.operators.aggregates import rank_diff
 
 
 def _long(one: DataFrame, features: Sequence[str], value: str) -> DataFrame:
@@ -80,13 +79,33 @@ def hybrid_rank(weights: DataFrame, perturb: DataFrame, corr: DataFrame, d: floa
         F.desc("importance"), "name")
 
 
-def rank_stability(train: DataFrame, features: Sequence[str], baseline: DataFrame,
-                   lengths: Sequence[int]) -> DataFrame:
-    """Distance of the weight rank to a baseline after each training length."""
-    spark, out = train.sparkSession, None
-    for n in lengths:
-        fit = LinearRegression(maxIter=n, solver="l-bfgs", regParam=0.0).fit(train)
-        rank = weight_rank(spark, features, [[c] for c in fit.coefficients.toArray()])
-        one = rank_diff(baseline, rank, "name", "importance").select(F.lit(n).alias("length"), "distance")
-        out = one if out is None else out.unionByName(one)
-    return out
+def rank_stability(df: DataFrame, features: Sequence[str], y: str, lengths: Sequence[int],
+                   baseline: DataFrame | None = None) -> DataFrame:
+    """Distance of the weight rank to a baseline after each training length.
+
+    A linear model on standardised inputs is trained by gradient steps. They only need the
+    correlations, which one pass over the rows gives for all lengths; the steps themselves
+    are products with a (features x features) matrix. The baseline defaults to the fully
+    trained weights.
+    """
+    spark, names = df.sparkSession, list(features)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    row = df.agg(*[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)],
+                 *[F.corr(a, y).alias(f"y{i}") for i, a in enumerate(names)]).first()
+    k = len(names)
+    gram, goal = np.eye(k), np.array([row[f"y{i}"] for i in range(k)])
+    for n, (a, b) in enumerate(pairs):
+        i, j = names.index(a), names.index(b)
+        gram[i, j] = gram[j, i] = row[f"p{n}"]
+    step = 1.0 / np.linalg.eigvalsh(gram)[-1]
+    full = np.linalg.lstsq(gram, goal, rcond=None)[0]
+    base = baseline if baseline is not None else weight_rank(spark, names, [[w] for w in full])
+    ranks, weights = {}, np.zeros(k)
+    for n in range(1, max(lengths) + 1):
+        weights = weights + step * (goal - gram @ weights)
+        ranks[n] = np.abs(weights) / (np.abs(weights).sum() or 1.0)
+    rows = [(n, f, float(ranks[n][i])) for n in lengths for i, f in enumerate(names)]
+    table = spark.createDataFrame(rows, "length int, name string, importance double")
+    other = base.select("name", F.col("importance").alias("_b"))
+    gap = F.col("importance") - F.col("_b")
+    return table.join(other, "name").groupBy("length").agg(F.sqrt(F.sum(gap * gap)).alias("distance"))

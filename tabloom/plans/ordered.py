@@ -11,10 +11,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tabloom.plans.sizes import any_key, hot_keys
+from tabloom.plans.sizes import any_key, hot_keys, plan_bytes
 from tabloom.session import written
 
 BLOCK_ROWS = 1_000_000
+SMALL_BYTES = 32 << 20
+SMALL_CONF = "tabloom.small.bytes"
 _LOW_BITS = (1 << 33) - 1
 
 Order = Sequence["str | Column"]
@@ -24,16 +26,23 @@ def _names(order: Order) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def _is_small(df: DataFrame) -> bool:
+    """Whether the optimizer bounds the input by a size that one task sorts without trouble."""
+    return plan_bytes(df) <= int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_BYTES)))
+
+
 def positions(df: DataFrame, order: Order, name: str = "_pos") -> DataFrame:
     """0-based position of every row in ``order``, which should be total.
 
-    One range shuffle and sort; the task-local row index is stored before the second
+    A table of proven small size is numbered by one window. Beyond it: one range shuffle and sort; the task-local row index is stored before the second
     pass, so both passes see the same boundaries. The per-partition offsets are one row
     per shuffle partition.
     """
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _names(order)
+    if _is_small(df):
+        return df.withColumn(name, (F.row_number().over(W.orderBy(*keys)) - 1).cast("long"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     stored = written(ranged.withColumn("_mid", F.monotonically_increasing_id()), "positions")
     part = F.shiftright("_mid", 33)
@@ -61,6 +70,9 @@ def running_totals(df: DataFrame, order: Order, sums: dict[str, str]) -> DataFra
     Rows are numbered, cut into blocks of equal row count, summed inside a block, and
     shifted by the totals of the blocks before it.
     """
+    if _is_small(df):
+        upto = W.orderBy(*_names(order)).rowsBetween(W.unboundedPreceding, 0)
+        return df.withColumns({n: F.sum(c).over(upto) for n, c in sums.items()})
     numbered_rows = positions(df, order)
     blocks = numbered_rows.withColumn("_block", F.expr(f"_pos div {BLOCK_ROWS}"))
     inside = W.partitionBy("_block").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
@@ -73,7 +85,7 @@ def running_totals(df: DataFrame, order: Order, sums: dict[str, str]) -> DataFra
     out = blocks.join(shifts, "_block")
     for n, c in sums.items():
         out = out.withColumn(n, F.sum(c).over(inside) + F.col(f"_s_{n}"))
-    return out.drop("_block", *[f"_s_{n}" for n in sums])
+    return out.drop("_pos", "_block", *[f"_s_{n}" for n in sums])
 
 
 def _key_positions(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
