@@ -31,20 +31,22 @@ def _run(t: Tables, df: DataFrame) -> DataFrame:
 SELECT * FROM b WHERE period + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""")
 def _(t):
     # files arrive in no fixed order here, so late rows are allowed for the whole span of a trigger
-    return _run(t, ST.stream_ohlc(_stream(t, "events", 100), "ts", "value", "event_id"))
+    bars = _run(t, ST.stream_ohlc(_stream(t, "events", 100), "ts", "value", "event_id"))
+    return bars.withColumn("period", F.col("period").cast("timestamp_ntz"))
 
 
 @query("st_rolling", """WITH d AS (SELECT user_id, unnest(generate_series(date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS until, value FROM events)
 SELECT user_id, until, max(value) AS rolled FROM d WHERE until <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2""")
 def _(t):
-    return _run(t, ST.stream_rolling(_stream(t, "events", 100), "ts", "value", ["user_id"]))
+    rolled = _run(t, ST.stream_rolling(_stream(t, "events", 100), "ts", "value", ["user_id"]))
+    return rolled.withColumn("until", F.col("until").cast("timestamp_ntz"))
 
 
 @query("st_dedupe", "SELECT event_id FROM events")
 def _(t):
     once = _stream(t, "events", 100)
     twice = once.unionByName(_stream(t, "events", 100))
-    return _run(t, ST.stream_dedupe(twice.select("event_id", "ts"), "ts", ["event_id"])).select("event_id")
+    return _run(t, ST.stream_dedupe(twice.select("event_id", "ts"), "ts", ["event_id"]).select("event_id"))
 
 
 @query("st_ingest_route", f"""SELECT 'article' AS name, count(*) AS n FROM {_ARTICLES} UNION ALL SELECT 'articleTemplate', count(*) FROM ({_TEMPLATES})

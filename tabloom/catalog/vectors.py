@@ -199,11 +199,13 @@ def _(t):
 
 @query("udf_group", f"SELECT user_id, frame, count(*) AS n, round(max(value) - min(value), 9) AS spread FROM ({_FRAMES}) GROUP BY 1, 2")
 def _(t):
-    def spread(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def spread(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         v = rows["value"].to_numpy()
         return pd.DataFrame({"user_id": [key[0]], "frame": [key[1]], "n": [len(v)], "spread": [round(float(np.ptp(v)), 9)]})
 
-    return _frames(t).groupBy("user_id", "frame").applyInPandas(spread, "user_id long, frame long, n long, spread double")
+    # a fixed partition count keeps the Python work spread out even if the bytes are few
+    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return _frames(t).repartition(parts, "user_id", "frame").groupBy("user_id", "frame").applyInPandas(spread, "user_id long, frame long, n long, spread double")
 
 
 # ---------------------------------------------------------------- loans
@@ -211,7 +213,7 @@ def _(t):
 
 @query("fin_amortize", """WITH l AS (SELECT o_orderkey, o_totalprice AS p, 0.05::DOUBLE / 12 AS r FROM orders), s AS (SELECT *, p * r / (1 - pow(1 + r, -12)) AS pay, m FROM l, range(1, 13) q(m)),
 b AS (SELECT *, p * pow(1 + r, m - 1) - pay * (pow(1 + r, m - 1) - 1) / r AS remaining FROM s)
-SELECT o_orderkey, m::INT AS month, round(remaining, 4) AS remaining, round(pay, 4) AS payment, round(remaining * r, 4) AS interest, round(pay - remaining * r, 4) AS principal FROM b""")
+SELECT o_orderkey, m::INT AS month, round(remaining, 6) AS remaining, round(pay, 6) AS payment, round(remaining * r, 6) AS interest, round(pay - remaining * r, 6) AS principal FROM b""")
 def _(t):
     out = SG.amortize(t.orders, ["o_orderkey"], "o_totalprice", 0.05, 12)
-    return out.withColumns({c: F.round(c, 4) for c in ("remaining", "payment", "interest", "principal")})
+    return out.withColumns({c: F.round(c, 6) for c in ("remaining", "payment", "interest", "principal")})

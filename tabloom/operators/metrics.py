@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.scalar import argmax, clip
 from tabloom.plans.ordered import positions, running_totals
-from tabloom.plans.sizes import bounded_rows, small_side
+from tabloom.plans.sizes import bounded_rows
+from tabloom.session import written
 
 MAX_CLASSES = 1000
 
@@ -84,8 +85,10 @@ def roc(df: DataFrame, y: str, score: str) -> DataFrame:
     area of the trapezoid that ends in the point."""
     per = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum((F.col(y) == 1).cast("long")).alias("_p"), F.sum((F.col(y) != 1).cast("long")).alias("_n"))
+    # thresholds are read several times below; stored, they cost the input one pass only
+    per = written(per, "thresholds")
     cum = running_totals(per, [F.desc("threshold")], {"tp": "_p", "fp": "_n"})
-    p, n = cum.agg(F.sum("_p")).scalar(), cum.agg(F.sum("_n")).scalar()
+    p, n = per.agg(F.sum("_p")).scalar(), per.agg(F.sum("_n")).scalar()
     width = F.try_divide(F.col("_n"), n)
     height = F.try_divide(2 * F.col("tp") - F.col("_p"), 2 * p)
     return cum.select("threshold", "tp", "fp", F.try_divide("tp", p).alias("tpr"), F.try_divide("fp", n).alias("fpr"),

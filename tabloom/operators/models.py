@@ -128,11 +128,10 @@ def seasonal_forecast(df: DataFrame, key: str | None, ts: str, y: str, periods:
     terms = F.array(F.lit(1.0), day / length, *_season_terms(day))
     size = 2 + sum(2 * order for _, order in SEASONS)
     rows = base.join(small_side(span), "_key").withColumn("_x", terms)
-    x = [F.get("_x", F.lit(i)) for i in range(size)]
     cells = [(i, j) for i in range(size) for j in range(i, size)]
     sums = rows.groupBy("_key", "_lo", "_hi").agg(
-        F.array(*[F.sum(x[i] * x[j]) for i, j in cells]).alias("_xx"),
-        F.array(*[F.sum(x[i] * F.col("_y")) for i in range(size)]).alias("_xy"),
+        F.expr(f"array({', '.join(f'sum(_x[{i}] * _x[{j}])' for i, j in cells)})").alias("_xx"),
+        F.expr(f"array({', '.join(f'sum(_x[{i}] * _y)' for i in range(size))})").alias("_xy"),
         F.sum(F.col("_y") * F.col("_y")).alias("_yy"), F.count("*").alias("_n"))
 
     def solve(batches):
@@ -157,24 +156,16 @@ def seasonal_forecast(df: DataFrame, key: str | None, ts: str, y: str, periods:
         (F.col("yhat") + z * F.col("_sd")).alias("yhat_upper"), (F.col("date") > F.col("_hi")).alias("future"))
 
 
-def _memberships(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], m: float) -> list[Column]:
-    """Membership of a row in each centre: inverse distances, normalised to sum 1.
-
-    The centres come in as a one-row subquery, so the generated code of a round is reused by
-    the next one.
-    """
+def _memberships(cols: Sequence[str], centers: Sequence[Sequence[float]], m: float) -> list[str]:
+    """SQL of a row's membership in each centre: inverse distances, normalised to sum 1."""
     power = 1.0 / (m - 1.0)
-    table = df.sparkSession.createDataFrame([([[float(v) for v in c] for c in centers],)], "c array<array<double>>")
-    held = table.scalar()
     weights = []
-    for k in range(len(centers)):
-        d2 = None
-        for i, name in enumerate(cols):
-            gap = F.col(name) - F.get(F.get(held, F.lit(k)), F.lit(i))
-            d2 = gap * gap if d2 is None else d2 + gap * gap
-        weights.append(F.pow(F.greatest(d2, F.lit(1e-16)), -power))
-    total = sum(weights[1:], weights[0])
-    return [w / total for w in weights]
+    for center in centers:
+        gaps = [f"(`{name}` - {float(v)!r}D)" for name, v in zip(cols, center)]
+        near = f"greatest({' + '.join(f'{g} * {g}' for g in gaps)}, 1e-16D)"
+        weights.append(f"1D / {near}" if power == 1.0 else f"pow({near}, {-power!r}D)")
+    total = " + ".join(weights)
+    return [f"({w}) / ({total})" for w in weights]
 
 
 def fuzzy_cmeans(df: DataFrame, cols: Sequence[str], c: int, m: float = 2.0, tol: float = 0.005,
@@ -192,15 +183,19 @@ def fuzzy_cmeans(df: DataFrame, cols: Sequence[str], c: int, m: float = 2.0, tol
     now = [[float(r[x]) for x in cols] for r in start]
     fpc, rounds = 0.0, 0
     for rounds in range(1, max_iter + 1):
-        before, u = _memberships(data, cols, old, m), _memberships(data, cols, now, m)
+        before, u = _memberships(cols, old, m), _memberships(cols, now, m)
+        # memberships are columns of their own, computed once per row
+        rows = data.selectExpr(*[f"`{x}`" for x in cols], *[f"{v} AS u{k}" for k, v in enumerate(u)],
+                               *[f"{v} AS b{k}" for k, v in enumerate(before)])
         aggs = []
         for k in range(c):
-            w = F.pow(u[k], float(m))
-            aggs.append(F.sum(w).alias(f"w{k}"))
-            aggs += [F.sum(w * F.col(x)).alias(f"s{k}_{i}") for i, x in enumerate(cols)]
-        moved = sum((F.pow(u[k] - before[k], 2.0) for k in range(1, c)), F.pow(u[0] - before[0], 2.0))
-        share = sum((F.pow(u[k], 2.0) for k in range(1, c)), F.pow(u[0], 2.0))
-        row = data.agg(*aggs, F.sqrt(F.sum(moved)).alias("moved"), F.avg(share).alias("fpc")).first()
+            w = f"u{k} * u{k}" if m == 2.0 else f"pow(u{k}, {float(m)!r}D)"
+            aggs.append(f"sum({w}) AS w{k}")
+            aggs += [f"sum({w} * `{x}`) AS s{k}_{i}" for i, x in enumerate(cols)]
+        moved = " + ".join(f"(u{k} - b{k}) * (u{k} - b{k})" for k in range(c))
+        share = " + ".join(f"u{k} * u{k}" for k in range(c))
+        aggs += [f"sqrt(sum({moved})) AS moved", f"avg({share}) AS fpc"]
+        row = rows.selectExpr(*aggs).first()
         old, now = now, [[row[f"s{k}_{i}"] / row[f"w{k}"] for i in range(len(cols))] for k in range(c)]
         fpc = row["fpc"]
         if rounds > 1 and row["moved"] < tol:
@@ -210,7 +205,7 @@ def fuzzy_cmeans(df: DataFrame, cols: Sequence[str], c: int, m: float = 2.0, tol
 
 def fuzzy_assign(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], m: float = 2.0) -> DataFrame:
     """Add the membership array and the centre with the largest one."""
-    u = F.array(*_memberships(df, cols, centers, m))
+    u = F.array(*[F.expr(v) for v in _memberships(cols, centers, m)])
     return df.withColumn("membership", u).withColumn(
         "cluster", (F.array_position("membership", F.array_max("membership")) - 1).cast("int"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.functions.scalar import note_name, note_number
@@ -33,21 +35,23 @@ def frames(samples: DataFrame, signal: str, index: str, value: str, step: int, s
 
 def spectrum(frame_rows: DataFrame, signal: str, rate: float, size: int) -> DataFrame:
     """Hann window and magnitude of the real transform per frame, scaled by the largest value of
-    all frames: (signal, frame, bin, freq, magnitude). A group is one frame of ``size`` samples."""
-    import numpy as np
-    import pandas as pd
+    all frames: (signal, frame, bin, freq, magnitude).
 
-    kind = frame_rows.schema[signal].dataType.simpleString()
-
-    def transform(key, rows: pd.DataFrame) -> pd.DataFrame:
-        data = np.zeros(size)
-        data[rows["pos"].to_numpy()] = rows["value"].to_numpy()
+    Samples meet per frame, at most ``size`` of them; a batch of frames is one array operation.
+    """
+    kept = frame_rows.groupBy(signal, "frame").agg(
+        F.collect_list("pos").alias("_pos"), F.collect_list("value").alias("_value"))
+
+    @F.pandas_udf("array<double>")
+    def magnitudes(pos: pd.Series, value: pd.Series) -> pd.Series:
+        data = np.zeros((len(pos), size))
+        rows = np.repeat(np.arange(len(pos)), [len(p) for p in pos])
+        if len(rows):
+            data[rows, np.concatenate(pos.to_list())] = np.concatenate(value.to_list())
         hann = 0.5 * (1 - np.cos(np.linspace(0, 2 * np.pi, size, False)))
-        mags = np.abs(np.fft.rfft(data * hann))
-        return pd.DataFrame({signal: key[0], "frame": key[1], "mags": [mags.tolist()]})
+        return pd.Series(list(np.abs(np.fft.rfft(data * hann, axis=1))))
 
-    raw = frame_rows.groupBy(signal, "frame").applyInPandas(
-        transform, f"`{signal}` {kind}, frame long, mags array<double>")
+    raw = kept.select(signal, "frame", magnitudes("_pos", "_value").alias("mags"))
     flat = raw.select(signal, "frame", F.posexplode("mags").alias("bin", "_m"))
     top = raw.agg(F.max(F.array_max("mags"))).scalar()
     return flat.select(signal, "frame", "bin", (F.col("bin") * (rate / size)).alias("freq"),

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tabloom.plans.sizes import any_key, hot_keys, plan_bytes
+from tabloom.plans.sizes import any_key, hot_keys, plan_bytes, small_side
 from tabloom.session import written
 
 BLOCK_ROWS = 1_000_000
@@ -90,13 +90,13 @@ def running_totals(df: DataFrame, order: Order, sums: dict[str, str]) -> DataFra
 
 def _key_positions(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
     placed = positions(df, [*keys, *order])
-    first = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"))
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    first = placed.groupBy(*named).agg(F.min("_pos").alias("_first"))
     same = F.lit(True)
-    for k in keys:
-        same = same & placed[k].eqNullSafe(first[k])
-    joined = placed.join(F.broadcast(first), same)
-    kept = [placed[c] for c in df.columns]
-    return joined.select(*kept, (F.col("_pos") - F.col("_first")).alias("_pos"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = placed.join(small_side(first), same)
+    return joined.select(*df.columns, (F.col("_pos") - F.col("_first")).alias("_pos"))
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Order, name: str = "rn",

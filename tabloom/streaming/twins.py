@@ -42,11 +42,16 @@ def with_progress(df: DataFrame, name: str = "progress", file: str | None = "fil
     return df.observe(name, *counts)
 
 
+def event_time(df: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need a timestamp with time zone; a plain one is read in the session zone."""
+    return df if df.schema[ts].dataType.simpleString() == "timestamp" else df.withColumn(ts, F.col(ts).cast("timestamp"))
+
+
 def stream_ohlc(df: DataFrame, ts: str, price: str, seq: str, period: str = "1 hour", delay: str = "1 hour",
                 keys: Sequence[str] = ()) -> DataFrame:
     """Price bars; a bar is final once the watermark has passed its end."""
     at = F.struct(ts, seq)
-    bars = df.withWatermark(ts, delay).groupBy(*keys, F.window(ts, period)).agg(
+    bars = event_time(df, ts).withWatermark(ts, delay).groupBy(*keys, F.window(ts, period)).agg(
         F.min_by(price, at).alias("open"), F.max(price).alias("high"),
         F.min(price).alias("low"), F.max_by(price, at).alias("close"))
     return bars.select(*keys, F.col("window.start").alias("period"), "open", "high", "low", "close")
@@ -56,10 +61,10 @@ def stream_rolling(df: DataFrame, ts: str, c: str, keys: Sequence[str] = (), len
                    step: str = "1 day", delay: str = "1 day",
                    fn: Callable[[str], Column] = F.max) -> DataFrame:
     """The aggregate of the last ``length``, once per ``step``."""
-    rolled = df.withWatermark(ts, delay).groupBy(*keys, F.window(ts, length, step)).agg(fn(c).alias("rolled"))
+    rolled = event_time(df, ts).withWatermark(ts, delay).groupBy(*keys, F.window(ts, length, step)).agg(fn(c).alias("rolled"))
     return rolled.select(*keys, F.col("window.end").alias("until"), "rolled")
 
 
 def stream_dedupe(df: DataFrame, ts: str, keys: Sequence[str], delay: str = "1 hour") -> DataFrame:
     """One record per key; state is kept for the delay only."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    return event_time(df, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
