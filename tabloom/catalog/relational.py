@@ -219,7 +219,7 @@ def _(t):
 @query("agg_sum_two_keys", """SELECT l_shipdate, l_partkey, p_name, sum(l_quantity) AS total FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""")
 def _(t):
     totals = A.sum_by(t.lineitem, ["l_shipdate", "l_partkey"], "l_quantity")
-    return J.join_lookup(totals, t.part.select("p_partkey", "p_name"), "l_partkey", "p_partkey").drop("p_partkey")
+    return J.join_lookup(totals, t.part.select("p_partkey", "p_name"), "l_partkey", "p_partkey")
 
 
 @query("agg_sum_week_item", """SELECT (date_diff('day', DATE '1995-01-02', l_shipdate::DATE) // 7)::BIGINT AS week, l_partkey, sum(l_quantity) AS total

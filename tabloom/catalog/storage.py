@@ -119,7 +119,7 @@ def _dump_path(t: Tables) -> str:
         F.when(n % 5 == 0, F.struct(F.concat(F.lit("Page "), n + 1).alias("_title"))).alias("redirect"),
         F.struct((n + 900000000).alias("id"), F.struct(F.lit("wikitext").alias("_format"), clean.alias("_VALUE")).alias("text")).alias("revision"))
     path = new_path(t.spark, "dump")
-    pages.write.format("xml").option("rootTag", "mediawiki").option("rowTag", "page").option("compression", "bzip2").save(path)
+    pages.write.format("xml").option("rootTag", "mediawiki").option("rowTag", "page").save(path)
     return path
 
 

@@ -10,8 +10,8 @@ from pyspark.sql.types import IntegralType
 
 from tabloom.plans.ordered import positions
 from tabloom.plans.quantiles import exact_medians
-from tabloom.plans.sizes import bounded_rows, small_side
-from tabloom.session import written
+from tabloom.plans.sizes import bounded_rows
+from tabloom.plans.skew import join_rows
 
 MAX_DUMMIES = 1000
 MAX_LOCAL_CODES = 100_000
@@ -51,7 +51,7 @@ def encode_index(df: DataFrame, c: str) -> tuple[DataFrame, DataFrame]:
     """Replace values by their class code; returns the frame and the classes."""
     codes = class_codes(df, c)
     other = [x for x in df.columns if x != c]
-    coded = df.join(small_side(codes), c, "left").select(*other, F.col("code").alias(c))
+    coded = join_rows(df, codes, [c], "left").select(*other, F.col("code").alias(c))
     return coded.select(*df.columns), codes
 
 
@@ -124,9 +124,9 @@ def target_encode(train: DataFrame, other: DataFrame | None, cat: str, y: str, w
     overall = train.agg(F.avg(y)).scalar()
     stats = train.groupBy(cat).agg(F.count(y).alias("_n"), F.avg(y).alias("_m"))
     smooth = (F.col("_n") * F.col("_m") + w * overall) / (F.col("_n") + w)
-    table = stats.select(F.col(cat).alias("_cat"), smooth.alias(name))
+    table = stats.select(cat, smooth.alias(name))
     frame = train if other is None else other
-    out = frame.join(small_side(table), F.col(cat) == F.col("_cat"), "left").drop("_cat")
+    out = join_rows(frame, table, [cat], "left")
     return out.withColumn(name, F.coalesce(name, overall)) if unseen_mean else out
 
 

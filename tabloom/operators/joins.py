@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.vectors import quadratic_root
-from tabloom.plans.sizes import bounded_rows, small_side
+from tabloom.plans.sizes import bounded_rows
+from tabloom.plans.skew import join_rows
 
 MAX_GRID = 1000
 
 
 def join_lookup(fact: DataFrame, dim: DataFrame, left_on: str, right_on: str, how: str = "inner") -> DataFrame:
-    """Fact rows with the columns of their dimension row."""
-    return fact.join(small_side(dim), fact[left_on] == dim[right_on], how)
+    """Fact rows with the columns of their dimension row; the key keeps the fact's name."""
+    return join_rows(fact, dim.withColumnRenamed(right_on, left_on), [left_on], how)
 
 
 def join_natural(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -22,11 +23,11 @@ def join_natural(a: DataFrame, b: DataFrame) -> DataFrame:
     shared = [c for c in a.columns if c in b.columns]
     if not shared:
         raise ValueError("no shared column")
-    return a.join(b, shared)
+    return join_rows(a, b, shared)
 
 
 def join_on(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    return df.join(small_side(other), key)
+    return join_rows(df, other, [key])
 
 
 def join_checked(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -36,13 +37,12 @@ def join_checked(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
         raise ValueError("the right side repeats a key")
     if not a.join(b, on, "left_anti").isEmpty():
         raise ValueError("rows without a partner")
-    return a.join(small_side(b), on)
+    return join_rows(a, b, on)
 
 
 def map_values(df: DataFrame, key: str, mapping: DataFrame, map_key: str, map_value: str, name: str) -> DataFrame:
     """Look each key up in a mapping table; absent keys give null."""
-    pairs = mapping.select(F.col(map_key).alias("_k"), F.col(map_value).alias(name))
-    return df.join(small_side(pairs), df[key] == F.col("_k"), "left").drop("_k")
+    return join_rows(df, mapping.select(F.col(map_key).alias(key), F.col(map_value).alias(name)), [key], "left")
 
 
 def _grid_columns(rows: list, names: Sequence[str], loss: str, sep: str = "$") -> list[Column]:
@@ -104,8 +104,8 @@ def resolve_redirects(links: DataFrame, redirects: DataFrame, articles: DataFram
     links (source_article_id, target_article_name), redirects (title, redirect),
     articles (article_id, title). Links to missing articles get a null id.
     """
-    moved = redirects.select(F.col("title").alias("_from"), F.col("redirect").alias("_to"))
-    named = links.join(moved, links["target_article_name"] == F.col("_from"), "left").select(
+    moved = redirects.select(F.col("title").alias("target_article_name"), F.col("redirect").alias("_to"))
+    named = join_rows(links, moved, ["target_article_name"], "left").select(
         "source_article_id", F.coalesce("_to", "target_article_name").alias("target"))
     goal = articles.select(F.col("article_id").alias("target_article_id"), F.col("title").alias("target"))
-    return named.join(goal, "target", "left").select("source_article_id", "target", "target_article_id")
+    return join_rows(named, goal, ["target"], "left").select("source_article_id", "target", "target_article_id")

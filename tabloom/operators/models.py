@@ -14,7 +14,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.plans.sizes import small_side
+from tabloom.plans.skew import join_rows
 
 
 def pipeline(estimator, features: Sequence[str], categories: Sequence[str] = ()) -> Pipeline:
@@ -127,7 +127,7 @@ def seasonal_forecast(df: DataFrame, key: str | None, ts: str, y: str, periods:
     length = F.greatest(F.datediff("_hi", "_lo"), F.lit(1))
     terms = F.array(F.lit(1.0), day / length, *_season_terms(day))
     size = 2 + sum(2 * order for _, order in SEASONS)
-    rows = base.join(small_side(span), "_key").withColumn("_x", terms)
+    rows = join_rows(base, span, ["_key"]).withColumn("_x", terms)
     cells = [(i, j) for i in range(size) for j in range(i, size)]
     sums = rows.groupBy("_key", "_lo", "_hi").agg(
         F.expr(f"array({', '.join(f'sum(_x[{i}] * _x[{j}])' for i, j in cells)})").alias("_xx"),

@@ -42,8 +42,9 @@ def perturbed(df: DataFrame, features: Sequence[str], seed: int = 42, parts: int
     tagged = df.withColumn("_h", F.xxhash64(F.lit(seed), *df.columns)).withColumn(
         "_g", F.pmod(F.xxhash64("_h"), F.lit(parts)))
     w = W.partitionBy("_g").orderBy("_h")
-    ends = W.partitionBy("_g").orderBy(F.desc("_h"))
-    moved = {f"_m_{c}": F.coalesce(F.lag(c).over(w), F.first(c).over(ends)) for c in features}
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    first = F.row_number().over(w) == 1
+    moved = {f"_m_{c}": F.when(first, F.last(c).over(whole)).otherwise(F.lag(c).over(w)) for c in features}
     rows = tagged.withColumns(moved)
     copies = F.array(*[
         F.struct(F.lit(f).alias("feature"),

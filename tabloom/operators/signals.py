@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tabloom.functions.scalar import note_name, note_number
 from tabloom.functions.vectors import doubles
 from tabloom.plans.ordered import _key_positions, windowed
-from tabloom.plans.sizes import small_side
+from tabloom.plans.skew import join_rows
 
 
 def frames(samples: DataFrame, signal: str, index: str, value: str, step: int, size: int,
@@ -23,7 +23,7 @@ def frames(samples: DataFrame, signal: str, index: str, value: str, step: int, s
     """
     if n_frames is None:
         total = samples.groupBy(signal).agg(F.max(index).alias("_last"))
-        samples = samples.join(small_side(total), signal)
+        samples = join_rows(samples, total, [signal])
         n_frames = F.floor((F.col("_last") + 1) / step)
     i = F.col(index)
     first = F.floor(i / step) + 1

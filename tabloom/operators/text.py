@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions.scalar import recode
 from tabloom.functions.vectors import cosine, doubles, literal, norm
-from tabloom.plans.sizes import bounded_rows, small_side
+from tabloom.plans.sizes import bounded_rows
+from tabloom.plans.skew import join_rows
 
 # fixed values: spelling repairs before the lookup
 SUBSTITUTES = {"vegi": "vegetable", "smoothy": "malt"}
@@ -26,11 +27,10 @@ def title_vectors(items: DataFrame, vectors: DataFrame, key: str, title: str, di
     """Mean vector of the words of each title that have one.
 
     Words are counted per title first; the sums are plain double columns, so they are
-    combined before the shuffle. A frequent word is one row of the vector table: the
-    adaptive skew join splits the word side.
+    combined before the shuffle. A very frequent word is joined apart from the others.
     """
     counted = title_words(items, key, title, subst).groupBy(key, "word").agg(F.count("*").alias("k"))
-    joined = counted.join(small_side(vectors), "word")
+    joined = join_rows(counted, vectors, ["word"])
     sums = [F.sum(F.col("k") * F.get("vector", F.lit(i)).cast("double")).alias(f"s{i}") for i in range(dim)]
     totals = joined.groupBy(key).agg(F.sum("k").alias("words"), *sums)
     return totals.select(key, "words", F.array(*[F.col(f"s{i}") / F.col("words") for i in range(dim)]).alias("vector"))

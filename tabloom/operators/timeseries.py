@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.plans.ordered import next_known, numbered, windowed
-from tabloom.plans.sizes import small_side
+from tabloom.plans.skew import join_rows
 
 # fixed values: period lengths in microseconds
 PERIOD_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
@@ -153,7 +153,7 @@ def detrend(df: DataFrame, keys: Sequence[str], order: Sequence[str], c: str, na
     rows = numbered(df, keys, order, "_i").withColumn("_i", F.col("_i") - 1)
     line = rows.groupBy(*keys).agg(F.regr_slope(c, "_i").alias("_a"), F.regr_intercept(c, "_i").alias("_b"))
     fit = F.coalesce(F.col("_a") * F.col("_i") + F.col("_b"), F.col(c))
-    return rows.join(line, list(keys)).withColumn(name, F.col(c) - fit).drop("_i", "_a", "_b")
+    return join_rows(rows, line, keys).withColumn(name, F.col(c) - fit).drop("_i", "_a", "_b")
 
 
 def seasonal_decompose(df: DataFrame, keys: Sequence[str], order: Sequence[str], c: str, period: int = 7,
@@ -186,7 +186,7 @@ def seasonal_decompose(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     norm = F.avg("_mean").over(W.partitionBy(*keys))
     seasonal = F.try_divide(F.col("_mean"), norm) if times else F.col("_mean") - norm
     phases = phases.select(*keys, "_phase", seasonal.alias("seasonal"))
-    out = rows.join(small_side(phases), [*keys, "_phase"])
+    out = join_rows(rows, phases, [*keys, "_phase"])
     resid = (F.try_divide(F.try_divide(F.col(c), F.col("trend")), F.col("seasonal")) if times
              else F.col(c) - F.col("trend") - F.col("seasonal"))
     return out.withColumn("resid", resid).drop("_rn", "_phase")
@@ -196,7 +196,7 @@ def deseasonalize(df: DataFrame, adjust: DataFrame, on: Sequence[str], c: str, n
     """value / seasonal / trend by the adjustment table; rows without a factor drop out."""
     table = adjust.select(*on, "seasonal", "trend").na.drop("any")
     value = F.try_divide(F.try_divide(F.col(c), F.col("seasonal")), F.col("trend"))
-    return df.join(small_side(table), list(on)).withColumn(name, value).na.drop("any", subset=[name])
+    return join_rows(df, table, on).withColumn(name, value).na.drop("any", subset=[name])
 
 
 def reseasonalize(df: DataFrame, c: str, name: str = "restored") -> DataFrame:
@@ -210,20 +210,20 @@ def other_sales(df: DataFrame, item: str, ts: str, count: str) -> DataFrame:
     """
     own = df.groupBy(ts, item).agg(F.sum(count).alias("_own"))
     day = own.groupBy(ts).agg(F.sum("_own").alias("_day"))
-    others = own.join(small_side(day), ts).select(ts, item, (F.col("_day") - F.col("_own")).alias("other_sales"))
-    return df.join(others, [ts, item])
+    others = join_rows(own, day, [ts]).select(ts, item, (F.col("_day") - F.col("_own")).alias("other_sales"))
+    return join_rows(df, others, [ts, item])
 
 
 def age_days(df: DataFrame, item: str, ts: str, count: str) -> DataFrame:
     """Days since the item's first positive sale; items never sold drop out."""
     first = df.filter(F.col(count) > 0).groupBy(item).agg(F.min(ts).alias("first_sale"))
-    return df.join(small_side(first), item).withColumn("age", F.datediff(F.col(ts), F.col("first_sale")))
+    return join_rows(df, first, [item]).withColumn("age", F.datediff(F.col(ts), F.col("first_sale")))
 
 
 def pct_total(df: DataFrame, ts: str, count: str) -> DataFrame:
     """Share of the row in the day's total."""
     day = df.groupBy(ts).agg(F.sum(count).alias("_day"))
-    return (df.join(small_side(day), ts)
+    return (join_rows(df, day, [ts])
             .withColumn("pct_total", F.try_divide(F.col(count), F.col("_day"))).drop("_day"))
 
 

@@ -129,3 +129,31 @@ def test_exact_median(spark, kind, final):
 
 def test_median_of_nothing(spark):
     assert exact_medians(spark.createDataFrame([(None,)], "a double"), ["a"]) == {"a": None}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("many", [True, False])
+def test_split_join_equals_plain(spark, skewed, how, many, monkeypatch):
+    from tabloom.plans import skew
+
+    right = spark.createDataFrame([("hot", j) for j in range(5)] + [(f"k{j}", -j) for j in range(0, 40, 2)] + [(None, 7)], "k string, w int")
+    monkeypatch.setattr(skew, "HOT_SIDE_ROWS", 3 if many else 100)
+    plain = skewed.join(right, ["k"], how)
+    split = skew.join_rows(skewed, right, ["k"], how, hot=20, limit=0)
+    assert _set(plain, "k", "i", "w") == _set(split, "k", "i", "w")
+
+
+def test_operators_do_not_need_broadcasts(spark, skewed, monkeypatch):
+    """With nothing small and a hot key, lookups still give the plain result."""
+    from tabloom.operators import joins as J
+    from tabloom.plans import skew
+
+    dim = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, w int")
+    want = _set(J.map_values(skewed, "k", dim, "key", "w", "w"), "k", "i", "w")
+    spark.conf.set("tabloom.hot.rows", "500")
+    monkeypatch.setattr(skew.join_rows, "__defaults__", ("inner", None, 0))
+    try:
+        got = _set(J.map_values(skewed, "k", dim, "key", "w", "w"), "k", "i", "w")
+    finally:
+        spark.conf.unset("tabloom.hot.rows")
+    assert got == want
