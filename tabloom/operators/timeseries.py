@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.plans.ordered import next_known, numbered, windowed
+from tabloom.plans.sizes import small_side
 from tabloom.plans.skew import join_rows
 
 # fixed values: period lengths in microseconds
@@ -116,22 +117,65 @@ def ohlc(df: DataFrame, ts: str, price: str, period: str, seq: str, keys: Sequen
     })
 
 
-def rolling(df: DataFrame, keys: Sequence[str], ts: str, period: str, c: str,
-            fn: Callable[[str], Column] = F.max, name: str = "rolled", slices: int = 4) -> DataFrame:
-    """An aggregate over the rows in ``(t - period, t]``, from one row on.
+# parts of a rolling aggregate, and how the parts of neighbouring stretches combine
+ROLLING = {"max": [F.max], "min": [F.min], "sum": [F.sum], "count": [F.count], "mean": [F.sum, F.count]}
 
-    A key is cut into time slices of ``slices`` periods, and the last period of a slice is
-    copied to the next one, so that a key with a third of all rows is still many tasks.
+
+def _combine(fn: str, i: int, head: Column, middle: Column, tail: Column) -> Column:
+    if fn == "max":
+        return F.greatest(head, middle, tail)
+    if fn == "min":
+        return F.least(head, middle, tail)
+    zero = F.lit(0)
+    added = F.coalesce(head, zero) + F.coalesce(middle, zero) + F.coalesce(tail, zero)
+    return added if ROLLING[fn][i] is F.count else F.when(F.coalesce(head, middle, tail).isNotNull(), added)
+
+
+def rolling(df: DataFrame, keys: Sequence[str], ts: str, period: str, c: str, fn: str = "max",
+            name: str = "rolled", buckets: int = 24) -> DataFrame:
+    """An aggregate (max, min, sum, count, mean) over the rows in ``(t - period, t]``, from one
+    row on.
+
+    The period is cut into equal buckets, so a frame is the end of one bucket (head), whole
+    buckets (middle) and the start of the current one (tail). Head and tail are running
+    aggregates inside a (key, bucket) partition, and the middle works on one row per bucket:
+    the cost per row does not grow with the rows in a frame, and a key with a third of all
+    rows is many partitions.
     """
     span = period_micros(period)
-    width = span * slices
-    at = df.withColumn("_us", micros(ts))
-    home = F.expr(f"floor(_us / {width})")
-    reach = F.expr(f"floor((_us + {span - 1}) / {width})")
-    copies = at.withColumn("_home", home).withColumn("_slice", F.explode(F.sequence(home, reach)))
-    frame = W.partitionBy(*keys, "_slice").orderBy("_us").rangeBetween(-(span - 1), 0)
-    out = copies.withColumn(name, fn(c).over(frame)).filter(F.col("_slice") == F.col("_home"))
-    return out.drop("_us", "_home", "_slice")
+    if span % buckets:
+        raise ValueError("the period must divide into the buckets")
+    width, keys, parts = span // buckets, list(keys), ROLLING[fn]
+    rows = df.withColumn("_us", micros(ts)).withColumn("_b", F.expr(f"floor(_us / {width})"))
+    upto = W.partitionBy(*keys, "_b").orderBy("_us").rangeBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumns({f"_tail{i}": f(c).over(upto) for i, f in enumerate(parts)})
+
+    per_bucket = df.groupBy(*keys, F.floor(micros(ts) / width).alias("_b")).agg(*[
+        f(c).alias(f"_p{i}") for i, f in enumerate(parts)])
+    between = W.partitionBy(*keys).orderBy("_b").rangeBetween(-(buckets - 1), -1)
+    join = [F.sum if f is F.count else f for f in parts]
+    middle = per_bucket.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_mb"),
+        *[f(f"_p{i}").over(between).alias(f"_middle{i}") for i, f in enumerate(join)])
+    same = F.col("_b") == F.col("_mb")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    rows = rows.join(small_side(middle), same, "left")
+
+    # every row enters its own bucket as a value, and the bucket one period earlier as a question
+    kept = [*df.columns, *[f"_tail{i}" for i in range(len(parts))], *[f"_middle{i}" for i in range(len(parts))]]
+    value, nothing = F.col(c), F.lit(None)
+    row = F.struct(*kept)
+    entries = rows.select(*keys, F.explode(F.array(
+        F.struct(F.col("_b").alias("b"), F.col("_us").alias("at"), value.alias("v"), F.when(F.lit(False), row).alias("row")),
+        F.struct((F.col("_b") - buckets).alias("b"), (F.col("_us") - span).alias("at"),
+                 nothing.cast(df.schema[c].dataType).alias("v"), F.when(F.lit(True), row).alias("row")),
+    )).alias("_e")).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_e.*")
+    after = W.partitionBy(*[f"_k{i}" for i in range(len(keys))], "b").orderBy(F.desc("at")).rangeBetween(W.unboundedPreceding, -1)
+    heads = entries.withColumns({f"_head{i}": f("v").over(after) for i, f in enumerate(parts)}).filter("row is not null")
+    done = [_combine(fn, i, F.col(f"_head{i}"), F.col(f"row._middle{i}"), F.col(f"row._tail{i}")) for i in range(len(parts))]
+    result = F.try_divide(done[0], done[1]) if fn == "mean" else done[0]
+    return heads.select(*[F.col(f"row.`{x}`").alias(x) for x in df.columns], result.alias(name))
 
 
 def sma(df: DataFrame, keys: Sequence[str], order: Sequence[str], c: str, n: int, name: str = "sma") -> DataFrame:

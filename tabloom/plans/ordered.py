@@ -11,12 +11,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tabloom.plans.sizes import any_key, hot_keys, plan_bytes, small_side
+from tabloom.plans.sizes import any_key, hot_keys, is_small, small_side
 from tabloom.session import written
 
 BLOCK_ROWS = 1_000_000
-SMALL_BYTES = 32 << 20
-SMALL_CONF = "tabloom.small.bytes"
 _LOW_BITS = (1 << 33) - 1
 
 Order = Sequence["str | Column"]
@@ -26,11 +24,6 @@ def _names(order: Order) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def _is_small(df: DataFrame) -> bool:
-    """Whether the optimizer bounds the input by a size that one task sorts without trouble."""
-    return plan_bytes(df) <= int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_BYTES)))
-
-
 def positions(df: DataFrame, order: Order, name: str = "_pos") -> DataFrame:
     """0-based position of every row in ``order``, which should be total.
 
@@ -40,7 +33,7 @@ def positions(df: DataFrame, order: Order, name: str = "_pos") -> DataFrame:
     """
     spark = df.sparkSession
     keys = _names(order)
-    if _is_small(df):
+    if is_small(df):
         return df.withColumn(name, (F.row_number().over(W.orderBy(*keys)) - 1).cast("long"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
@@ -70,7 +63,7 @@ def running_totals(df: DataFrame, order: Order, sums: dict[str, str]) -> DataFra
     Rows are numbered, cut into blocks of equal row count, summed inside a block, and
     shifted by the totals of the blocks before it.
     """
-    if _is_small(df):
+    if is_small(df):
         upto = W.orderBy(*_names(order)).rowsBetween(W.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(c).over(upto) for n, c in sums.items()})
     numbered_rows = positions(df, order)

@@ -6,48 +6,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tabloom.plans.sizes import is_small
+
 FINAL_VALUES = 100_000
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], final: int = FINAL_VALUES) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, cols: Sequence[str], final: int | None = None) -> dict[str, float | None]:
     """The exact median of every column.
 
-    Every pass is one aggregate over all columns: it counts the rows below the bracket
-    and asks for approximate percentiles inside it. The approximate ranks pick the next,
-    much narrower bracket. Once a bracket is small its value counts are fetched.
+    Input of proven small size takes the built-in exact function. Beyond it, every pass is
+    one aggregate over all columns: approximate percentiles around the middle give a narrow
+    bracket, and counts below and inside it show where the middle ranks lie. Once a bracket
+    holds few rows its value counts are fetched.
     """
     cols = list(cols)
     if not cols:
         return {}
+    if final is None and is_small(df):
+        row = df.agg(*[F.median(c).cast("double").alias(f"m{i}") for i, c in enumerate(cols)]).first()
+        return {c: row[f"m{i}"] for i, c in enumerate(cols)}
+    final = final or FINAL_VALUES
+    around = [0.499, 0.501]
     base = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-                  *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
-                  *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
-    result: dict[str, float | None] = {}
-    state = {}
-    for i, c in enumerate(cols):
-        n = base[f"n_{i}"]
-        if n == 0:
-            result[c] = None
-        else:
-            state[c] = {"n": n, "lo": base[f"lo_{i}"], "hi": base[f"hi_{i}"], "below": 0, "in": n}
-    while True:
-        for c in [c for c in state if "pair" in state[c]]:
-            result[c] = sum(state.pop(c)["pair"]) / 2
-        wide = [c for c in state if state[c]["in"] > final and state[c]["lo"] != state[c]["hi"]]
-        if not wide:
-            break
-        probes = []
-        for i, c in enumerate(wide):
-            s = state[c]
-            half = (s["n"] + 1) // 2 - s["below"]
-            mid = half / s["in"]
-            shares = [max(0.0, mid - 0.001), min(1.0, mid + 0.001)]
-            inside = F.when(F.col(c).between(F.lit(s["lo"]), F.lit(s["hi"])), F.col(c))
-            probes.append(F.percentile_approx(inside, shares, 20000).alias(f"p_{i}"))
-        cuts = df.agg(*probes).first()
+                  *[F.percentile_approx(c, around, 20000).alias(f"p_{i}") for i, c in enumerate(cols)]).first()
+    result: dict[str, float | None] = {c: None for c in cols}
+    state = {c: {"n": base[f"n_{i}"], "in": base[f"n_{i}"], "below": 0, "cut": base[f"p_{i}"]}
+             for i, c in enumerate(cols) if base[f"n_{i}"] > 0}
+    wide = list(state)
+    while wide:
         tests = []
         for i, c in enumerate(wide):
-            lo, hi = (F.lit(v) for v in cuts[f"p_{i}"])
+            lo, hi = (F.lit(v) for v in state[c]["cut"])
             col = F.col(c)
             tests += [
                 F.count(F.when(col < lo, 1)).alias(f"below_{i}"),
@@ -59,8 +48,23 @@ def exact_medians(df: DataFrame, cols: Sequence[str], final: int = FINAL_VALUES)
             ]
         counts = df.agg(*tests).first()
         for i, c in enumerate(wide):
-            _narrow(state[c], cuts[f"p_{i}"], {k: counts[f"{k}_{i}"] for k in
+            _narrow(state[c], state[c]["cut"], {k: counts[f"{k}_{i}"] for k in
                     ("below", "at_lo", "below_hi", "upto", "next", "prev")})
+        for c in [c for c in state if "pair" in state[c]]:
+            result[c] = sum(state.pop(c)["pair"]) / 2
+        wide = [c for c in state if state[c]["in"] > final and state[c]["lo"] != state[c]["hi"]]
+        if not wide:
+            break
+        probes = []
+        for i, c in enumerate(wide):
+            s = state[c]
+            middle = ((s["n"] + 1) // 2 - s["below"]) / s["in"]
+            shares = [max(0.0, middle - 0.001), min(1.0, middle + 0.001)]
+            inside = F.when(F.col(c).between(F.lit(s["lo"]), F.lit(s["hi"])), F.col(c))
+            probes.append(F.percentile_approx(inside, shares, 20000).alias(f"p_{i}"))
+        cuts = df.agg(*probes).first()
+        for i, c in enumerate(wide):
+            state[c]["cut"] = cuts[f"p_{i}"]
     if state:
         pairs = F.array(*[
             F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"),

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_BYTES = 64 << 20
-HOT_ROWS = 5_000_000
+HOT_ROWS = 20_000_000
+SMALL_BYTES = 32 << 20
+SMALL_CONF = "tabloom.small.bytes"
 HOT_ROWS_CONF = "tabloom.hot.rows"
 
 
@@ -21,6 +23,11 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the optimizer bounds the input by a size that one task handles without trouble."""
+    return plan_bytes(df) <= int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_BYTES)))
+
+
 def hot_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 

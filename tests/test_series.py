@@ -49,10 +49,19 @@ def test_hourly_bars(frame, ticks):
     assert np.allclose(got[["open", "high", "low", "close"]].astype(float), want, equal_nan=True)
 
 
-@pytest.mark.parametrize("slices", [1, 4])
-def test_rolling_three_days(frame, ticks, slices):
-    got = TS.rolling(frame.withColumn("k", F.lit(1)), ["k"], "ts", "3 days", "v", slices=slices).orderBy("i").toPandas()
-    assert got["rolled"].tolist() == ticks.rolling("3D", on="ts")["v"].max().tolist()
+@pytest.mark.parametrize("buckets", [1, 2, 24, 3 * 24 * 60])
+@pytest.mark.parametrize("fn", ["max", "min", "sum", "count", "mean"])
+def test_rolling_three_days(frame, ticks, fn, buckets):
+    got = TS.rolling(frame.withColumn("k", F.lit(None).cast("int")), ["k"], "ts", "3 days", "v", fn, buckets=buckets).orderBy("i").toPandas()
+    want = getattr(ticks.rolling("3D", on="ts")["v"], fn)()
+    assert np.allclose(got["rolled"].astype(float), want)
+
+
+def test_rolling_keeps_ties_and_nulls(spark):
+    rows = [("a", T0, 1.0), ("a", T0, 5.0), ("a", T0 + dt.timedelta(days=1), None), ("b", T0, None)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    got = sorted((r["k"], r["ts"], str(r["rolled"])) for r in TS.rolling(df, ["k"], "ts", "3 days", "v").collect())
+    assert [g[2] for g in got] == ["5.0", "5.0", "5.0", "None"]
 
 
 def test_rolling_frame_is_half_open(spark):
