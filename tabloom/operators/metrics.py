@@ -99,19 +99,34 @@ def auc(df: DataFrame, y: str, score: str) -> DataFrame:
     return roc(df, y, score).agg(F.sum("area").alias("auc"))
 
 
+def auc_by(df: DataFrame, group: str, y: str, score: str) -> DataFrame:
+    """The area of every group, all groups in one ordered pass.
+
+    Running totals go through all groups; what earlier groups added is taken off again.
+    """
+    per = df.groupBy(group, F.col(score).alias("threshold")).agg(
+        F.sum((F.col(y) == 1).cast("long")).alias("_p"), F.sum((F.col(y) != 1).cast("long")).alias("_n"))
+    per = written(per, "thresholds")
+    totals = per.groupBy(group).agg(F.sum("_p").alias("_pp"), F.sum("_n").alias("_nn"))
+    known, before = [], 0
+    for row in sorted(bounded_rows(totals, MAX_CLASSES, "groups"), key=lambda r: r[group]):
+        known.append((row[group], row["_pp"], row["_nn"], before))
+        before += row["_pp"]
+    kind = per.schema[group].dataType.simpleString()
+    table = df.sparkSession.createDataFrame(known, f"`{group}` {kind}, _pp long, _nn long, _before long")
+    cum = running_totals(per, [group, F.desc("threshold")], {"tp": "_p"}).join(F.broadcast(table), group)
+    height = F.try_divide(2 * (F.col("tp") - F.col("_before")) - F.col("_p"), 2 * F.col("_pp"))
+    return cum.groupBy(group).agg(F.sum(F.try_divide("_n", "_nn") * height).alias("auc"))
+
+
 def auc_per_class(df: DataFrame, y: str, scores: str, classes: Sequence[int]) -> DataFrame:
-    """One-against-rest area per class of a score array, and the micro average."""
-    parts = []
-    for k in classes:
-        one = df.select((F.col(y) == k).cast("int").alias("_y"), F.get(scores, F.lit(k)).alias("_s"))
-        parts.append(auc(one, "_y", "_s").select(F.lit(str(k)).alias("label"), "auc"))
-    flat = df.select(F.posexplode(scores).alias("_k", "_s"), F.col(y).alias("_c"))
-    flat = flat.select((F.col("_k") == F.col("_c")).cast("int").alias("_y"), "_s")
-    parts.append(auc(flat, "_y", "_s").select(F.lit("micro").alias("label"), "auc"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One-against-rest area per class of a score array, and the micro average over all classes."""
+    flat = df.select(F.col(y).alias("_c"), F.posexplode(scores).alias("_k", "_s"))
+    hit = (F.col("_k") == F.col("_c")).cast("int")
+    entry = F.struct(hit.alias("_y"), "_s")
+    groups = F.array_compact(F.array(F.when(F.col("_k").isin(list(classes)), F.col("_k").cast("string")), F.lit("micro")))
+    rows = flat.select(F.explode(groups).alias("label"), entry.alias("e")).select("label", "e.*")
+    return auc_by(rows, "label", "_y", "_s")
 
 
 def log_loss(df: DataFrame, y: str, p: str, eps: float = 1e-15) -> DataFrame:

@@ -314,3 +314,23 @@ def test_splits_do_not_depend_on_partitions(spark):
     b = R.split_random(df.repartition(13), 0.25, ["id"])[1]
     assert sorted(a.collect()) == sorted(b.collect()) and 180 < a.count() < 320
     assert [r.id for r in R.shuffle(df, 3).limit(5).collect()] == [r.id for r in R.shuffle(df.repartition(7), 3).limit(5).collect()]
+
+
+def test_areas_of_groups_in_one_pass(spark, binary, large):
+    both = binary.select(F.lit("a").alias("g"), "y", "score").unionByName(
+        binary.select(F.lit("b").alias("g"), (1 - F.col("y")).alias("y"), "score"))
+    got = {r["g"]: r["auc"] for r in M.auc_by(both, "g", "y", "score").collect()}
+    assert got == pytest.approx({"a": 0.783333, "b": 1 - 0.783333}, abs=1e-6)
+
+
+def test_forest_and_hybrid_rank(spark):
+    df = spark.createDataFrame([(float(i), float(i * 37 % 11), float(3 * i)) for i in range(200)], "a double, b double, y double")
+    model = MD.fit_forest_reg(df, ["a", "b"], "y", trees=5)
+    assert RK.forest_importance(spark, model.stages[-1], ["a", "b"]).first()["name"] == "a"
+    weights = RK.weight_rank(spark, ["a", "b"], [[3.0], [1.0]])
+    perturb = RK.perturbation_rank(df, ["a", "b"], model.transform, F.pow(F.col("prediction") - F.col("y"), 2.0), to_sum=True)
+    assert sum(r["importance"] for r in perturb.collect()) == pytest.approx(1)
+    corr = RK.corr_rank(df, ["a", "b"], "y")
+    hybrid = {r["name"]: r["importance"] for r in RK.hybrid_rank(weights, perturb, corr).collect()}
+    c = {r["name"]: r["importance"] for r in corr.collect()}
+    assert hybrid == pytest.approx({"a": (0.75 + c["a"]) / 2, "b": (0.25 + c["b"]) / 2})
