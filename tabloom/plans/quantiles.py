@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from tabloom.plans.sizes import is_small
 
 FINAL_VALUES = 100_000
+# above this the built-in function, which keeps every distinct value in one map, is the slower way
+BUILT_IN_BYTES = 1 << 20
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], final: int | None = None) -> dict[str, float | None]:
@@ -22,7 +24,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], final: int | None = None)
     cols = list(cols)
     if not cols:
         return {}
-    if final is None and is_small(df):
+    if final is None and is_small(df, BUILT_IN_BYTES):
         row = df.agg(*[F.median(c).cast("double").alias(f"m{i}") for i, c in enumerate(cols)]).first()
         return {c: row[f"m{i}"] for i, c in enumerate(cols)}
     final = final or FINAL_VALUES

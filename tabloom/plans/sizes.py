@@ -23,9 +23,9 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
-def is_small(df: DataFrame) -> bool:
+def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
     """Whether the optimizer bounds the input by a size that one task handles without trouble."""
-    return plan_bytes(df) <= int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_BYTES)))
+    return plan_bytes(df) <= min(limit, int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_BYTES))))
 
 
 def hot_rows(df: DataFrame) -> int:
