@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -136,7 +137,7 @@ def search_shard(texts: list[bytes | None], phrases: Phrases) -> list[tuple]:
     sizes = np.array([len(w) for w in split], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
     number = phrases.numbers.get
-    ids = np.fromiter((number(w, 0) for words in split for w in words), np.int64, int(starts[-1]))
+    ids = np.fromiter(map(number, chain.from_iterable(split), repeat(0)), np.int64, int(starts[-1]))
     nothing = [(int(n), 0, [], []) for n in sizes]
     if not phrases.least or not len(ids):
         return nothing

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,14 +15,14 @@ from tabloom.session import written
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: A pair of similarity 0.8 shares no band with probability (1 - 0.8^5)^32, three in a million.
-BANDS, BAND_ROWS = 32, 5
+#: A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^24, three in a million.
+BANDS, BAND_ROWS = 24, 4
 #: Words whose texts are hashed together in a task.
 SLICE_WORDS = 400_000
 #: Measured rows of 24 bytes that a join may broadcast; beyond it both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Leaders that a bucket gets in the rounds after the first.
-LEADERS = 8
+#: Leaders of a bucket grow by this factor from round to round.
+GROWTH = 8
 
 
 class _WordHashes(dict):
@@ -40,7 +41,7 @@ def shingles(texts: list[bytes | None], size: int = SHINGLE) -> list[tuple[np.nd
     ``size`` has one shingle of them all; a text without words has none."""
     split = [words_of(t) for t in texts]
     sizes = [len(w) for w in split]
-    flat = np.fromiter(map(_HASHES.__getitem__, (w for words in split for w in words)), np.uint64, sum(sizes))
+    flat = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(split)), np.uint64, sum(sizes))
     n = max(0, len(flat) - size + 1)
     run = np.zeros(n, np.uint64)
     for k in range(size):
@@ -86,27 +87,35 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS
         return -np.log(u) / w
 
     turn = np.zeros(len(element), np.int64)
-    time = gap(element, turn, weight)
+    held = [element, row, weight, turn, gap(element, turn, weight)]
+    cells = earliest.reshape(rows, registers)
     while True:
-        go = np.flatnonzero(time <= np.minimum(horizon, stop)[row])
-        if not len(go):
-            late = stop > horizon
-            if not late.any():
-                break
-            horizon[late] *= 2
-            continue
-        e, k, t = element[go], turn[go], time[go]
-        register = (mixed(folded(e ^ np.uint64(0x5DEECE66D), k.astype(np.uint64))) % np.uint64(registers)).astype(np.int64)
-        cell = row[go] * registers + register
-        np.minimum.at(earliest, cell, t)
-        first = earliest[cell] == t
-        taken[cell[first]] = e[first]
-        turn[go] = k + 1
-        time[go] = t + gap(e, k + 1, weight[go])
-        stop = np.where(filled, -1.0, earliest.reshape(rows, registers).max(axis=1))
-        alive = time <= stop[row]
-        if not alive.all():
-            element, row, weight, turn, time = element[alive], row[alive], weight[alive], turn[alive], time[alive]
+        soon = held[4] <= np.minimum(horizon, stop)[held[1]]
+        element, row, weight, turn, time = (x[soon] for x in held)
+        waiting = [[x[~soon] for x in held]]
+        while len(element):
+            # few processes draw many arrivals at a time; one later than needed changes nothing
+            block = int(np.clip(20_000 // len(element), 1, 64))
+            turns = turn[:, None] + np.arange(block)
+            drawn = np.repeat(element, block).reshape(-1, block)
+            ahead = gap(drawn, turns + 1, weight[:, None])
+            times = time[:, None] + np.concatenate([np.zeros((len(time), 1)), np.cumsum(ahead, axis=1)[:, :-1]], axis=1)
+            register = (mixed(folded(drawn ^ np.uint64(0x5DEECE66D), turns.astype(np.uint64))) % np.uint64(registers)).astype(np.int64)
+            cell, at = (row[:, None] * registers + register).ravel(), times.ravel()
+            np.minimum.at(earliest, cell, at)
+            first = earliest[cell] == at
+            taken[cell[first]] = drawn.ravel()[first]
+            turn, time = turn + block, times[:, -1] + ahead[:, -1]
+            touched = np.flatnonzero(np.bincount(row, minlength=rows))
+            stop[touched] = cells[touched].max(axis=1)
+            go = time <= np.minimum(horizon, stop)[row]
+            waiting.append([x[~go] for x in (element, row, weight, turn, time)])
+            element, row, weight, turn, time = element[go], row[go], weight[go], turn[go], time[go]
+        late = stop > horizon
+        if not late.any():
+            break
+        horizon[late] *= 2
+        held = [np.concatenate(parts) for parts in zip(*([x[late[w[1]]] for x in w] for w in waiting))]
     return taken.reshape(rows, registers)
 
 
@@ -168,17 +177,24 @@ def _looked_up(large: DataFrame, small: DataFrame, keys: list[str], how: str = "
 def components(links: DataFrame) -> DataFrame:
     """(tid, cls): the least id of each connected component, for ids that have a link.
 
-    Labels are the least of the neighbours', then jump to their label's label; every round is stored in the shared folder.
+    Labels are the least of the neighbours', then jump to their label's label; a round does both twice and is stored in
+    the shared folder. Rounds end when no label moves.
     """
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = written(both.groupBy(F.col("a").alias("tid")).agg(F.least("tid", F.min("b")).alias("cls")), "labels")
+    labels = both.groupBy(F.col("a").alias("tid")).agg(F.least(F.col("a"), F.min("b")).alias("cls"))
+
+    def step(labels: DataFrame) -> DataFrame:
+        near = both.join(labels.select(F.col("tid").alias("b"), F.col("cls").alias("near")), "b").groupBy(F.col("a").alias("tid")).agg(F.min("near").alias("near"))
+        moved = labels.join(near, "tid").withColumn("cls", F.least("cls", "near")).drop("near")
+        far = labels.select(F.col("tid").alias("cls"), F.col("cls").alias("far"))
+        return moved.join(far, "cls").withColumn("cls", F.least("cls", "far")).drop("far")
+
     while True:
-        near = both.join(labels.select(F.col("tid").alias("b"), "cls"), "b").groupBy(F.col("a").alias("tid")).agg(F.min("cls").alias("near"))
-        moved = labels.join(near, "tid").select("tid", F.col("cls").alias("was"), F.least("cls", "near").alias("cls"))
-        jumped = moved.join(labels.select(F.col("tid").alias("cls"), F.col("cls").alias("far")), "cls")
-        labels = written(jumped.select("tid", "was", F.least("cls", "far").alias("cls")), "labels")
-        if labels.filter("cls <> was").limit(1).count() == 0:
+        start = written(labels.withColumn("was", F.col("cls")), "labels")
+        labels = written(step(step(start)), "labels")
+        if labels.filter("cls <> was").isEmpty():
             return labels.select("tid", "cls")
+        labels = labels.select("tid", "cls")
 
 
 def _verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -191,51 +207,63 @@ def _verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return close.filter(common >= F.lit(similarity) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def _open(members: DataFrame, classes: DataFrame | None) -> DataFrame:
+def _open(members: DataFrame) -> DataFrame:
     """Members of buckets in which more than one class is left."""
-    known = members.drop("cls")
-    known = known.join(classes, "tid", "left") if classes is not None else known.withColumn("cls", F.lit(None).cast("long"))
-    known = known.withColumn("cls", F.coalesce("cls", "tid"))
-    mixed_keys = known.groupBy("bucket").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi").select("bucket")
-    return known.join(mixed_keys, "bucket")
+    split = members.groupBy("bucket").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo <> hi").select("bucket")
+    return members.join(split, "bucket")
 
 
-def _links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
-    """Links that join all classes of bucket mates, from leaders instead of all pairs.
+def _possible(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Members of open buckets that may still have a partner there, with their set size and own shingles.
 
-    In each round every open bucket (one with members of two classes or more) names leaders, the
-    members that most others share buckets with; the members of other classes are verified against them. A leader has
-    then met everyone in its bucket and leaves it, so each round emits rows in proportion to the members, and when no bucket
-    is open every pair of bucket mates is of one class or was verified. Before later rounds, members that cannot have a
-    partner go: one of which more than a share 1 - similarity of its shingles occur in no other open member.
+    ``alone`` counts a member's shingles that no other open member has. The union with a partner holds the partner's own
+    shingles besides all of the member's, and the common part none of either's, so with the least ``alone`` of the bucket a
+    similarity can be ruled out without looking at pairs.
     """
-    spark = members.sparkSession
-    found: list[DataFrame] = []
-    classes, current, leaders_each = None, members, 1
+    near = sets.join(members.select("tid").distinct(), "tid", "left_semi").select("tid", "set")
+    single = near.select("tid", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("tid").alias("tid")).filter("k = 1")
+    alone = single.groupBy("tid").agg(F.count("*").alias("alone"))
+    known = written(near.select("tid", F.size("set").alias("n")).join(alone, "tid", "left").na.fill(0, ["alone"]), "own-shingles")
+    known = members.drop("n", "alone").join(known, "tid")
+    least = known.groupBy("bucket").agg(F.min("alone").alias("least"))
+    return _open(known.join(least, "bucket").filter(F.col("n") - F.col("alone") >= F.lit(similarity) * (F.col("n") + F.col("least"))).drop("least"))
+
+
+def _links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(tid, cls): classes of all members by links between bucket mates, from leaders instead of all pairs.
+
+    In each round every open bucket (one with members of two classes or more) names leaders; the members of other
+    classes are verified against them. A leader has then met everyone in its bucket and leaves it, so rows emitted are in
+    proportion to the members, and when no bucket is open every pair of bucket mates is of one class, was verified, or
+    was ruled out by ``_possible``. The first leader is the member that most others share buckets with; later ones are those
+    with the fewest shingles of their own, which can have most partners. Their number grows from round to round, so rounds
+    are as many as the logarithm of the largest bucket.
+    """
+    central = members.groupBy("tid").agg(F.sum(F.log("n")).alias("rank"))
+    current = members.select("bucket", "tid").join(central, "tid").withColumn("cls", F.col("tid"))
+    classes, leaders_each = central.select("tid", F.col("tid").alias("cls")), 1
+    alike = F.lit(True)
     while True:
-        current = written(_open(current, classes), "open-buckets")
-        if current.limit(1).count() == 0:
-            break
-        if classes is not None or leaders_each > 1:
-            own = sets.join(current.select("tid").distinct(), "tid", "left_semi")
-            single = own.select("tid", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("tid").alias("tid")).filter("n = 1")
-            alone = single.groupBy("tid").agg(F.count("*").alias("n_alone"))
-            bound = F.lit(1 - similarity) * F.size("set") + F.lit(1e-9)
-            lonely = sets.join(alone, "tid").filter(F.col("n_alone") > bound).select("tid")
-            current = written(_open(current.join(lonely, "tid", "left_anti"), classes), "open-buckets")
+        current = written(current, "open-buckets")
+        if current.isEmpty():
+            return classes
         part = F.pmod(F.xxhash64("tid"), F.lit(leaders_each))
-        leaders = current.groupBy("bucket", part.alias("part")).agg(F.max(F.struct("central", "tid")).alias("l"))
-        leaders = written(leaders.select("bucket", F.col("l.tid").alias("b")), "leaders")
-        of_class = leaders.join(current.select("bucket", F.col("tid").alias("b"), F.col("cls").alias("other")), ["bucket", "b"])
-        edges = current.join(of_class, "bucket").filter("cls <> other").select(F.col("tid").alias("a"), "b").distinct()
-        found.append(written(_verified(edges, sets, similarity), "verified"))
-        links = found[0]
-        for more in found[1:]:
-            links = links.unionByName(more)
-        classes = components(links)
-        current = current.join(leaders.withColumnRenamed("b", "tid"), ["bucket", "tid"], "left_anti")
-        leaders_each = LEADERS
-    return classes
+        leaders = current.groupBy("bucket", part.alias("part")).agg(F.max_by(F.struct(*[F.col(c).alias(f"{c}_b") for c in current.columns if c != "bucket"]), F.struct("rank", "tid")).alias("l"))
+        leaders = leaders.select("bucket", "l.*")
+        edges = current.join(leaders, "bucket").filter((F.col("cls") != F.col("cls_b")) & alike).select(F.col("tid").alias("a"), F.col("tid_b").alias("b")).distinct()
+        links = written(_verified(edges, sets, similarity), "verified")
+        left = current.join(leaders.select("bucket", F.col("tid_b").alias("tid")), ["bucket", "tid"], "left_anti").select("bucket", "tid", "cls")
+        if not links.isEmpty():
+            name = lambda c: classes.select(F.col("tid").alias(c), F.col("cls").alias(f"cls_{c}"))
+            moved = components(links.join(name("a"), "a").join(name("b"), "b").select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).filter("a <> b"))
+            moved = moved.select(F.col("tid").alias("cls"), F.col("cls").alias("to"))
+            classes = written(classes.join(moved, "cls", "left").select("tid", F.coalesce("to", "cls").alias("cls")), "classes")
+            left = left.join(moved, "cls", "left").select("bucket", "tid", F.coalesce("to", "cls").alias("cls"))
+        left = written(_open(left), "left")
+        current = _possible(left, sets, similarity).withColumn("rank", -F.col("alone") / F.col("n"))
+        common, union = F.least(F.col("n") - F.col("alone"), F.col("n_b") - F.col("alone_b")), F.greatest(F.col("n") + F.col("alone_b"), F.col("n_b") + F.col("alone"))
+        alike = common >= F.lit(similarity) * union
+        leaders_each *= GROWTH
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, similarity: float = SIMILARITY,
@@ -254,15 +282,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     flat = texts.select("tid", F.explode("bands").alias("bucket"))
     shared = flat.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = written(flat.join(shared, "bucket"), "members")
-    central = members.groupBy("tid").agg(F.sum(F.log("n")).alias("central"))
-    members = members.drop("n").join(central, "tid")
-    wanted = written(texts.select("digest", "tid").join(central.select("tid"), "tid", "left_semi"), "wanted")
+    wanted = written(texts.select("digest", "tid").join(members.select("tid").distinct(), "tid", "left_semi"), "wanted")
     own = _looked_up(docs.select(digest(text).alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("t")), wanted, ["digest"])
     own = own.groupBy("tid").agg(F.first("t").alias("t"))
     sets = written(own.select("tid", _set_udf(size)(utf8("t")).alias("set")), "shingle-sets")
     classes = _links(members, sets, similarity)
-    named = texts.select("digest", "key", "tid")
-    named = named.join(classes, "tid", "left") if classes is not None else named.withColumn("cls", F.lit(None).cast("long"))
+    named = texts.select("digest", "key", "tid").join(classes, "tid", "left")
     named = written(named.withColumn("cls", F.coalesce("cls", "tid")).drop("tid"), "classes")
     # nulls sort first in a struct, so a null key would name its class; others go before
     heads = named.groupBy("cls").agg(F.min(F.struct(F.col("key").isNull().alias("x"), "key", "digest")).alias("head"))
