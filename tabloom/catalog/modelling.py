@@ -48,7 +48,7 @@ def _errors(df: DataFrame, label: str) -> DataFrame:
 
 @query("ml_forest_reg", "SELECT count(*) AS n, true AS beats_mean FROM lineitem")
 def _(t):
-    model = MD.fit_forest_reg(t.lineitem, ["l_quantity", "l_linenumber"], "l_extendedprice", trees=100, maxDepth=5)
+    model = MD.fit_forest_reg(t.lineitem, ["l_quantity", "l_linenumber"], "l_extendedprice", trees=100, maxDepth=20)
     return _errors(model.transform(t.lineitem), "l_extendedprice")
 
 
@@ -68,7 +68,7 @@ def _(t):
 @query("ml_grid", "SELECT 4 AS candidates, true AS scored FROM (SELECT count(*) FROM lineitem)")
 def _(t):
     search = MD.grid_search(t.lineitem.select("l_quantity", "l_linenumber", "l_extendedprice"), ["l_quantity", "l_linenumber"],
-                            "l_extendedprice", {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]}, folds=2)
+                            "l_extendedprice", {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]}, folds=5)
     scores = search.avgMetrics
     return t.spark.range(1).select(F.lit(len(scores)).alias("candidates"), F.lit(min(scores) > 0).alias("scored"))
 
@@ -101,7 +101,7 @@ def _(t):
 def _(t):
     x = F.col("c_acctbal") / 10000
     rows = t.customer.select(x.alias("a"), (x * x).alias("b"), F.when(x < 0.3, 0.0).when(x < 0.6, 1.0).otherwise(2.0).alias("label"))
-    scored = MD.fit_mlp(rows, ["a", "b"], "label", 3, rounds=60, seed=1).transform(rows)
+    scored = MD.fit_mlp(rows, ["a", "b"], "label", 3, rounds=200, seed=1).transform(rows)
     return scored.agg(F.count("*").alias("n"), (F.avg((F.col("label") == F.col("prediction")).cast("int")) > 0.5).alias("learned"))
 
 
@@ -109,17 +109,18 @@ def _(t):
 def _(t):
     rows = t.orders.select(F.col("o_totalprice").alias("x"), (F.col("o_totalprice") > 250000).cast("double").alias("label"))
     train = rows.filter(F.pmod(F.xxhash64("x"), F.lit(4)) > 0)
-    scored = MD.fit_forest(train, ["x"], "label", trees=10).transform(rows)
+    scored = MD.fit_forest(train, ["x"], "label", trees=50).transform(rows)
     return scored.agg(F.count("*").alias("n"), (F.avg((F.col("label") == F.col("prediction")).cast("int")) > 0.95).alias("separates"))
 
 
-@query("ml_fuzzy_cmeans", "SELECT p_partkey, true AS sums_to_one FROM part")
+@query("ml_fuzzy_cmeans", "SELECT p_partkey, true AS sums_to_one, true AS converged FROM part")
 def _(t):
     rows = t.part.select("p_partkey", F.col("p_size").cast("double").alias("x"), (F.col("p_retailprice") / 20).alias("y"))
-    centers, fpc, rounds = MD.fuzzy_cmeans(rows, ["x", "y"], 3, max_iter=30)
+    centers, fpc, rounds = MD.fuzzy_cmeans(rows, ["x", "y"], 3)
     out = MD.fuzzy_assign(rows, ["x", "y"], centers)
     total = F.aggregate("membership", F.lit(0.0), lambda a, v: a + v)
-    return out.select("p_partkey", ((F.abs(total - 1) < 1e-9) & F.col("cluster").between(0, 2)).alias("sums_to_one"))
+    return out.select("p_partkey", ((F.abs(total - 1) < 1e-9) & F.col("cluster").between(0, 2)).alias("sums_to_one"),
+                      F.lit(rounds < 1000).alias("converged"))
 
 
 @query("ml_fuzzy_score", """WITH a AS (SELECT p_partkey, 15 + p_size / 2 AS bmi, 4 + p_partkey % 4 AS a1c, p_partkey % 30 AS bp FROM part),

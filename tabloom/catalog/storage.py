@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabloom.catalog.registry import Tables, query
 from tabloom.operators import wiki as WK
-from tabloom.session import new_path
+from tabloom.session import new_path, written
 from tabloom.sources import dumps, forests, generators, images, sinks, tables as SRC
 
 PART_SCHEMA = "p_partkey long, p_name string, p_size int, p_retailprice double"
@@ -44,12 +44,13 @@ def _(t):
     return SRC.scan_csv(t.spark, _part_csv(t, header=False), PART_SCHEMA, header=False)
 
 
-@query("scan_csv_multi", """SELECT year(o_orderdate)::INT AS year, count(*) AS n, max(o_orderkey) AS last FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998 GROUP BY 1""")
+@query("scan_csv_multi", """SELECT year(o_orderdate)::INT AS year, count(*) AS n, max(o_orderkey) AS last FROM orders GROUP BY 1""")
 def _(t):
     from tabloom.operators.frame import of_year
 
     paths = []
-    for year in (1996, 1997, 1998):
+    span = t.orders.agg(F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi")).first()
+    for year in range(span["lo"], span["hi"] + 1):
         path = new_path(t.spark, f"orders-{year}")
         of_year(t.orders, "o_orderdate", year).select("o_orderkey", "o_orderdate").write.option("header", True).csv(path)
         paths.append(path)
@@ -220,12 +221,13 @@ def _(t):
 UNION ALL SELECT 'articleLink', count(*) FROM ({_LINKS}) UNION ALL SELECT 'redirect', count(*) FROM ({_WIKI}) WHERE ns = 0 AND redirect IS NOT NULL
 UNION ALL SELECT 'template', count(*) FROM ({_WIKI}) WHERE ns = 10""")
 def _(t):
-    pages, out = _pages(t), new_path(t.spark, "wiki-tables")
+    # parsed once: the pages are stored, and each table reads them again
+    pages, out = written(_pages(t), "pages"), new_path(t.spark, "wiki-tables")
     made = WK.wiki_tables(pages)
-    sinks.write_tables(made, out, shared=pages)
+    sinks.write_tables(made, out, fmt="parquet")
     counts = None
     for name in made:
-        back = t.spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{out}/{name}")
+        back = t.spark.read.parquet(f"{out}/{name}")
         one = back.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
         counts = one if counts is None else counts.unionByName(one)
     return counts
@@ -379,7 +381,8 @@ def _(t):
     return sinks.load_table(t.spark, path)
 
 
-@query("sink_measures", """SELECT user_id, max(value) FILTER (event_type = 'click') AS click, max(value) FILTER (event_type = 'view') AS "view" FROM events WHERE event_type IN ('click', 'view') GROUP BY 1""")
+@query("sink_measures", """SELECT user_id, max(value) FILTER (event_type = 'click') AS click, max(value) FILTER (event_type = 'error') AS error, max(value) FILTER (event_type = 'purchase') AS purchase,
+max(value) FILTER (event_type = 'signup') AS signup, max(value) FILTER (event_type = 'view') AS "view" FROM events GROUP BY 1""")
 def _(t):
-    long = t.events.filter(F.col("event_type").isin("click", "view")).groupBy("user_id", "event_type").agg(F.max("value").alias("value"))
-    return sinks.export_measures(long, "user_id", "event_type", "value", ["click", "view"])
+    long = t.events.groupBy("user_id", "event_type").agg(F.max("value").alias("value"))
+    return sinks.export_measures(long, "user_id", "event_type", "value", ["click", "error", "purchase", "signup", "view"])

@@ -10,12 +10,26 @@ from tabloom.session import new_path
 from tabloom.streaming import twins as ST
 
 
-def _stream(t: Tables, name: str, max_files: int = 4) -> DataFrame:
-    """Rows written in time order as several files, read back as a stream."""
+SLICES, SLICE_FILES = 4, 2
+
+
+def _stream(t: Tables, name: str, late: bool = True) -> DataFrame:
+    """The table as a stream of several triggers: slices in time order, and one far later row that lets the
+    last windows close (its id is -1).
+
+    With ``late``, every third row of the last half hour of a slice arrives with the next slice.
+    """
     path = new_path(t.spark, "arrivals")
     rows = getattr(t, name)
-    rows.repartitionByRange(8, "ts").write.parquet(path)
-    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    cuts = rows.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("us")).agg(F.percentile_approx("us", [k / SLICES for k in range(1, SLICES)]).alias("c")).first()["c"]
+    us, half_hour = F.unix_micros(F.col("ts").cast("timestamp")), 1_800_000_000
+    home = sum((us > c).cast("int") for c in cuts)
+    if late:
+        home = home + sum(((us > c - half_hour) & (us <= c) & (F.col("event_id") % 3 == 0)).cast("int") for c in cuts)
+    flush = rows.orderBy(F.desc("ts")).limit(1).withColumns({"ts": F.col("ts") + F.expr("interval 30 days"), "event_id": F.lit(-1).cast(rows.schema["event_id"].dataType)})
+    for part in [*(rows.filter(home == k) for k in range(SLICES)), flush.unionByName(flush)]:
+        part.repartition(SLICE_FILES).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", SLICE_FILES).parquet(path)
 
 
 def _run(t: Tables, df: DataFrame) -> DataFrame:
@@ -28,25 +42,24 @@ def _run(t: Tables, df: DataFrame) -> DataFrame:
 
 
 @query("st_ohlc", """WITH b AS (SELECT date_trunc('hour', ts) AS period, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close FROM events GROUP BY 1)
-SELECT * FROM b WHERE period + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)""")
+SELECT * FROM b""")
 def _(t):
-    # files arrive in no fixed order here, so late rows are allowed for the whole span of a trigger
-    bars = _run(t, ST.stream_ohlc(_stream(t, "events", 100), "ts", "value", "event_id"))
+    bars = _run(t, ST.stream_ohlc(_stream(t, "events"), "ts", "value", "event_id"))
     return bars.withColumn("period", F.col("period").cast("timestamp_ntz"))
 
 
 @query("st_rolling", """WITH d AS (SELECT user_id, unnest(generate_series(date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS until, value FROM events)
-SELECT user_id, until, max(value) AS rolled FROM d WHERE until <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2""")
+SELECT user_id, until, max(value) AS rolled FROM d GROUP BY 1, 2""")
 def _(t):
-    rolled = _run(t, ST.stream_rolling(_stream(t, "events", 100), "ts", "value", ["user_id"]))
+    rolled = _run(t, ST.stream_rolling(_stream(t, "events"), "ts", "value", ["user_id"]))
     return rolled.withColumn("until", F.col("until").cast("timestamp_ntz"))
 
 
 @query("st_dedupe", "SELECT event_id FROM events")
 def _(t):
-    once = _stream(t, "events", 100)
-    twice = once.unionByName(_stream(t, "events", 100))
-    return _run(t, ST.stream_dedupe(twice.select("event_id", "ts"), "ts", ["event_id"]).select("event_id"))
+    twice = _stream(t, "events").unionByName(_stream(t, "events", late=False))
+    once = _run(t, ST.stream_dedupe(twice.select("event_id", "ts"), "ts", ["event_id"]).select("event_id"))
+    return once.filter("event_id >= 0")
 
 
 @query("st_ingest_route", f"""SELECT 'article' AS name, count(*) AS n FROM {_ARTICLES} UNION ALL SELECT 'articleTemplate', count(*) FROM ({_TEMPLATES})

@@ -12,6 +12,7 @@ from tabloom.operators import signals as SG, text as TX
 from tabloom.sources import images
 
 DIM = 64
+HALF = DIM // 2
 
 
 # ---------------------------------------------------------------- vectors
@@ -38,15 +39,15 @@ def _(t):
     return made.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("size"))
 
 
-@query("vec_block_set", """SELECT vec_id, list_transform(embedding, lambda x, i: CASE WHEN i BETWEEN 11 AND 20 THEN -2 ELSE x END)::DOUBLE[] AS v FROM embeddings""")
+@query("vec_block_set", """SELECT vec_id, list_transform(embedding, lambda x, i: CASE WHEN i BETWEEN 6 AND 30 THEN 4 ELSE x END)::DOUBLE[] AS v FROM embeddings""")
 def _(t):
-    return t.embeddings.select("vec_id", V.set_block(V.doubles("embedding"), 10, 20, -2.0).alias("v"))
+    return t.embeddings.select("vec_id", V.set_block(V.doubles("embedding"), 5, 30, 4.0).alias("v"))
 
 
-@query("vec_element_set", """SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x, i: CASE WHEN i IN (13, 15) THEN -2 ELSE x END) AS v, list_transform(embedding::DOUBLE[], lambda x, i: CASE WHEN i = 19 THEN x - 1.5 ELSE x END) AS w FROM embeddings""")
+@query("vec_element_set", """SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x, i: CASE WHEN i IN (1, 64) THEN 7 ELSE x END) AS v, list_transform(embedding::DOUBLE[], lambda x, i: CASE WHEN i = 33 THEN x + 0.25 ELSE x END) AS w FROM embeddings""")
 def _(t):
-    return t.embeddings.select("vec_id", V.set_elements("embedding", {12: -2.0, 14: -2.0}).alias("v"),
-                               V.set_elements("embedding", {18: -1.5}, add=True).alias("w"))
+    return t.embeddings.select("vec_id", V.set_elements("embedding", {0: 7.0, 63: 7.0}).alias("v"),
+                               V.set_elements("embedding", {32: 0.25}, add=True).alias("w"))
 
 
 @query("vec_random_step", "SELECT vec_id, 25::BIGINT AS n, true AS near FROM embeddings")
@@ -73,12 +74,13 @@ def _(t):
     return t.embeddings.select("vec_id", V.scale_bytes("embedding").alias("v"))
 
 
-@query("vec_mahalanobis", """SELECT vec_id, round(sqrt(x * x + y * y + z * z + x * y + x * z + y * z), 9) AS d FROM
-(SELECT vec_id, embedding[1]::DOUBLE - embedding[4]::DOUBLE AS x, embedding[2]::DOUBLE - embedding[5]::DOUBLE AS y, embedding[3]::DOUBLE - embedding[6]::DOUBLE AS z FROM embeddings)""")
+@query("vec_mahalanobis", f"""WITH d AS (SELECT vec_id, list_transform(list_zip(embedding[1:{HALF}], embedding[{HALF + 1}:{DIM}]), lambda p: p[1]::DOUBLE - p[2]::DOUBLE) AS d FROM embeddings)
+SELECT vec_id, round(sqrt(2 * list_sum(list_transform(d, lambda x: x * x)) - 0.75::DOUBLE * list_sum(list_transform(range(1, {HALF}), lambda i: d[i] * d[i + 1]))), 7) AS d FROM d""")
 def _(t):
-    inverse = [[1, 0.5, 0.5], [0.5, 1, 0.5], [0.5, 0.5, 1]]
-    d = V.mahalanobis(F.slice("embedding", 1, 3), F.slice("embedding", 4, 3), inverse)
-    return t.embeddings.select("vec_id", F.round(d, 9).alias("d"))
+    # neighbouring elements go together: a band matrix over the whole half
+    inverse = [[2.0 if i == j else -0.375 if abs(i - j) == 1 else 0.0 for j in range(HALF)] for i in range(HALF)]
+    d = V.mahalanobis(F.slice("embedding", 1, HALF), F.slice("embedding", HALF + 1, HALF), inverse)
+    return t.embeddings.select("vec_id", F.round(d, 7).alias("d"))
 
 
 # ---------------------------------------------------------------- text
@@ -114,16 +116,14 @@ def _(t):
     return out.withColumn("similarity", F.round("similarity", 8))
 
 
-@query("json_flatten", """WITH c AS (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY 1),
-j AS (SELECT c.conv_id, turns, r.role FROM c LEFT JOIN conversations r ON r.conv_id = c.conv_id AND r.role = 'system')
-SELECT conv_id, 'conv ' || conv_id AS name, coalesce(role, 'no role') AS item FROM j""")
+@query("json_flatten", """WITH c AS (SELECT conv_id, turn, list_filter([CASE WHEN role <> 'system' THEN role END, CASE WHEN turn = 0 THEN 'first' END], lambda x: x IS NOT NULL) AS tags FROM conversations)
+SELECT conv_id, 'turn ' || turn AS name, unnest(CASE WHEN len(tags) = 0 THEN ['no tag'] ELSE tags END) AS item FROM c""")
 def _(t):
-    c = t.conversations
-    base = c.select("conv_id").distinct().select("conv_id", F.concat(F.lit("conv "), "conv_id").alias("name"))
-    system = c.filter("role = 'system'").groupBy("conv_id").agg(F.collect_list("role").alias("roles"))
-    nested = base.join(system, "conv_id", "left").select(F.to_json(F.struct("conv_id", F.struct("name").alias("who"), "roles")).alias("value"))
-    parsed = nested.select(F.from_json("value", "conv_id long, who struct<name:string>, roles array<string>").alias("r")).select("r.*")
-    return TX.flatten_records(parsed, {"conv_id": "conv_id", "name": "who.name"}, "roles", "item", "no role")
+    tags = F.array_compact(F.array(F.when(F.col("role") != "system", F.col("role")), F.when(F.col("turn") == 0, F.lit("first"))))
+    who = F.struct(F.concat(F.lit("turn "), "turn").alias("name"))
+    nested = t.conversations.select(F.to_json(F.struct("conv_id", who.alias("who"), tags.alias("tags"))).alias("value"))
+    parsed = nested.select(F.from_json("value", "conv_id long, who struct<name:string>, tags array<string>").alias("r")).select("r.*")
+    return TX.flatten_records(parsed, {"conv_id": "conv_id", "name": "who.name"}, "tags", "item", "no tag")
 
 
 # ---------------------------------------------------------------- detections
@@ -192,9 +192,15 @@ def _(t):
     return SG.spectrum(_frames(t), "user_id", RATE, SIZE).withColumn("magnitude", F.round("magnitude", 9))
 
 
-@query("topk_distinct_notes")
+@query("topk_distinct_notes", f"""WITH s AS (SELECT user_id, frame, bin, bin * {RATE * 64 / SIZE}::DOUBLE AS freq, round(magnitude, 9) AS magnitude FROM ({_SPECTRUM}) WHERE bin > 0),
+n AS (SELECT *, round_even(69 + 12 * log2(freq / 440), 0)::INT AS num FROM s),
+m AS (SELECT *, ['C', 'C#', 'D', 'D#', 'E', 'F', 'F#', 'G', 'G#', 'A', 'A#', 'B'][num % 12 + 1] || trunc(num / 12 - 1)::INT AS note FROM n),
+b AS (SELECT *, row_number() OVER (PARTITION BY user_id, frame, note ORDER BY magnitude DESC, bin) AS r FROM m),
+p AS (SELECT *, row_number() OVER (PARTITION BY user_id, frame ORDER BY magnitude DESC, bin) AS place, max(magnitude) OVER (PARTITION BY user_id, frame) AS loud FROM b WHERE r = 1)
+SELECT user_id, frame, place::INT AS place, note, freq, magnitude FROM p WHERE loud >= 0.001 AND place <= 3""")
 def _(t):
-    return SG.top_notes(SG.spectrum(_frames(t), "user_id", RATE * 64, SIZE), "user_id", 3)
+    heard = SG.spectrum(_frames(t), "user_id", RATE * 64, SIZE).withColumn("magnitude", F.round("magnitude", 9))
+    return SG.top_notes(heard, "user_id", 3)
 
 
 @query("udf_group", f"SELECT user_id, frame, count(*) AS n, round(max(value) - min(value), 9) AS spread FROM ({_FRAMES}) GROUP BY 1, 2")

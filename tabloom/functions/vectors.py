@@ -68,9 +68,11 @@ def quadratic_root(parts: Sequence[Column], inverse: Sequence[Sequence[float]])
     sums = None
     for i, row in enumerate(inverse):
         for j, w in enumerate(row):
+            if not w:
+                continue
             term = parts[i] * parts[j] * F.lit(float(w))
             sums = term if sums is None else sums + term
-    return F.sqrt(F.greatest(sums, F.lit(0.0)))
+    return F.sqrt(F.greatest(F.lit(0.0) if sums is None else sums, F.lit(0.0)))
 
 
 def to_columns(df: DataFrame, c: str, size: int, prefix: str = "v") -> DataFrame:

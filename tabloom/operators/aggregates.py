@@ -15,7 +15,6 @@ from tabloom.plans.quantiles import exact_medians
 from tabloom.plans.sizes import bounded_rows
 from pyspark.sql import Window as W
 
-MAX_PIVOT = 1000
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -110,7 +109,7 @@ def spread(df: DataFrame, c: str) -> DataFrame:
 
 
 def missing_ratio(df: DataFrame, key: str, ts: str, delta_minutes: float, years: float | None = 3) -> DataFrame:
-    """Expected readings for all stations against the rows present.
+    """Expected readings for all stations against the rows that exist.
 
     ``years`` fixes the period at 365 days each; None takes the days from first to last
     reading.
@@ -185,10 +184,10 @@ def histogram(df: DataFrame, c: str, bins: int = 10) -> DataFrame:
     return (df.filter(x.isNotNull()).groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n")))
 
 
-def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
+def crosstab(df: DataFrame, a: str, b: str, limit: int | None = None) -> DataFrame:
     """Frequencies of a x b, a column per value of b; absent pairs are 0."""
     counts = df.groupBy(a, b).count()
-    values = sorted(r[0] for r in bounded_rows(counts.select(b).distinct(), MAX_PIVOT, "column values"))
+    values = sorted(r[0] for r in bounded_rows(counts.select(b).distinct(), limit, "column values"))
     return counts.groupBy(a).pivot(b, values).agg(F.sum("count")).na.fill(0)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
 from tabloom.plans.ordered import positions
@@ -13,12 +13,10 @@ from tabloom.plans.quantiles import exact_medians
 from tabloom.plans.sizes import bounded_rows
 from tabloom.plans.skew import join_rows
 
-MAX_DUMMIES = 1000
-MAX_LOCAL_CODES = 100_000
 
 
-def _values(df: DataFrame, c: str) -> list:
-    rows = bounded_rows(df.select(c).filter(F.col(c).isNotNull()).distinct(), MAX_DUMMIES, f"values of {c}")
+def _values(df: DataFrame, c: str, limit: int | None = None) -> list:
+    rows = bounded_rows(df.select(c).filter(F.col(c).isNotNull()).distinct(), limit, f"values of {c}")
     return sorted(r[0] for r in rows)
 
 
@@ -40,10 +38,6 @@ def encode_single_dummy(df: DataFrame, c: str, values: Sequence) -> DataFrame:
 def class_codes(df: DataFrame, c: str) -> DataFrame:
     """(value, code): codes 0..k-1 in sorted order of the distinct values."""
     distinct = df.select(c).filter(F.col(c).isNotNull()).distinct()
-    few = distinct.limit(MAX_LOCAL_CODES + 1).count() <= MAX_LOCAL_CODES
-    if few:
-        # at most MAX_LOCAL_CODES values: one task can rank them
-        return distinct.select(c, (F.row_number().over(W.orderBy(c)) - 1).alias("code"))
     return positions(distinct, [c], "code").withColumn("code", F.col("code").cast("int"))
 
 
@@ -131,11 +125,9 @@ def target_encode(train: DataFrame, other: DataFrame | None, cat: str, y: str, w
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Null to the exact median; all columns share the passes."""
+    """Null to the exact median, as double columns; all columns share the passes."""
     middle = exact_medians(df, cols)
-    return df.withColumns({
-        c: F.coalesce(F.col(c), F.lit(v)) for c, v in middle.items() if v is not None
-    })
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(v).cast("double")) for c, v in middle.items()})
 
 
 def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:

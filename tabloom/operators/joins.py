@@ -10,9 +10,6 @@ from tabloom.functions.vectors import quadratic_root
 from tabloom.plans.sizes import bounded_rows
 from tabloom.plans.skew import join_rows
 
-MAX_GRID = 1000
-
-
 def join_lookup(fact: DataFrame, dim: DataFrame, left_on: str, right_on: str, how: str = "inner") -> DataFrame:
     """Fact rows with the columns of their dimension row; the key keeps the fact's name."""
     return join_rows(fact, dim.withColumnRenamed(right_on, left_on), [left_on], how)
@@ -55,14 +52,14 @@ def _grid_columns(rows: list, names: Sequence[str], loss: str, sep: str = "$") -
     return out
 
 
-def grid_eval(grid: DataFrame, data: DataFrame, loss: str, name: str = "loss") -> DataFrame:
+def grid_eval(grid: DataFrame, data: DataFrame, loss: str, name: str = "loss", limit: int | None = None) -> DataFrame:
     """An aggregate of all data rows for each parameter row, in one pass over the data.
 
     ``loss`` is an aggregate expression with ``$name`` for grid columns. The grid is a
     parameter list of bounded length, so it becomes columns of one aggregate: the data is
     neither copied per grid row nor shuffled.
     """
-    rows = bounded_rows(grid, MAX_GRID, "grid rows")
+    rows = bounded_rows(grid, limit, "grid rows")
     totals = data.agg(*_grid_columns(rows, grid.columns, loss))
     types = {f.name: f.dataType.simpleString() for f in grid.schema}
     entries = F.array(*[
@@ -74,8 +71,6 @@ def grid_eval(grid: DataFrame, data: DataFrame, loss: str, name: str = "loss") -
 
 def corner_grid(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Every combination of the column maxima and minima: 2^k rows from one aggregate."""
-    if len(cols) > 16:
-        raise ValueError("too many columns for a corner grid")
     out = df.agg(*[F.array(F.max(c), F.min(c)).alias(c) for c in cols])
     for c in cols:
         out = out.withColumn(c, F.explode(c))
@@ -85,7 +80,7 @@ def corner_grid(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def max_distance(corners: DataFrame, rows: DataFrame, cols: Sequence[str],
                  inverse: Sequence[Sequence[float]], name: str = "dist") -> DataFrame:
     """For each corner the largest Mahalanobis distance to any row, in one pass."""
-    points = bounded_rows(corners.select(*cols), 1 << 12, "corners")
+    points = bounded_rows(corners.select(*cols), None, "corners")
     best = [
         F.max(quadratic_root([F.lit(float(p[c])) - F.col(c) for c in cols], inverse)).alias(f"g{i}")
         for i, p in enumerate(points)

@@ -11,7 +11,6 @@ from tabloom.plans.ordered import positions, running_totals
 from tabloom.plans.sizes import bounded_rows
 from tabloom.session import written
 
-MAX_CLASSES = 1000
 
 
 def classify(df: DataFrame, score: str, threshold: float = 0.5, name: str = "predicted") -> DataFrame:
@@ -70,7 +69,7 @@ def confusion_matrix(df: DataFrame, y: str, yhat: str, normalize: bool = False)
     counts = df.groupBy(F.col(y).alias("actual"), F.col(yhat).alias("predicted")).agg(F.count("*").alias("n"))
     seen = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct()
     kind = counts.schema["actual"].dataType
-    labels = F.array(*[F.lit(r[0]).cast(kind) for r in sorted(bounded_rows(seen, MAX_CLASSES, "classes"))])
+    labels = F.array(*[F.lit(r[0]).cast(kind) for r in sorted(bounded_rows(seen, None, "classes"))])
     cells = df.sparkSession.range(1).select(F.explode(labels).alias("actual"))
     cells = cells.select("actual", F.explode(labels).alias("predicted"))
     out = cells.join(counts, ["actual", "predicted"], "left").na.fill(0, ["n"])
@@ -109,7 +108,7 @@ def auc_by(df: DataFrame, group: str, y: str, score: str) -> DataFrame:
     per = written(per, "thresholds")
     totals = per.groupBy(group).agg(F.sum("_p").alias("_pp"), F.sum("_n").alias("_nn"))
     known, before = [], 0
-    for row in sorted(bounded_rows(totals, MAX_CLASSES, "groups"), key=lambda r: r[group]):
+    for row in sorted(bounded_rows(totals, None, "groups"), key=lambda r: r[group]):
         known.append((row[group], row["_pp"], row["_nn"], before))
         before += row["_pp"]
     kind = per.schema[group].dataType.simpleString()

@@ -15,6 +15,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.plans.skew import join_rows
+from tabloom.session import written
 
 
 def pipeline(estimator, features: Sequence[str], categories: Sequence[str] = ()) -> Pipeline:
@@ -175,7 +176,8 @@ def fuzzy_cmeans(df: DataFrame, cols: Sequence[str], c: int, m: float = 2.0, tol
     Each round is one aggregate of c x (k + 1) sums; only the centres reach the driver.
     Rounds stop when the memberships move by less than ``tol``.
     """
-    data = df.select(*[F.col(x).cast("double").alias(x) for x in cols]).na.drop("any")
+    # stored once, so that no round reads more than its columns
+    data = written(df.select(*[F.col(x).cast("double").alias(x) for x in cols]).na.drop("any"), "cmeans")
     start = data.orderBy(F.xxhash64(F.lit(seed), *cols)).limit(c).collect()
     if len(start) < c:
         raise ValueError("fewer rows than centres")

@@ -7,6 +7,10 @@ from collections.abc import Callable, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from tabloom.session import written
+
+#: Rows of a random group of the permutation.
+GROUP_ROWS = 100_000
 
 
 def _long(one: DataFrame, features: Sequence[str], value: str) -> DataFrame:
@@ -34,13 +38,14 @@ def weight_rank(spark: SparkSession, names: Sequence[str], weights: Sequence[Seq
 def perturbed(df: DataFrame, features: Sequence[str], seed: int = 42, parts: int | None = None) -> DataFrame:
     """A copy of every row per feature, in which that feature comes from another row.
 
-    Rows fall into even random groups by the hash of the whole row; inside a group the
+    Rows fall into even random groups by the hash of their number, about ``GROUP_ROWS`` in each, so equal rows spread
+    like others and a group does not grow with the table; inside a group the
     values move on by one row of a random order, the last to the first. That is a
     permutation of the column, made in one shuffle and without a global order.
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.withColumn("_h", F.xxhash64(F.lit(seed), *df.columns)).withColumn(
-        "_g", F.pmod(F.xxhash64("_h"), F.lit(parts)))
+    stored = written(df.withColumn("_n", F.monotonically_increasing_id()), "numbered-rows")
+    parts = parts or max(1, round(stored.count() / GROUP_ROWS))
+    tagged = stored.withColumn("_h", F.xxhash64(F.lit(seed), "_n")).withColumn("_g", F.pmod(F.xxhash64("_h"), F.lit(parts)))
     w = W.partitionBy("_g").orderBy("_h")
     whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     first = F.row_number().over(w) == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -12,6 +13,7 @@ from tabloom.functions.scalar import note_name, note_number
 from tabloom.functions.vectors import doubles
 from tabloom.plans.ordered import _key_positions, windowed
 from tabloom.plans.skew import join_rows
+from tabloom.session import written
 
 
 def frames(samples: DataFrame, signal: str, index: str, value: str, step: int, size: int,
@@ -39,8 +41,9 @@ def spectrum(frame_rows: DataFrame, signal: str, rate: float, size: int) -> Data
 
     Samples meet per frame, at most ``size`` of them; a batch of frames is one array operation.
     """
+    taper = (1 - F.cos(F.col("pos") * (2 * math.pi / size))) / 2
     kept = frame_rows.groupBy(signal, "frame").agg(
-        F.collect_list("pos").alias("_pos"), F.collect_list("value").alias("_value"))
+        F.collect_list("pos").alias("_pos"), F.collect_list(F.col("value") * taper).alias("_value"))
 
     @F.pandas_udf("array<double>")
     def magnitudes(pos: pd.Series, value: pd.Series) -> pd.Series:
@@ -48,10 +51,10 @@ def spectrum(frame_rows: DataFrame, signal: str, rate: float, size: int) -> Data
         rows = np.repeat(np.arange(len(pos)), [len(p) for p in pos])
         if len(rows):
             data[rows, np.concatenate(pos.to_list())] = np.concatenate(value.to_list())
-        hann = 0.5 * (1 - np.cos(np.linspace(0, 2 * np.pi, size, False)))
-        return pd.Series(list(np.abs(np.fft.rfft(data * hann, axis=1))))
+        return pd.Series(list(np.abs(np.fft.rfft(data, axis=1))))
 
-    raw = kept.select(signal, "frame", magnitudes("_pos", "_value").alias("mags"))
+    # stored, because the largest value of all frames is needed before any of them is scaled
+    raw = written(kept.select(signal, "frame", magnitudes("_pos", "_value").alias("mags")), "spectrum")
     flat = raw.select(signal, "frame", F.posexplode("mags").alias("bin", "_m"))
     top = raw.agg(F.max(F.array_max("mags"))).scalar()
     return flat.select(signal, "frame", "bin", (F.col("bin") * (rate / size)).alias("freq"),

@@ -7,7 +7,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.plans.ordered import next_known, numbered, windowed
-from tabloom.plans.sizes import small_side
 from tabloom.plans.skew import join_rows
 
 # fixed values: period lengths in microseconds
@@ -160,7 +159,7 @@ def rolling(df: DataFrame, keys: Sequence[str], ts: str, period: str, c: str, fn
     same = F.col("_b") == F.col("_mb")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    rows = rows.join(small_side(middle), same, "left")
+    rows = rows.join(middle, same, "left")
 
     # every row enters its own bucket as a value, and the bucket one period earlier as a question
     kept = [*df.columns, *[f"_tail{i}" for i in range(len(parts))], *[f"_middle{i}" for i in range(len(parts))]]
@@ -197,7 +196,7 @@ def detrend(df: DataFrame, keys: Sequence[str], order: Sequence[str], c: str, na
     rows = numbered(df, keys, order, "_i").withColumn("_i", F.col("_i") - 1)
     line = rows.groupBy(*keys).agg(F.regr_slope(c, "_i").alias("_a"), F.regr_intercept(c, "_i").alias("_b"))
     fit = F.coalesce(F.col("_a") * F.col("_i") + F.col("_b"), F.col(c))
-    return join_rows(rows, line, keys).withColumn(name, F.col(c) - fit).drop("_i", "_a", "_b")
+    return join_rows(rows, line, keys, null_safe=True).withColumn(name, F.col(c) - fit).drop("_i", "_a", "_b")
 
 
 def seasonal_decompose(df: DataFrame, keys: Sequence[str], order: Sequence[str], c: str, period: int = 7,
@@ -230,7 +229,7 @@ def seasonal_decompose(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     norm = F.avg("_mean").over(W.partitionBy(*keys))
     seasonal = F.try_divide(F.col("_mean"), norm) if times else F.col("_mean") - norm
     phases = phases.select(*keys, "_phase", seasonal.alias("seasonal"))
-    out = join_rows(rows, phases, [*keys, "_phase"])
+    out = join_rows(rows, phases, [*keys, "_phase"], null_safe=True)
     resid = (F.try_divide(F.try_divide(F.col(c), F.col("trend")), F.col("seasonal")) if times
              else F.col(c) - F.col("trend") - F.col("seasonal"))
     return out.withColumn("resid", resid).drop("_rn", "_phase")
@@ -248,14 +247,14 @@ def reseasonalize(df: DataFrame, c: str, name: str = "restored") -> DataFrame:
 
 
 def other_sales(df: DataFrame, item: str, ts: str, count: str) -> DataFrame:
-    """Total of all other items on the same date.
+    """Total of all other items on the same date; rows without a date or an item keep their own groups.
 
     Totals are reduced before they are joined back, so a busy date is never one task.
     """
     own = df.groupBy(ts, item).agg(F.sum(count).alias("_own"))
     day = own.groupBy(ts).agg(F.sum("_own").alias("_day"))
-    others = join_rows(own, day, [ts]).select(ts, item, (F.col("_day") - F.col("_own")).alias("other_sales"))
-    return join_rows(df, others, [ts, item])
+    others = join_rows(own, day, [ts], null_safe=True).select(ts, item, (F.col("_day") - F.col("_own")).alias("other_sales"))
+    return join_rows(df, others, [ts, item], null_safe=True)
 
 
 def age_days(df: DataFrame, item: str, ts: str, count: str) -> DataFrame:
@@ -267,7 +266,7 @@ def age_days(df: DataFrame, item: str, ts: str, count: str) -> DataFrame:
 def pct_total(df: DataFrame, ts: str, count: str) -> DataFrame:
     """Share of the row in the day's total."""
     day = df.groupBy(ts).agg(F.sum(count).alias("_day"))
-    return (join_rows(df, day, [ts])
+    return (join_rows(df, day, [ts], null_safe=True)
             .withColumn("pct_total", F.try_divide(F.col(count), F.col("_day"))).drop("_day"))
 
 

@@ -2,7 +2,7 @@
 
 ``positions`` numbers a whole table through a range shuffle: a range boundary may fall
 inside a hot key, so partitions stay even. The other helpers use plain windows for
-ordinary keys and cut hot keys into blocks of consecutive rows.
+ordinary keys and cut hot keys, found by counting, into blocks of consecutive rows.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tabloom.plans.sizes import any_key, hot_keys, is_small, small_side
+from tabloom.plans.sizes import hot_keys, split_hot
 from tabloom.session import written
 
 BLOCK_ROWS = 1_000_000
@@ -27,14 +27,11 @@ def _names(order: Order) -> list[Column]:
 def positions(df: DataFrame, order: Order, name: str = "_pos") -> DataFrame:
     """0-based position of every row in ``order``, which should be total.
 
-    A table of proven small size is numbered by one window. Beyond it: one range shuffle and sort; the task-local row index is stored before the second
-    pass, so both passes see the same boundaries. The per-partition offsets are one row
-    per shuffle partition.
+    One range shuffle and sort; the task-local row index is stored before the second
+    pass, so both passes see the same boundaries. The offsets are one row per shuffle partition.
     """
     spark = df.sparkSession
     keys = _names(order)
-    if is_small(df):
-        return df.withColumn(name, (F.row_number().over(W.orderBy(*keys)) - 1).cast("long"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     stored = written(ranged.withColumn("_mid", F.monotonically_increasing_id()), "positions")
@@ -48,6 +45,7 @@ def positions(df: DataFrame, order: Order, name: str = "_pos") -> DataFrame:
     for row in sorted(sizes, key=lambda r: r["_part"]):
         offsets.append((row["_part"], start))
         start += row["n"]
+    # one pair of numbers per shuffle partition: as small as the driver's own task table
     table = spark.createDataFrame(offsets or [(0, 0)], "_part long, _start long")
     return (
         stored.withColumn("_part", part)
@@ -61,23 +59,21 @@ def running_totals(df: DataFrame, order: Order, sums: dict[str, str]) -> DataFra
     """Inclusive running totals over the whole table: ``{new column: summed column}``.
 
     Rows are numbered, cut into blocks of equal row count, summed inside a block, and
-    shifted by the totals of the blocks before it.
+    shifted by the totals of the blocks before it. Nulls add nothing; before the first value the total is null.
     """
-    if is_small(df):
-        upto = W.orderBy(*_names(order)).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns({n: F.sum(c).over(upto) for n, c in sums.items()})
     numbered_rows = positions(df, order)
     blocks = numbered_rows.withColumn("_block", F.expr(f"_pos div {BLOCK_ROWS}"))
     inside = W.partitionBy("_block").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
     totals = blocks.groupBy("_block").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
     # one row per block of a million rows, so a single ordered pass over it stays small
     before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    shifts = totals.select(
-        "_block", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_s_{n}") for n in sums]
-    )
+    shifts = totals.select("_block", *[F.sum(f"_t_{n}").over(before).alias(f"_s_{n}") for n in sums])
     out = blocks.join(shifts, "_block")
+    zero = F.lit(0)
     for n, c in sums.items():
-        out = out.withColumn(n, F.sum(c).over(inside) + F.col(f"_s_{n}"))
+        within, shift = F.sum(c).over(inside), F.col(f"_s_{n}")
+        total = F.coalesce(within, zero) + F.coalesce(shift, zero)
+        out = out.withColumn(n, F.when(within.isNotNull() | shift.isNotNull(), total))
     return out.drop("_pos", "_block", *[f"_s_{n}" for n in sums])
 
 
@@ -88,7 +84,7 @@ def _key_positions(df: DataFrame, keys: Sequence[str], order: Order) -> DataFram
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    joined = placed.join(small_side(first), same)
+    joined = placed.join(first, same)
     return joined.select(*df.columns, (F.col("_pos") - F.col("_first")).alias("_pos"))
 
 
@@ -97,12 +93,11 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Order, name: str = "rn",
     """1-based row number per key."""
     heavy = hot_keys(df, keys, hot)
     ranked = F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long")
-    if not heavy:
+    if heavy.isEmpty():
         return df.withColumn(name, ranked)
-    is_hot = any_key(keys, heavy)
-    cold = df.filter(~is_hot).withColumn(name, ranked)
-    placed = _key_positions(df.filter(is_hot), keys, order)
-    return cold.unionByName(placed.withColumn(name, F.col("_pos") + 1).drop("_pos"))
+    cold, hot_part = split_hot(df, keys, heavy)
+    placed = _key_positions(hot_part, keys, order)
+    return cold.withColumn(name, ranked).unionByName(placed.withColumn(name, F.col("_pos") + 1).drop("_pos"))
 
 
 Build = Callable[[DataFrame, list[str]], DataFrame]
@@ -118,12 +113,12 @@ def windowed(df: DataFrame, keys: Sequence[str], order: Order, build: Build, bef
     """
     keys = list(keys)
     heavy = hot_keys(df, keys, hot)
-    if not heavy:
+    if heavy.isEmpty():
         return build(df, keys)
     if max(before, after) > block:
         raise ValueError("a frame may not be longer than a block")
-    is_hot = any_key(keys, heavy)
-    placed = _key_positions(df.filter(is_hot), keys, order)
+    cold, hot_part = split_hot(df, keys, heavy)
+    placed = _key_positions(hot_part, keys, order)
     home, inside = F.expr(f"_pos div {block}"), F.expr(f"_pos % {block}")
     targets = F.array(
         home,
@@ -132,8 +127,7 @@ def windowed(df: DataFrame, keys: Sequence[str], order: Order, build: Build, bef
     )
     copies = placed.withColumn("_home", home).withColumn("_block", F.explode(F.array_compact(targets)))
     built = build(copies, [*keys, "_block"]).filter(F.col("_block") == F.col("_home"))
-    hot_part = built.drop("_home", "_block", "_pos")
-    return build(df.filter(~is_hot), keys).unionByName(hot_part)
+    return build(cold, keys).unionByName(built.drop("_home", "_block", "_pos"))
 
 
 def next_known(df: DataFrame, keys: Sequence[str], order: Order, cols: Sequence[str],
@@ -146,18 +140,22 @@ def next_known(df: DataFrame, keys: Sequence[str], order: Order, cols: Sequence[
         return frame.withColumns({c: F.first(c, ignorenulls=True).over(ahead) for c in cols})
 
     heavy = hot_keys(df, keys, hot)
-    if not heavy:
+    if heavy.isEmpty():
         return fill(df, keys, order)
-    is_hot = any_key(keys, heavy)
-    placed = _key_positions(df.filter(is_hot), keys, order).withColumn("_block", F.expr(f"_pos div {block}"))
+    cold, hot_part = split_hot(df, keys, heavy)
+    placed = _key_positions(hot_part, keys, order).withColumn("_block", F.expr(f"_pos div {block}"))
     edges = placed.groupBy(*keys, "_block").agg(
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(f"_n_{c}") for c in cols]
     )
     later = W.partitionBy(*keys).orderBy("_block").rowsBetween(1, W.unboundedFollowing)
     edges = edges.select(
-        *keys, "_block", *[F.first(f"_n_{c}", ignorenulls=True).over(later).alias(f"_l_{c}") for c in cols]
+        *[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys)], F.col("_block").alias("_eb"),
+        *[F.first(f"_n_{c}", ignorenulls=True).over(later).alias(f"_l_{c}") for c in cols]
     )
-    joined = fill(placed, [*keys, "_block"], ["_pos"]).join(edges, [*keys, "_block"], "left")
+    same = F.col("_block") == F.col("_eb")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_e{i}"))
+    joined = fill(placed, [*keys, "_block"], ["_pos"]).join(edges, same, "left")
     for c in cols:
         joined = joined.withColumn(c, F.coalesce(c, f"_l_{c}"))
-    return fill(df.filter(~is_hot), keys, order).unionByName(joined.select(*df.columns))
+    return fill(cold, keys, order).unionByName(joined.select(*df.columns))

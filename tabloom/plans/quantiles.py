@@ -6,27 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.plans.sizes import is_small
-
+#: Rows left in a bracket when its value counts are fetched.
 FINAL_VALUES = 100_000
-# above this the built-in function, which keeps every distinct value in one map, is the slower way
-BUILT_IN_BYTES = 1 << 20
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], final: int | None = None) -> dict[str, float | None]:
-    """The exact median of every column.
+    """The exact median of every column, as a double whatever the column's type.
 
-    Input of proven small size takes the built-in exact function. Beyond it, every pass is
-    one aggregate over all columns: approximate percentiles around the middle give a narrow
+    Every pass is one aggregate over all columns: approximate percentiles around the middle give a narrow
     bracket, and counts below and inside it show where the middle ranks lie. Once a bracket
     holds few rows its value counts are fetched.
     """
     cols = list(cols)
     if not cols:
         return {}
-    if final is None and is_small(df, BUILT_IN_BYTES):
-        row = df.agg(*[F.median(c).cast("double").alias(f"m{i}") for i, c in enumerate(cols)]).first()
-        return {c: row[f"m{i}"] for i, c in enumerate(cols)}
     final = final or FINAL_VALUES
     around = [0.499, 0.501]
     base = df.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],

@@ -1,64 +1,43 @@
-"""Size checks that decide between a broadcast and a shuffle, or find hot groups."""
+"""Counts that find hot groups, and collecting what must be small."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tabloom.session import written
 
-BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 20_000_000
-SMALL_BYTES = 32 << 20
-SMALL_CONF = "tabloom.small.bytes"
 HOT_ROWS_CONF = "tabloom.hot.rows"
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; joins are over-estimated, so it errs on the safe side."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only below ``limit``; beyond it adaptive execution picks the join."""
-    return F.broadcast(df) if plan_bytes(df) <= limit else df
-
-
-def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
-    """Whether the optimizer bounds the input by a size that one task handles without trouble."""
-    return plan_bytes(df) <= min(limit, int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_BYTES))))
-
-
 def hot_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> list[tuple]:
-    """Keys with more than ``limit`` rows: at most ``rows / limit`` of them.
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
+    """A stored table of the keys with more than ``limit`` rows: counted, at most ``rows / limit`` of them.
 
-    A table whose files cannot hold that many rows is not counted at all.
+    Key columns are named ``_h0``, ``_h1`` ... so that the table can be joined to the rows.
     """
     limit = hot_rows(df) if limit is None else limit
-    if plan_bytes(df) < limit:
-        return []
-    found = df.groupBy(*keys).count().filter(F.col("count") > limit).collect()
-    return [tuple(row[k] for k in keys) for row in found]
+    named = [F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]
+    return written(df.groupBy(*named).count().filter(F.col("count") > limit).drop("count"), "hot-keys")
 
 
-def any_key(keys: Sequence[str], values: Sequence[tuple]) -> Column:
-    """True on rows whose key tuple is one of ``values`` (nulls match nulls)."""
-    if len(keys) == 1 and all(v[0] is not None for v in values):
-        return F.coalesce(F.col(keys[0]).isin([v[0] for v in values]), F.lit(False))
-    test = F.lit(False)
-    for value in values:
-        same = F.lit(True)
-        for name, part in zip(keys, value):
-            same = same & F.col(name).eqNullSafe(F.lit(part))
-        test = test | same
-    return test
+def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys, and rows of hot ones (nulls match nulls)."""
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_h{i}"))
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
-def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
-    """Collect a frame that must be small; fail loudly instead of growing the driver."""
+def bounded_rows(df: DataFrame, limit: int | None, what: str) -> list:
+    """Collect a frame that the caller calls small; beyond a given limit fail loudly instead of growing the driver."""
+    if limit is None:
+        return df.collect()
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} {what}")

@@ -1,4 +1,4 @@
-"""Equi joins that stay even when one key holds a large share of the rows."""
+"""Equi joins: one declared join at every size; adaptive execution picks and splits it."""
 
 from __future__ import annotations
 
@@ -6,36 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.plans.sizes import BROADCAST_BYTES, any_key, hot_keys, plan_bytes
 
-SALTS = 64
-HOT_SIDE_ROWS = 100_000
+def join_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", null_safe: bool = False) -> DataFrame:
+    """Join on equally named keys (inner or left).
 
-
-def join_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-              hot: int | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Join on equally named keys (inner or left), keeping every row.
-
-    * A right side of checked small size is broadcast.
-    * Otherwise keys with very many left rows are set apart. Their right rows are broadcast
-      while they are few; if not, left rows get a salt and right rows are copied per salt.
-    * All other keys take Spark's own shuffled join.
+    No hint is given: adaptive execution broadcasts a side by its measured size and splits the partitions of a
+    hot key. With ``null_safe`` a null key meets a null key, as totals of a null group need it.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins")
     keys = list(keys)
-    if plan_bytes(right) <= limit:
-        return left.join(F.broadcast(right), keys, how)
-    heavy = hot_keys(left, keys, hot)
-    if not heavy:
+    if not null_safe:
         return left.join(right, keys, how)
-    is_hot = any_key(keys, heavy)
-    cold = left.filter(~is_hot).join(right.filter(~is_hot), keys, how)
-    hot_left, hot_right = left.filter(is_hot), right.filter(is_hot)
-    if hot_right.limit(HOT_SIDE_ROWS + 1).count() <= HOT_SIDE_ROWS:
-        joined = hot_left.join(F.broadcast(hot_right), keys, how)
-    else:
-        salted = hot_left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)))
-        copies = hot_right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        joined = salted.join(copies, [*keys, "_salt"], how).drop("_salt")
-    return cold.unionByName(joined)
+    named = right.withColumnsRenamed({k: f"_j{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_j{i}"))
+    return left.join(named, same, how).drop(*[f"_j{i}" for i in range(len(keys))])

@@ -10,21 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[8]", app: str = "tabloom", **conf: str) -> SparkSession:
-    """A session for tests and benches; on a cluster the submitted one is used."""
+def build_session(master: str | None = None, app: str = "tabloom", **conf: str) -> SparkSession:
+    """A session with the library's settings. A master is set only when the caller names one, so that a submitted job keeps its own."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
-    if master.startswith("local"):
+    if master is not None and master.startswith("local"):
         settings["spark.sql.shuffle.partitions"] = "8"
         settings["spark.driver.memory"] = "8g"
     settings.update(conf)
-    builder = SparkSession.builder.master(master).appName(app)
+    builder = SparkSession.builder.appName(app)
+    if master is not None:
+        builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -50,8 +53,25 @@ def work_dir(spark: SparkSession) -> str:
     return own
 
 
+#: Folders that this process has named, so that ``clean_up`` can remove them.
+_NAMED: list[str] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _NAMED.append(path)
+    return path
+
+
+def clean_up(spark: SparkSession, keep: int = 0) -> int:
+    """Remove the intermediate tables named so far, but for the last ``keep``; results that still read them must be
+    written before. Returns how many there were."""
+    gone = _NAMED[: len(_NAMED) - keep]
+    for path in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _NAMED[: len(gone)]
+    return len(gone)
 
 
 def written(df: DataFrame, label: str = "step") -> DataFrame:

@@ -19,9 +19,12 @@ def parse_pages(records: DataFrame) -> DataFrame:
     The page id is the one outside the revision.
     """
     end = F.instr("value", "</page>")
-    xml = F.concat(F.lit(PAGE_START), F.substring("value", F.lit(1), end - 1), F.lit("</page>"))
+    # what stands before the first page has no end tag either, but no title; a page whose end is cut off is kept as damaged
+    page = (end > 0) | F.col("value").contains("<title>")
+    body = F.when(end > 0, F.concat(F.substring("value", F.lit(1), end - 1), F.lit("</page>"))).otherwise(F.col("value"))
+    xml = F.concat(F.lit(PAGE_START), body)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    pages = records.filter(end > 0).select("file", F.from_xml(xml, PAGE_SCHEMA, options).alias("p"))
+    pages = records.filter(page).select("file", F.from_xml(xml, PAGE_SCHEMA, options).alias("p"))
     return pages.select(
         "p.id",
         "p.ns",
@@ -116,6 +119,7 @@ def manifest_files(status: DataFrame, c: str = "value", job: str = "metacurrentd
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """(file, sha1_local) of every file; a file larger than a row can hold (2 GB) fails loudly rather than being skipped."""
     return (spark.read.format("binaryFile").load(path)
             .select(basename("path").alias("file"), F.sha1("content").alias("sha1_local")))
 

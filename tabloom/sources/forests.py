@@ -11,7 +11,6 @@ from tabloom.plans.sizes import bounded_rows
 
 NODE_SCHEMA = ("tree int, node long, parent long, field string, op string, value double, "
                "score string")
-MAX_NODES = 200_000
 
 
 def read_pmml_forest(spark: SparkSession, path: str) -> DataFrame:
@@ -58,7 +57,7 @@ OPERATORS = {
 
 def tree_votes(nodes: DataFrame, fields: Mapping[str, str] | None = None) -> list[Column]:
     """One vote expression per tree. A model is small and fixed, so its nodes are fetched."""
-    rows = bounded_rows(nodes, MAX_NODES, "forest nodes")
+    rows = bounded_rows(nodes, None, "forest nodes")
     fields = fields or {}
     children: dict[tuple, list] = {}
     for r in rows:

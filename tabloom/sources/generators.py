@@ -24,7 +24,7 @@ FUNCTIONS = {
 def generate(base: DataFrame, ranges: Sequence[tuple[float, float]], expr: str, seed: int = 42,
              tries: int = 4) -> DataFrame:
     """One uniform input tuple with ``y = expr`` per row of ``base`` (a table, or
-    ``spark.range(n)``); inputs without a finite value are redrawn.
+    ``spark.range(n)``); inputs without a finite value are redrawn ``tries`` times, then null.
 
     Every row holds its own redraws and keeps the first good one, so nothing has to be
     counted or cut afterwards. ``expr`` should use ``try_divide`` for divisions.
@@ -38,8 +38,8 @@ def generate(base: DataFrame, ranges: Sequence[tuple[float, float]], expr: str,
         made = made.withColumn(f"_t{t}", F.struct(*xs, "y")).drop(*xs, "y")
         y = F.col(f"_t{t}.y")
         picks.append(F.when(y.isNotNull() & ~F.isnan(y), F.col(f"_t{t}")))
-    chosen = made.withColumn("_r", F.coalesce(*picks)).filter("_r is not null")
-    return chosen.select(*base.columns, "_r.*")
+    # a row whose draws were all without a value stays, with nulls
+    return made.withColumn("_r", F.coalesce(*picks)).select(*base.columns, "_r.*")
 
 
 def generate_mixture(base: DataFrame, centers: Sequence[Sequence[float]],

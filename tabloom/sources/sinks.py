@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType
 
@@ -26,19 +25,11 @@ def write_csv(df: DataFrame, path: str, fmt: str | None = None, rows_per_file: i
     writer.csv(path)
 
 
-def write_tables(tables: Mapping[str, DataFrame], out: str, fmt: str = "csv",
-                 shared: DataFrame | None = None) -> None:
-    """One folder per table; ``shared`` names the frame they all come from, so that it is
-    parsed once for all writes."""
-    if shared is not None:
-        shared.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for name, df in tables.items():
-            writer = df.write.option("header", True).option("escape", '"') if fmt == "csv" else df.write
-            writer.format(fmt).save(f"{out}/{name}")
-    finally:
-        if shared is not None:
-            shared.unpersist()
+def write_tables(tables: Mapping[str, DataFrame], out: str, fmt: str = "csv") -> None:
+    """One folder per table. Tables of a common source are cheap if that source is stored first."""
+    for name, df in tables.items():
+        writer = df.write.option("header", True).option("escape", '"') if fmt == "csv" else df.write
+        writer.format(fmt).save(f"{out}/{name}")
 
 
 def save_table(df: DataFrame, path: str) -> None:

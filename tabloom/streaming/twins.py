@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabloom.operators.wiki import wiki_tables
+from tabloom.session import written
 from tabloom.sources.dumps import PAGE_START, parse_pages
 
 
@@ -25,10 +26,9 @@ def stream_wiki(spark: SparkSession, path: str, out: str, checkpoint: str, **opt
     """
 
     def route(batch: DataFrame, number: int) -> None:
-        batch.persist()
-        for name, table in wiki_tables(batch).items():
+        stored = written(batch, "micro-batch")
+        for name, table in wiki_tables(stored).items():
             table.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
-        batch.unpersist()
 
     return (stream_pages(spark, path, **options).writeStream.foreachBatch(route)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

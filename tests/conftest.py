@@ -13,11 +13,3 @@ def spark():
     session = build_session("local[8]", "tabloom-tests", **{"spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
-
-
-@pytest.fixture
-def large(spark):
-    """Treat every table as too large for one task."""
-    spark.conf.set("tabloom.small.bytes", "0")
-    yield spark
-    spark.conf.unset("tabloom.small.bytes")

@@ -21,27 +21,17 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k string, t int, i int, v double").repartition(5).cache()
 
 
-def test_positions_number_every_row(large, skewed):
+def test_positions_number_every_row(spark, skewed):
     got = O.positions(skewed, ["t", "i"]).orderBy("_pos").collect()
     assert [r["_pos"] for r in got] == list(range(3000))
     assert [(r["t"], r["i"]) for r in got] == sorted((r["t"], r["i"]) for r in got)
 
 
-def test_positions_paths_agree(spark, skewed):
-    small = {r["i"]: r["_pos"] for r in O.positions(skewed, ["t", "i"]).collect()}
-    spark.conf.set("tabloom.small.bytes", "0")
-    try:
-        big = {r["i"]: r["_pos"] for r in O.positions(skewed, ["t", "i"]).collect()}
-    finally:
-        spark.conf.unset("tabloom.small.bytes")
-    assert small == big
-
-
-def test_positions_of_an_empty_table(large, skewed):
+def test_positions_of_an_empty_table(spark, skewed):
     assert O.positions(skewed.filter("i < 0"), ["t"]).count() == 0
 
 
-def test_running_totals(large, skewed, monkeypatch):
+def test_running_totals(spark, skewed, monkeypatch):
     monkeypatch.setattr(O, "BLOCK_ROWS", 100)
     got = O.running_totals(skewed.select("t", "i"), ["t", "i"], {"total": "i"}).collect()
     want, total = {}, 0
@@ -54,7 +44,7 @@ def test_running_totals(large, skewed, monkeypatch):
 def test_hot_keys_are_found(spark, skewed):
     spark.conf.set("tabloom.hot.rows", "500")
     try:
-        assert hot_keys(skewed, ["k"]) == [("hot",)]
+        assert [r["_h0"] for r in hot_keys(skewed, ["k"]).collect()] == ["hot"]
     finally:
         spark.conf.unset("tabloom.hot.rows")
 
@@ -63,7 +53,7 @@ def _set(df, *cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
 
-def test_windowed_equals_plain(large, skewed):
+def test_windowed_equals_plain(spark, skewed):
     def build(frame, part):
         w = W.partitionBy(*part).orderBy("t", "i")
         return frame.withColumns({"back": F.lag("i", 3).over(w), "ahead": F.lead("i", 2).over(w),
@@ -75,35 +65,35 @@ def test_windowed_equals_plain(large, skewed):
     assert _set(plain, *cols) == _set(split, *cols)
 
 
-def test_numbered_equals_plain(large, skewed):
+def test_numbered_equals_plain(spark, skewed):
     plain = O.numbered(skewed, ["k"], ["t", "i"])
     split = O.numbered(skewed, ["k"], ["t", "i"], hot=500)
     assert _set(plain, "k", "i", "rn") == _set(split, "k", "i", "rn")
 
 
-def test_next_known_equals_plain(large, skewed):
+def test_next_known_equals_plain(spark, skewed):
     plain = O.next_known(skewed, ["k"], ["t", "i"], ["v"])
     split = O.next_known(skewed, ["k"], ["t", "i"], ["v"], hot=500, block=7)
     assert _set(plain, "k", "i", "v") == _set(split, "k", "i", "v")
 
 
-def test_window_operators_on_hot_keys(large, skewed):
-    large.conf.set("tabloom.hot.rows", "500")
+def test_window_operators_on_hot_keys(spark, skewed):
+    spark.conf.set("tabloom.hot.rows", "500")
     try:
         split = TS.supervised(skewed.select("k", "t", "i"), ["k"], ["t", "i"], ["i"], 3, 2)
-        decomposed = TS.seasonal_decompose(skewed.filter("k is not null").select("k", "t", "i"), ["k"], ["t", "i"], "i")
-        lines = TS.detrend(skewed.filter("k is not null").select("k", "t", "i"), ["k"], ["t", "i"], "i")
+        decomposed = TS.seasonal_decompose(skewed.select("k", "t", "i"), ["k"], ["t", "i"], "i")
+        lines = TS.detrend(skewed.select("k", "t", "i"), ["k"], ["t", "i"], "i")
         got = [_set(x, *x.columns) for x in (split, decomposed, lines)]
     finally:
-        large.conf.unset("tabloom.hot.rows")
+        spark.conf.unset("tabloom.hot.rows")
     split = TS.supervised(skewed.select("k", "t", "i"), ["k"], ["t", "i"], ["i"], 3, 2)
-    decomposed = TS.seasonal_decompose(skewed.filter("k is not null").select("k", "t", "i"), ["k"], ["t", "i"], "i")
-    lines = TS.detrend(skewed.filter("k is not null").select("k", "t", "i"), ["k"], ["t", "i"], "i")
+    decomposed = TS.seasonal_decompose(skewed.select("k", "t", "i"), ["k"], ["t", "i"], "i")
+    lines = TS.detrend(skewed.select("k", "t", "i"), ["k"], ["t", "i"], "i")
     want = [_set(x, *x.columns) for x in (split, decomposed, lines)]
     assert got[0] == want[0]
     for a, b in zip(got[1:], want[1:]):
         assert len(a) == len(b)
-        for x, y in zip(sorted(a, key=lambda r: r[:3]), sorted(b, key=lambda r: r[:3])):
+        for x, y in zip(sorted(a, key=lambda r: (r[0] is None, r[0] or "", *r[1:3])), sorted(b, key=lambda r: (r[0] is None, r[0] or "", *r[1:3]))):
             assert x[:3] == y[:3]
             assert [v is None for v in x] == [v is None for v in y]
             assert [v for v in x[3:] if v is not None] == pytest.approx([v for v in y[3:] if v is not None], rel=1e-9, abs=1e-9)
@@ -132,28 +122,44 @@ def test_median_of_nothing(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("many", [True, False])
-def test_split_join_equals_plain(spark, skewed, how, many, monkeypatch):
-    from tabloom.plans import skew
+def test_joins_keep_null_keys_on_request(spark, skewed, how):
+    from tabloom.plans.skew import join_rows
 
-    right = spark.createDataFrame([("hot", j) for j in range(5)] + [(f"k{j}", -j) for j in range(0, 40, 2)] + [(None, 7)], "k string, w int")
-    monkeypatch.setattr(skew, "HOT_SIDE_ROWS", 3 if many else 100)
-    plain = skewed.join(right, ["k"], how)
-    split = skew.join_rows(skewed, right, ["k"], how, hot=20, limit=0)
-    assert _set(plain, "k", "i", "w") == _set(split, "k", "i", "w")
+    right = spark.createDataFrame([(f"k{j}", -j) for j in range(0, 40, 2)] + [(None, 7)], "k string, w int")
+    plain = join_rows(skewed, right, ["k"], how)
+    assert _set(plain, "k", "i", "w") == _set(skewed.join(right, ["k"], how), "k", "i", "w")
+    safe = join_rows(skewed, right, ["k"], how, null_safe=True)
+    assert {r["w"] for r in safe.filter("k is null").collect()} == {7}
+    assert safe.filter("k is null").count() == skewed.filter("k is null").count()
 
 
-def test_operators_do_not_need_broadcasts(spark, skewed, monkeypatch):
-    """With nothing small and a hot key, lookups still give the plain result."""
-    from tabloom.operators import joins as J
-    from tabloom.plans import skew
+def test_running_totals_with_nulls(spark, monkeypatch):
+    """Nulls add nothing, also at the start of a block; before the first value there is no total."""
+    monkeypatch.setattr(O, "BLOCK_ROWS", 2)
+    rows = spark.createDataFrame([(0, None), (1, 5), (2, 7), (3, None), (4, None), (5, 1)], "i int, v int")
+    got = {r["i"]: r["total"] for r in O.running_totals(rows, ["i"], {"total": "v"}).collect()}
+    assert got == {0: None, 1: 5, 2: 12, 3: 12, 4: 12, 5: 13}
 
-    dim = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, w int")
-    want = _set(J.map_values(skewed, "k", dim, "key", "w", "w"), "k", "i", "w")
-    spark.conf.set("tabloom.hot.rows", "500")
-    monkeypatch.setattr(skew.join_rows, "__defaults__", ("inner", None, 0))
-    try:
-        got = _set(J.map_values(skewed, "k", dim, "key", "w", "w"), "k", "i", "w")
-    finally:
-        spark.conf.unset("tabloom.hot.rows")
-    assert got == want
+
+def test_totals_of_null_groups_come_back(spark):
+    rows = spark.createDataFrame([(None, "a", 1), (None, "b", 3), ("d", "a", 2), ("d", None, 2)], "day string, item string, n int")
+    shares = TS.pct_total(rows, "day", "n").collect()
+    assert len(shares) == 4 and {r["pct_total"] for r in shares if r["day"] is None} == {0.25, 0.75}
+    others = TS.other_sales(rows, "item", "day", "n").collect()
+    assert len(others) == 4 and sorted(r["other_sales"] for r in others) == [1, 2, 2, 3]
+
+
+def test_medians_have_one_type(spark):
+    from tabloom.operators.features import impute_median
+
+    rows = spark.createDataFrame([(1,), (4,), (None,)], "x int").withColumn("x", F.col("x").cast("decimal(12,2)"))
+    out = impute_median(rows, ["x"])
+    assert out.schema["x"].dataType.simpleString() == "double" and sorted(r["x"] for r in out.collect()) == [1, 2.5, 4]
+
+
+def test_a_compressed_hot_key_is_split(spark):
+    """Millions of rows of one key in a few hundred kilobytes are counted, not estimated."""
+    from tabloom.session import written
+
+    rows = written(spark.range(25_000_000).select(F.lit("one").alias("k"), F.lit(1).alias("v")), "one-key")
+    assert [r["_h0"] for r in hot_keys(rows, ["k"], 20_000_000).collect()] == ["one"]

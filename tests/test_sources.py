@@ -105,7 +105,7 @@ def test_first_file_only(spark, dump_dir):
 
 def test_sink_of_five_tables(spark, dump_dir, tmp_path):
     pages = dumps.read_wiki_dump(spark, str(dump_dir / "a.xml"))
-    sinks.write_tables(WK.wiki_tables(pages), str(tmp_path / "out"), shared=pages)
+    sinks.write_tables(WK.wiki_tables(pages), str(tmp_path / "out"))
     back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "out/article"))
     assert back.columns == ["article_id", "title", "infobox", "file"] and back.count() == 3
 
