@@ -238,8 +238,11 @@ def _(t):
 
 @query("find_latest_dump", "SELECT strftime(max(o_orderdate), '%Y%m%d') AS dump FROM orders")
 def _(t):
-    names = t.orders.select(F.concat(F.lit("/data/dl/"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("/pages.xml.bz2")).alias("path"))
-    return dumps.latest_dump(names)
+    # a folder per year, named by its last day, as files that are then listed
+    root, year = new_path(t.spark, "dumps"), F.year("o_orderdate")
+    for r in t.orders.groupBy(year.alias("y")).agg(F.date_format(F.max("o_orderdate"), "yyyyMMdd").alias("d")).collect():
+        t.orders.filter(year == r["y"]).select(F.col("o_orderkey").cast("string")).write.text(f"{root}/dl/{r['d']}")
+    return dumps.latest_dump(dumps.file_names(t.spark, root))
 
 
 @query("pick_latest_complete", """WITH d AS (SELECT strftime(o_orderdate, '%Y%m%d')::BIGINT AS dump, min(o_custkey) % 2 = 0 AS done FROM orders GROUP BY 1),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -46,45 +47,61 @@ def read_pmml_forest(spark: SparkSession, path: str) -> DataFrame:
 
 # fixed values: predicate operators of the exchange format
 OPERATORS = {
-    "lessOrEqual": lambda c, v: c <= v,
-    "lessThan": lambda c, v: c < v,
-    "greaterThan": lambda c, v: c > v,
-    "greaterOrEqual": lambda c, v: c >= v,
-    "equal": lambda c, v: c == v,
-    "notEqual": lambda c, v: c != v,
+    "lessOrEqual": np.less_equal,
+    "lessThan": np.less,
+    "greaterThan": np.greater,
+    "greaterOrEqual": np.greater_equal,
+    "equal": np.equal,
+    "notEqual": np.not_equal,
 }
 
 
-def tree_votes(nodes: DataFrame, fields: Mapping[str, str] | None = None) -> list[Column]:
-    """One vote expression per tree. A model is small and fixed, so its nodes are fetched."""
+def tree_votes(nodes: DataFrame, fields: Mapping[str, str] | None = None) -> tuple[Column, int]:
+    """The votes of all trees as an array column, and how many trees there are.
+
+    A model is small and fixed, so its nodes travel with the tasks. There the rows of a batch walk down each tree
+    together: a node's children are tried in order, the first whose test holds takes the row. A null field fails every test;
+    a row that no child takes has no vote.
+    """
     rows = bounded_rows(nodes, None, "forest nodes")
     fields = fields or {}
+    names = sorted({fields.get(r["field"], r["field"]) for r in rows if r["op"] is not None})
+    place = {n: i for i, n in enumerate(names)}
     children: dict[tuple, list] = {}
-    for r in rows:
-        children.setdefault((r["tree"], r["parent"]), []).append(r)
-
-    def vote(tree: int, parent: int | None) -> Column | None:
-        out = None
-        for n in sorted(children.get((tree, parent), []), key=lambda r: r["node"]):
-            below = vote(tree, n["node"])
-            result = F.lit(n["score"]) if below is None else below
-            if n["op"] is None:
-                return result
-            test = OPERATORS[n["op"]](F.col(f"`{fields.get(n['field'], n['field'])}`"), F.lit(n["value"]))
-            out = F.when(test, result) if out is None else out.when(test, result)
-        return out
-
-    return [vote(t, None) for t in sorted({r["tree"] for r in rows})]
+    for r in sorted(rows, key=lambda r: (r["tree"], r["node"])):
+        at = place[fields.get(r["field"], r["field"])] if r["op"] is not None else None
+        children.setdefault((r["tree"], r["parent"]), []).append((r["node"], r["op"], at, r["value"], r["score"]))
+    trees = sorted({r["tree"] for r in rows})
+
+    @F.pandas_udf("array<string>")
+    def votes(values: pd.DataFrame) -> pd.Series:
+        x = values.to_numpy(dtype=float, na_value=np.nan)
+        out = np.full((len(x), len(trees)), None, dtype=object)
+        for k, tree in enumerate(trees):
+            todo = [(None, np.arange(len(x)))]
+            while todo:
+                parent, left = todo.pop()
+                for node, op, at, value, score in children.get((tree, parent), []):
+                    holds = np.ones(len(left), bool) if op is None else OPERATORS[op](x[left, at], value) & ~np.isnan(x[left, at])
+                    if (tree, node) in children:
+                        todo.append((node, left[holds]))
+                    else:
+                        out[left[holds], k] = score
+                    left = left[~holds]
+        return pd.Series(out.tolist())
+
+    used = [F.col(f"`{n}`").cast("double").alias(n) for n in names] or [F.lit(0.0).alias("none")]
+    return votes(F.struct(*used)), len(trees)
 
 
 def score_pmml(df: DataFrame, nodes: DataFrame, classes: list[str],
                fields: Mapping[str, str] | None = None) -> DataFrame:
     """Add the votes per class, their shares and the majority class (first class on ties)."""
-    votes = tree_votes(nodes, fields)
-    scored = df.withColumn("_votes", F.array(*votes))
+    votes, n_trees = tree_votes(nodes, fields)
+    scored = df.withColumn("_votes", votes)
 
     def share(name: str) -> Column:
-        return F.size(F.filter("_votes", lambda v: v == name)) / F.lit(len(votes))
+        return F.size(F.filter("_votes", lambda v: v == name)) / F.lit(n_trees)
 
     shares = [share(k) for k in classes]
     scored = scored.withColumns({f"probability_{k}": s for k, s in zip(classes, shares)})
