@@ -4,69 +4,72 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabloom.plans.ordered import positions
 from tabloom.session import written
 
 #: Shorter lines stay in any case; below the second bound only equal lines count as repeated.
 LEAST_CHARS, NEAR_CHARS = 10, 20
 #: Measured line numbers (4 bytes each, and 8 more a document) that a join may broadcast; beyond it both sides are shuffled.
 BROADCAST_NUMBERS = 4_000_000
+#: Measured rows of lines that a look-up may broadcast.
+BROADCAST_ROWS = 500_000
 
 
-def _hash(*parts: Column) -> list[Column]:
-    """Two 64-bit hashes that together stand for the parts."""
-    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)]
+def _halves(size: Column) -> list[Column]:
+    """Hashed halves of a line, for itself as the shorter line of a pair and for a shorter partner; null for short lines."""
+    out = []
+    for short in (size, size - 1):
+        half = F.floor(short / 2).cast("int")
+        head, tail = F.substring(F.col("line"), F.lit(1), half), F.right(F.col("line"), half)
+        out += [F.when(size >= NEAR_CHARS, F.xxhash64(F.lit(kind), short, part)) for kind, part in (("head", head), ("tail", tail))]
+    return out
 
 
 def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """Lines with their place: the key (nulls last), a hash of key and text, the line's number, and the line."""
+    """Lines with their place (the key with nulls last, a hash of key and text, the line's number), the line
+    without outer blanks, and two 64-bit hashes that together stand for it."""
     body = F.coalesce(F.col(text), F.lit(""))
     own = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(key), body).alias("row"), F.posexplode(F.split(body, "\n")).alias("no", "raw"))
     trimmed = own.withColumn("line", F.trim("raw")).filter(F.length("line") >= LEAST_CHARS).drop("raw")
-    h1, h2 = _hash(F.col("line"))
     place = F.struct(F.col("key").isNull().alias("x"), F.col("key").alias("key"), F.col("row").alias("row"), F.col("no").alias("no"))
-    return trimmed.select(place.alias("place"), "line", h1.alias("h1"), h2.alias("h2"))
+    return trimmed.select(place.alias("place"), "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _near(distinct: DataFrame) -> DataFrame:
+def _looked_up(lines: DataFrame, few: DataFrame) -> DataFrame:
+    """Join by line; ``few`` (a stored table of short rows) is broadcast only if its measured rows are few."""
+    return lines.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, ["h1", "h2"])
+
+
+def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """(h1, h2, near_place): distinct lines that have an earlier line one edit away, with the earliest of these.
 
     Lines one edit apart keep the first or the last half of the shorter one, so only lines that share such a half with
-    another go on. They emit every variant with one sign deleted. Lines of equal length that agree in a variant and
-    its place differ in that place alone; a line that equals another's variant is one deletion away. So each
-    group needs its earliest places only, and no pairs are made.
+    another go on. They are numbered in order and emit every variant with one sign deleted. Lines of equal length that agree in a
+    variant and its place differ in that place alone; a line that equals another's variant is one deletion away. So each
+    group needs its earliest numbers only, and no pairs are made.
     """
-    size = F.length("line")
-    halves = F.array(*[
-        F.struct(F.lit(kind).alias("kind"), short.alias("short"), part.alias("part"))
-        for short in (size, size - 1)
-        for kind, part in (("head", F.substring(F.col("line"), F.lit(1), F.floor(short / 2).cast("int"))),
-                           ("tail", F.right(F.col("line"), F.floor(short / 2).cast("int"))))
-    ])
-    long = distinct.filter(size >= NEAR_CHARS)
-    keyed = long.select("h1", "h2", F.explode(halves).alias("p")).select("h1", "h2", F.xxhash64("p.kind", "p.short", "p.part").alias("half"))
+    keyed = distinct.select("h1", "h2", F.explode(F.array(*[f"p{i}" for i in range(4)])).alias("half")).filter("half is not null")
     shared = keyed.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo <> hi").select("half")
     company = keyed.join(shared, "half").select("h1", "h2").distinct()
-    chosen = written(long.join(company, ["h1", "h2"], "left_semi"), "lines-with-company")
-    # every variant: the deleted place for lines of equal length, 0 for whole lines and what becomes equal to one
-    variants = F.transform(F.sequence(F.lit(1), size), lambda i: F.concat(
-        F.substring(F.col("line"), F.lit(1), i - 1), F.substring(F.col("line"), i + 1, F.length("line"))))
-    cut = chosen.select("h1", "h2", "place", F.posexplode(variants).alias("at", "v"))
-    swapped = cut.select("h1", "h2", "place", F.xxhash64(F.col("at") + 1, "v").alias("v1"), F.xxhash64(F.lit(1), F.col("at") + 1, "v").alias("v2"), F.lit(True).alias("cut"))
-    shorter = cut.select("h1", "h2", "place", F.xxhash64(F.lit(0), "v").alias("v1"), F.xxhash64(F.lit(1), F.lit(0), "v").alias("v2"), F.lit(True).alias("cut"))
-    whole = chosen.select("h1", "h2", "place", F.xxhash64(F.lit(0), "line").alias("v1"), F.xxhash64(F.lit(1), F.lit(0), "line").alias("v2"), F.lit(False).alias("cut"))
-    groups = written(swapped.withColumn("kind", F.lit(1)).unionByName(shorter.unionByName(whole).withColumn("kind", F.lit(0))), "line-variants")
-    place_of = lambda flag: F.min(F.when(flag, F.struct("place", "h1", "h2")))
-    firsts = groups.groupBy("kind", "v1", "v2").agg(
-        place_of(F.col("cut")).alias("first_cut"), place_of(~F.col("cut")).alias("first_whole"),
-        F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo <> hi").drop("lo", "hi")
-    met = groups.join(firsts, ["kind", "v1", "v2"])
+    company = written(distinct.select("h1", "h2", "place").join(company, ["h1", "h2"], "left_semi"), "lines-with-company")
+    texts = _looked_up(lines.select("h1", "h2", "line"), company).groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("place").alias("place"))
+    chosen = written(positions(texts, ["place", "h1", "h2"], "at"), "lines-in-order")
+    size = F.length("line")
+    cut = F.transform(F.sequence(F.lit(1), size), lambda i: F.struct(i.alias("i"), F.concat(
+        F.substring(F.col("line"), F.lit(1), i - 1), F.substring(F.col("line"), i + 1, F.length("line"))).alias("v")))
+    hashed = F.flatten(F.transform(cut, lambda c: F.array(
+        F.struct(F.lit("same").alias("kind"), F.xxhash64(c["i"], c["v"]).alias("v")),
+        F.struct(F.lit("cut").alias("kind"), F.xxhash64(F.lit(0), c["v"]).alias("v")))))
+    whole = F.array(F.struct(F.lit("whole").alias("kind"), F.xxhash64(F.lit(0), F.col("line")).alias("v")))
+    variants = written(chosen.select("at", F.inline(F.concat(hashed, whole))), "line-variants")
+    met = variants.groupBy("v").agg(
+        F.min("at").alias("lo"), F.max("at").alias("hi"), F.min(F.when(F.col("kind") == "whole", F.col("at"))).alias("first_whole"),
+        F.min(F.when(F.col("kind") != "whole", F.col("at"))).alias("first_cut")).filter("lo <> hi").drop("lo", "hi")
     # a whole line looks at those that lose a sign, and they at it; in groups of equal length all look at each other
-    partner = F.when(F.col("kind") == 1, F.col("first_cut")).when(F.col("cut"), F.col("first_whole")).otherwise(F.col("first_cut"))
-    earlier = met.withColumn("partner", partner).filter(F.col("partner.place") < F.col("place"))
-    best = earlier.groupBy("h1", "h2").agg(F.min("partner").alias("partner"))
-    best = best.select("h1", "h2", F.col("partner.place").alias("near_place"), F.col("partner.h1").alias("p1"), F.col("partner.h2").alias("p2"))
-    texts = chosen.select("h1", "h2", "line")
-    checked = best.join(texts, ["h1", "h2"]).join(texts.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("line").alias("other")), ["p1", "p2"])
+    partner = F.when(F.col("kind") == "cut", F.col("first_whole")).otherwise(F.col("first_cut"))
+    best = variants.join(met, "v").select("at", partner.alias("partner")).filter("partner < at").groupBy("at").agg(F.min("partner").alias("partner"))
+    other = chosen.select(F.col("at").alias("partner"), F.col("line").alias("other"), F.col("place").alias("near_place"))
+    checked = chosen.join(best, "at").join(other, "partner")
     return checked.filter(F.levenshtein("line", "other", 1) == 1).select("h1", "h2", "near_place")
 
 
@@ -78,9 +81,11 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     without outer blanks. Of rows that repeat as a whole, all share one decision.
     """
     lines = _lines(docs, text, key)
-    firsts = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("line").alias("line"), F.count("*").alias("n"))
+    halves = [h.alias(f"p{i}") for i, h in enumerate(_halves(F.length("line")))]
+    firsts = lines.select("h1", "h2", "place", *halves).groupBy("h1", "h2").agg(
+        F.min("place").alias("place"), F.count("*").alias("n"), *[F.first(f"p{i}").alias(f"p{i}") for i in range(4)])
     distinct = written(firsts, "distinct-lines")
-    near = _near(distinct.select("h1", "h2", "place", "line"))
+    near = _near(lines, distinct)
     # only lines that are repeated or have a near one need to be looked up again
     known = distinct.select("h1", "h2", "place", "n").join(near, ["h1", "h2"], "left").filter("n > 1 or near_place is not null")
     known = written(known.select("h1", "h2", F.col("place").alias("first"), "near_place"), "repeated-lines")
