@@ -15,12 +15,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.llm.bpe import merge_pairs
-from tabloom.session import written
 
 #: Characters of the texts that one chunk holds. A longer text is a chunk of its own.
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 28_000_000
 #: A vocabulary travels with the tasks; larger files than this are refused.
 VOCABULARY_BYTES = 64 << 20
+_LOW_BITS = (1 << 63) - 1
 
 
 def read_ranks(path: str) -> bytes:
@@ -55,7 +55,10 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Numbers(dict):
-    """Numbers words in the order they come."""
+    """Numbers words in the order they come. The empty word is always there, so that a chunk without words has one."""
+
+    def __init__(self):
+        super().__init__({"": 0})
 
     def __missing__(self, word: str) -> int:
         n = self[word] = len(self)
@@ -65,8 +68,7 @@ class _Numbers(dict):
 def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, chunk_chars: int) -> Iterator[tuple]:
     """(chunk, keys, tokens per text, word numbers, distinct words): whole texts, up to ``chunk_chars`` characters.
 
-    The chunk's name holds the task, its order there and a digest of its words, so that a second pass over other
-    rows cannot be mistaken for the first one.
+    The chunk's name is a digest of its task, its order there and its words, so a second pass over other rows does not meet the first one.
     """
     find, task, order = splitter(pattern), TaskContext.get().partitionId(), 0
     numbers, keys, sizes, parts, chars = _Numbers(), [], [], [], 0
@@ -74,9 +76,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, chunk_chars: int) -
     def closed() -> tuple:
         words = [w.encode("utf-8", "surrogatepass") for w in numbers]
         sequence = np.concatenate(parts) if parts else np.empty(0, np.uint32)
-        digest = xxhash.xxh3_128(b"\x00".join(words))
+        digest = xxhash.xxh3_64(b"%d-%d-" % (task, order) + b"\x00".join(words))
         digest.update(sequence.tobytes())
-        return f"{task}-{order}-{digest.hexdigest()}", pa.concat_arrays(keys), sizes, sequence, words
+        return digest.intdigest() & _LOW_BITS, pa.concat_arrays(keys), sizes, sequence, words
 
     for batch in batches:
         first = 0
@@ -113,60 +115,68 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key:
 
     1. Texts are cut by ``pattern`` in their tasks. A chunk of texts becomes its distinct words, and for the
        places one number per token, so that a token costs a byte or two instead of a row.
-    2. The distinct words of all chunks meet in one shuffle; each is encoded once.
-    3. Ids are joined back to the chunks' words, and every chunk puts its texts together by position.
+    2. The distinct words of all chunks meet in one shuffle by word and are sorted; each run of equal words is encoded
+       once, and its ids go back to every chunk that has the word.
+    3. Every chunk puts its texts together by position.
 
     Nothing depends on how often a word occurs: a chunk has a word once. A null or empty text has no
     ids; keys may repeat or be null; an empty table gives an empty one.
     """
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    packed = np.dtype("<u2" if ranks.count(b"\n") < 65_536 and max(_ranks(ranks).values(), default=0) < 65_536 else "<u4")
 
     def chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("chunk", pa.string()), ("words", pa.list_(pa.binary()))])
         for chunk, _, _, _, words in _chunks(batches, pattern, chunk_chars):
-            yield pa.RecordBatch.from_pydict({"chunk": [chunk], "words": [words]}, schema)
+            # in order of the words, which packs better on the way
+            order = sorted(range(len(words)), key=words.__getitem__)
+            for at in range(0, len(order), 50_000):
+                part = order[at : at + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(part), pa.int64()), pa.array(part, pa.int32()), pa.array([words[i] for i in part], pa.binary())],
+                                                 names=["chunk", "no", "word"])
 
     def chunk_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, keys, sizes, sequence, words in _chunks(batches, pattern, chunk_chars):
-            schema = pa.schema([("chunk", pa.string()), ("keys", pa.list_(keys.type)), ("sizes", pa.list_(pa.int32())),
-                                ("n_words", pa.int64()), ("places", pa.binary())])
             held = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
-            yield pa.RecordBatch.from_arrays([pa.array([chunk]), held, pa.array([sizes], pa.list_(pa.int32())),
-                                              pa.array([len(words)], pa.int64()), pa.array([_packed(sequence)], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk]), held, pa.array([sizes], pa.list_(pa.int32())), pa.array([len(words)], pa.int64()),
+                 pa.array([_packed(sequence)], pa.binary())], names=["chunk", "keys", "sizes", "n_words", "places"])
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _ranks(ranks)
+        known, last, ids_of = _ranks(ranks), None, b""
         for batch in batches:
-            words = batch.column(0)
-            coded = pa.array([encode_word(w.as_py(), known) for w in words], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([words, coded], names=["word", "coded"])
+            coded = []
+            for word in batch.column("word"):
+                word = word.as_py()
+                if word != last:
+                    last, ids_of = word, np.array(encode_word(word, known), packed).tobytes()
+                coded.append(ids_of)
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("no"), pa.array(coded, pa.binary())], names=["chunk", "no", "coded"])
 
     def put_together(places: pa.Table, coded: pa.Table) -> pa.Table:
         if places.num_rows != 1 or coded.num_rows != places.column("n_words")[0].as_py():
             raise RuntimeError("the documents changed between two passes over them")
         order = np.argsort(coded.column("no").to_numpy())
-        lists = coded.column("coded").combine_chunks().take(pa.array(order))
-        flat, lengths = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        words = coded.column("coded").combine_chunks().cast(pa.binary()).take(pa.array(order))
+        bounds = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset)
+        flat = np.frombuffer(words.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]].view(packed)
+        lengths = np.diff(bounds) // packed.itemsize
         starts = np.cumsum(lengths) - lengths
         sizes = np.asarray(places.column("sizes")[0].as_py(), np.int64)
         sequence = _unpacked(places.column("places")[0].as_py(), int(sizes.sum()))
         each = lengths[sequence]
         ends = np.cumsum(each)
-        values = flat[np.repeat(starts[sequence] - (ends - each), each) + np.arange(int(each.sum()))] if len(each) else flat
+        at = np.repeat((starts[sequence] - (ends - each)).astype(np.int32), each)
+        at += np.arange(len(at), dtype=np.int32)
+        values = flat[at]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
         rows = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32()))
         return pa.Table.from_arrays([places.column("keys").combine_chunks().flatten(), rows], names=[key, ids])
 
-    words = written(source.mapInArrow(chunk_words, "chunk string, words array<binary>"), "chunk-words")
-    exploded = words.select("chunk", F.posexplode("words").alias("no", "word"))
-    coded = written(exploded.select("word").distinct().mapInArrow(encode_words, "word binary, coded array<int>"), "coded-words")
-    returned = exploded.join(coded, "word").select("chunk", "no", "coded")
-    placed = source.mapInArrow(chunk_places, f"chunk string, keys array<{kind}>, sizes array<int>, n_words long, places binary")
-    # chunks that hold no word at all have nothing to be joined with
-    empty = placed.filter("n_words = 0").select(F.explode("keys").alias(key), F.array().cast("array<int>").alias(ids))
-    full = placed.filter("n_words > 0").groupBy("chunk").cogroup(returned.groupBy("chunk")).applyInArrow(put_together, f"`{key}` {kind}, `{ids}` array<int>")
-    return full.unionByName(empty)
+    words = source.mapInArrow(chunk_words, "chunk long, no int, word binary")
+    coded = words.repartition("word").sortWithinPartitions("word").mapInArrow(encode_words, "chunk long, no int, coded binary")
+    placed = source.mapInArrow(chunk_places, f"chunk long, keys array<{kind}>, sizes array<int>, n_words long, places binary")
+    return placed.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(put_together, f"`{key}` {kind}, `{ids}` array<int>")
 
 
 def decode(coded: DataFrame, ranks: bytes, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
