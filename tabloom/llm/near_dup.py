@@ -21,6 +21,8 @@ BANDS, BAND_ROWS = 24, 4
 SLICE_WORDS = 400_000
 #: Measured rows of 24 bytes that a join may broadcast; beyond it both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Cells of the table of marks that bounds the common shingles of a pair before their sets are fetched.
+MARK_CELLS = 1024
 #: Leaders of a bucket grow by this factor from round to round.
 GROWTH = 8
 
@@ -156,12 +158,35 @@ def _band_udf(size: int, bands: int, rows: int):
     return F.arrow_udf(keys, "array<long>")
 
 
+def marks_of(shingle_set: np.ndarray) -> tuple[np.ndarray, int]:
+    """Shingles per cell of a small table, as bits: once or more, twice or more; and how many are beyond two.
+
+    Two sets have at most as many shingles in common as bits, and the smaller one's shingles beyond.
+    """
+    count = np.bincount((shingle_set % np.uint64(MARK_CELLS)).astype(np.int64), minlength=MARK_CELLS)
+    bits = np.packbits(np.concatenate([count >= 1, count >= 2]))
+    return bits.view(np.int64), int(np.maximum(count - 2, 0).sum())
+
+
+def _at_most_common() -> F.Column:
+    """Upper bound of the common shingles of a member and a leader (names with _b)."""
+    bits = [F.bit_count(F.get("marks", F.lit(i)).bitwiseAND(F.get("marks_b", F.lit(i)))) for i in range(MARK_CELLS // 32)]
+    return sum(bits[1:], bits[0]) + F.least("beyond", "beyond_b")
+
+
 def _set_udf(size: int):
+    kind = pa.struct([("set", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("beyond", pa.int32())])
+
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([s.view(np.int64) for texts in _slices(batch.to_pylist()) for s, _ in shingles(texts, size)], pa.list_(pa.int64()))
+            rows = []
+            for texts in _slices(batch.to_pylist()):
+                for own, _ in shingles(texts, size):
+                    marks, beyond = marks_of(own)
+                    rows.append({"set": own.view(np.int64), "marks": marks, "beyond": beyond})
+            yield pa.array(rows, kind)
 
-    return F.arrow_udf(sets, "array<long>")
+    return F.arrow_udf(sets, "struct<set:array<long>,marks:array<long>,beyond:int>")
 
 
 def digest(text: str) -> F.Column:
@@ -220,11 +245,11 @@ def _possible(members: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     shingles besides all of the member's, and the common part none of either's, so with the least ``alone`` of the bucket a
     similarity can be ruled out without looking at pairs.
     """
-    near = sets.join(members.select("tid").distinct(), "tid", "left_semi").select("tid", "set")
+    near = sets.join(members.select("tid").distinct(), "tid", "left_semi")
     single = near.select("tid", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("tid").alias("tid")).filter("k = 1")
     alone = single.groupBy("tid").agg(F.count("*").alias("alone"))
-    known = written(near.select("tid", F.size("set").alias("n")).join(alone, "tid", "left").na.fill(0, ["alone"]), "own-shingles")
-    known = members.drop("n", "alone").join(known, "tid")
+    known = written(near.select("tid", F.size("set").alias("n"), "marks", "beyond").join(alone, "tid", "left").na.fill(0, ["alone"]), "own-shingles")
+    known = members.join(known, "tid")
     least = known.groupBy("bucket").agg(F.min("alone").alias("least"))
     return _open(known.join(least, "bucket").filter(F.col("n") - F.col("alone") >= F.lit(similarity) * (F.col("n") + F.col("least"))).drop("least"))
 
@@ -261,8 +286,8 @@ def _links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             left = left.join(moved, "cls", "left").select("bucket", "tid", F.coalesce("to", "cls").alias("cls"))
         left = written(_open(left), "left")
         current = _possible(left, sets, similarity).withColumn("rank", -F.col("alone") / F.col("n"))
-        common, union = F.least(F.col("n") - F.col("alone"), F.col("n_b") - F.col("alone_b")), F.greatest(F.col("n") + F.col("alone_b"), F.col("n_b") + F.col("alone"))
-        alike = common >= F.lit(similarity) * union
+        bound = F.least(_at_most_common(), F.col("n") - F.col("alone"), F.col("n_b") - F.col("alone_b"))
+        alike = bound >= F.lit(similarity) * (F.col("n") + F.col("n_b") - bound)
         leaders_each *= GROWTH
 
 
@@ -285,7 +310,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     wanted = written(texts.select("digest", "tid").join(members.select("tid").distinct(), "tid", "left_semi"), "wanted")
     own = _looked_up(docs.select(digest(text).alias("digest"), F.coalesce(F.col(text), F.lit("")).alias("t")), wanted, ["digest"])
     own = own.groupBy("tid").agg(F.first("t").alias("t"))
-    sets = written(own.select("tid", _set_udf(size)(utf8("t")).alias("set")), "shingle-sets")
+    sets = written(own.select("tid", _set_udf(size)(utf8("t")).alias("own")).select("tid", "own.*"), "shingle-sets")
     classes = _links(members, sets, similarity)
     named = texts.select("digest", "key", "tid").join(classes, "tid", "left")
     named = written(named.withColumn("cls", F.coalesce("cls", "tid")).drop("tid"), "classes")
