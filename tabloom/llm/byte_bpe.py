@@ -76,6 +76,11 @@ def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, chunk_chars: int) -
     def closed() -> tuple:
         words = [w.encode("utf-8", "surrogatepass") for w in numbers]
         sequence = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+        # frequent words get small numbers, which pack better
+        order_by_count = np.argsort(-np.bincount(sequence, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), np.uint32)
+        rank[order_by_count] = np.arange(len(words), dtype=np.uint32)
+        sequence, words = rank[sequence], [words[i] for i in order_by_count]
         digest = xxhash.xxh3_64(b"%d-%d-" % (task, order) + b"\x00".join(words))
         digest.update(sequence.tobytes())
         return digest.intdigest() & _LOW_BITS, pa.concat_arrays(keys), sizes, sequence, words
