@@ -38,7 +38,8 @@ def encode_passages(raw: bytes) -> np.ndarray:
     code = flat.astype(np.uint32)
     if len(flat) > 2:
         three = (code[:-2] * np.uint32(0x9E3779B1) ^ code[1:-1] * np.uint32(0x85EBCA77) ^ code[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(25)
-        counts = np.bincount(passage[:-2] * BUCKETS + three, minlength=n * BUCKETS).reshape(n, BUCKETS)
+        inside = passage[:-2] == passage[2:]
+        counts = np.bincount((passage[:-2] * BUCKETS + three)[inside], minlength=n * BUCKETS).reshape(n, BUCKETS)
         out[:, :BUCKETS] = np.sqrt(counts / sizes)
     kinds = len(_CLASSES) + 1
     out[:, BUCKETS : BUCKETS + kinds] = np.bincount(passage * kinds + _CLASS_OF[flat], minlength=n * kinds).reshape(n, kinds) / sizes
