@@ -1,4 +1,4 @@
-"""Near-duplicate texts: ProbMinHash signatures of weighted shingles, banding, exact verification."""
+"""Near-duplicate texts: ProbMinHash signatures of shingle sets, banding, exact verification."""
 
 from __future__ import annotations
 
@@ -15,7 +15,8 @@ from tabloom.session import written
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^24, three in a million.
+#: A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^24, three in a million. This holds as bands are made
+#: of registers that agree with the similarity a link is defined by, that of the sets: each shingle counts once.
 BANDS, BAND_ROWS = 24, 4
 #: Words whose texts are hashed together in a task.
 SLICE_WORDS = 400_000
@@ -70,8 +71,8 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS
     which keeps the element of its earliest arrival. A process ends as soon as its next arrival is later than the
     latest register of its text. Arrivals are drawn for all texts together in rounds; elements whose first arrival
     lies beyond a time at which all registers are most likely taken wait until that turns out wrong.
-    The weight of a shingle is 1 + ln(count): repetition counts, but one line said a hundred times does not
-    outweigh the rest.
+    The weight of a shingle is 1 + ln(count). With counts of one, two signatures agree in a register with the Jaccard similarity
+    of the sets; bands need that, as other counts can bring the agreement of equal sets far below it.
     """
     rows = len(sets)
     earliest = np.full(rows * registers, np.inf)
@@ -149,7 +150,7 @@ def _band_udf(size: int, bands: int, rows: int):
             parts = [pa.array([], pa.list_(pa.int64()))]
             for texts in _slices(batch.to_pylist()):
                 sets = shingles(texts, size)
-                own = band_keys(signatures(sets, bands * rows), bands, rows)
+                own = band_keys(signatures([(s, np.ones_like(c)) for s, c in sets], bands * rows), bands, rows)
                 has = np.array([len(s) > 0 for s, _ in sets])
                 offsets = np.concatenate([[0], np.cumsum(np.where(has, bands, 0))])
                 parts.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(own[has].ravel())))
@@ -295,8 +296,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
                     bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
     """Classes of near-duplicate texts: one row (digest, class key, class digest) per distinct text.
 
-    Equal texts are one text from the start (a null text is an empty one). Texts get ProbMinHash signatures of their weighted
-    word shingles; bands of equal registers propose partners; a link needs a Jaccard similarity of the shingle sets of
+    Equal texts are one text from the start (a null text is an empty one). Texts get ProbMinHash signatures of their
+    sets of word shingles; bands of equal registers propose partners; a link needs a Jaccard similarity of the shingle sets of
     at least ``similarity``, verified exactly. Classes are connected components; a class is named by the least
     (key, digest) of its rows. Texts without words are only equal to each other if they are equal texts.
     """

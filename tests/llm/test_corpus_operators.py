@@ -114,6 +114,24 @@ def test_signatures_do_not_depend_on_the_batch():
         assert (near_dup.signatures([one])[0] == together[k]).all()
 
 
+def test_inner_repeats_lose_no_link(spark):
+    """Links are of shingle sets, so how often a text says a shingle must not keep a pair from being proposed."""
+    rnd = random.Random(5)
+    own = lambda k, n: [f"{k}x{rnd.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for k in range(40):
+        base = own(k, 200)
+        texts += [base + own(k, 15) * rnd.choice((20, 100)) for _ in range(2)]
+    for k in range(40, 60):
+        base, block = own(k, 60), own(k, 60)
+        texts += [base + block * 2, base + block * 100]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    want = brute_classes(rows)
+    assert {c % 2 for c in want.values()} == {0}  # every pair is a link
+    got = near_dup.duplicate_classes(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {k: c for (k, _), c in want.items()}
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (103, 101)], "a long, b long")
     got = {r["tid"]: r["cls"] for r in near_dup.components(links).collect()}
