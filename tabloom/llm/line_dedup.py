@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabloom.plans.ordered import positions
 from tabloom.session import written
 
-#: Shorter lines stay in any case; below the second bound only equal lines count as repeated.
-LEAST_CHARS, NEAR_CHARS = 10, 20
+#: Every line with a sign that is not blank is compared with equal ones; below the second bound only equal lines count as
+#: repeated, as one edit is a large share of a shorter line ("Step 1 of 3", "Step 2 of 3") and often its meaning.
+LEAST_CHARS, NEAR_CHARS = 1, 20
 #: Measured line numbers (4 bytes each, and 8 more a document) that a join may broadcast; beyond it both sides are shuffled.
 BROADCAST_NUMBERS = 4_000_000
 #: Measured rows of lines that a look-up may broadcast.
@@ -30,7 +31,7 @@ def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
     without outer blanks, and two 64-bit hashes that together stand for it."""
     body = F.coalesce(F.col(text), F.lit(""))
     own = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(key), body).alias("row"), F.posexplode(F.split(body, "\n")).alias("no", "raw"))
-    trimmed = own.withColumn("line", F.trim("raw")).filter(F.length("line") >= LEAST_CHARS).drop("raw")
+    trimmed = own.withColumn("line", F.trim("raw")).filter((F.length("line") >= LEAST_CHARS) & F.col("line").rlike(r"\S")).drop("raw")
     place = F.struct(F.col("key").isNull().alias("x"), F.col("key").alias("key"), F.col("row").alias("row"), F.col("no").alias("no"))
     return trimmed.select(place.alias("place"), "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
@@ -78,7 +79,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     hash of key and text.
 
     A line is repeated if an earlier line (by key, then line number; null keys last) is equal, or one edit away. Lines are compared
-    without outer blanks. Of rows that repeat as a whole, all share one decision.
+    without outer blanks; lines of blanks alone part paragraphs and stay. Of rows that repeat as a whole, all share one decision.
     """
     lines = _lines(docs, text, key)
     halves = [h.alias(f"p{i}") for i, h in enumerate(_halves(F.length("line")))]

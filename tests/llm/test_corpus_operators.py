@@ -202,6 +202,12 @@ def test_lines_equal_brute_force(spark):
         assert (r["n_lines"], r["n_exact"], r["n_near"], r["text"]) == want[(r["doc_id"], texts[r["doc_id"]])], r["doc_id"]
 
 
+def test_short_lines_repeat(spark):
+    rows = [(1, "{\n  a = 1\n}\n\n \n\t\nyes"), (2, "{\n  b = 1\n }\n\n \n\t\nyes"), (3, "yes\nStep 1 of 3\nStep 2 of 3\nStep 1 of 3")]
+    got = {r["doc_id"]: (r["n_lines"], r["n_exact"], r["n_near"], r["text"]) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: (7, 0, 0, rows[0][1]), 2: (7, 3, 0, "  b = 1\n\n \n\t"), 3: (4, 2, 0, "Step 1 of 3\nStep 2 of 3")}
+
+
 def test_lines_of_nothing(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
 
