@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.llm import (byte_bpe, decontaminate, licenses, line_dedup, near_dup, pii, quality_mil, quality_rules, sharding,
-                         token_count)
+                         token_count, url_filter)
 from tabloom.llm.common import in_fit_fold, table
 
 #: Name of the module that knows the tokenizer files; a parameter of the calls below.
@@ -83,6 +83,15 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.apply_rules(docs, rules).select("doc_id", *quality_rules.STATS, "base_failed", "kept")
 
 
+#: Fixed values of the query's contract: (verdict, host, path).
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_filter.filter_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("bad_share", 6).alias("bad_share"), F.round("bound", 6).alias("bound"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,7 +99,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_byte_bpe, op3_licenses, op4_near_dup, op5_jump_shards, op6_personal_data,
-                                   op7_quality, op8_token_count, op9_line_dedup, op10_quality_rules, pipeline)}
+                                   op7_quality, op8_token_count, op9_line_dedup, op10_quality_rules, op11_url_filter, pipeline)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -136,4 +145,31 @@ ORACLES = {
                md5(case when coalesce(len(gone), 0) = 0 then coalesce(text, '')
                    else coalesce(array_to_string(list_transform(list_filter(range(0, len(ls)), lambda i: not list_contains(gone, i)), lambda i: ls[i + 1]), chr(10)), '') end) as kept_md5
         from d left join taken using (r)""",
+    "op11_url_filter": r"""
+        with recursive rules(verdict, rh, rp) as (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+        u as (select row_number() over () as r, page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                     coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages),
+        met as (select r, arg_max(rh || rp, length(rh || rp)) as rule, arg_max(verdict, length(rh || rp)) as verdict from u, rules
+                where (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp) group by r),
+        named as (select distinct host, regexp_replace(regexp_replace(host, '^.*@', ''), '\.?(:[0-9]*)?$', '') as site from u),
+        places as (select host, case when regexp_matches(site, '(^|\.)[0-9]+$') then site else regexp_extract(site, '([^.]*\.)?[^.]*$') end as domain from named),
+        h as (select *, case when regexp_matches(domain, '(^|\.)[0-9]+$') or not contains(domain, '.') then '' else regexp_replace(domain, '^[^.]*\.', '') end as suffix from places),
+        seen as (select suffix, domain, host, count(*)::double as n, (count(*) filter (verdict = 'block'))::double as bad from u join met using (r) join h using (host) group by all),
+        root as (select (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1) as base from seen),
+        sx as (select suffix, sum(n) as n, sum(bad) as bad from seen group by suffix), dx as (select suffix, domain, sum(n) as n, sum(bad) as bad from seen group by all),
+        levels as (select 0 as l, '' as parent, n, bad from sx union all select 1, suffix, n, bad from dx union all select 2, domain, n, bad from seen),
+        by_parent as (select l, parent, count(*) as k, sum(n) as nn, sum(bad) as bb, sum(n * n) as n2, sum(bad * bad / n) as q from levels group by all),
+        s as (select l, sum(k) as k, count(*) as p, sum(nn) as n, sum(bb) as bad, sum(n2 / nn) as sizes, sum(q) as q, sum(bb * bb / nn) as parents from by_parent group by l),
+        t as (select l, k, p, n, (q - parents) / nullif(k - p, 0) as btw, (bad - q) / nullif(n - k, 0) as ins, (n - sizes) / nullif(k - p, 0) as sz from s),
+        w as (select *, btw + (sz - 1) * ins as whole from t),
+        m as (select i as l, case when n is null or k <= p or n <= k or whole <= 0 then 10.0 when (btw - ins) / whole <= 0 then 10000.0
+                     else least(10000.0, greatest(1.0, 1 / ((btw - ins) / whole) - 1)) end as m from range(3) x(i) left join w on w.l = i),
+        s1 as (select suffix, (bad + m * base) / (n + m) as v from sx, root, m where l = 0),
+        d1 as (select domain, (bad + m * v) / (n + m) as v from dx join s1 using (suffix), m where l = 1),
+        post as (select h.host, coalesce(bad, 0) + m * coalesce(d1.v, s1.v, base) as a, coalesce(n, 0) - coalesce(bad, 0) + m * (1 - coalesce(d1.v, s1.v, base)) as b
+                 from h left join seen using (host) left join d1 on d1.domain = h.domain left join s1 on s1.suffix = h.suffix, root, m where l = 2),
+        judged as (select host, a / (a + b) as mean, greatest(0.0, a / (a + b) - 1.645 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1))) as bound from post)
+        select page_id, host, path, rule, coalesce(verdict, case when bound > 0.5 then 'block' else 'allow' end) as verdict,
+               round(mean, 6) as bad_share, round(bound, 6) as bound
+        from u left join met using (r) join judged using (host)""",
 }
