@@ -52,3 +52,21 @@ def in_fit_fold(id_col: Column) -> Column:
 
 def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+#: Measured rows of a table with one row per key that a join may broadcast; beyond it only keys with many rows are.
+BROADCAST_KEYS, HOT_KEY_ROWS = 500_000, 1_000_000
+
+
+def join_per_key(rows: DataFrame, keyed: DataFrame, left: Column, right: str, weight: str) -> DataFrame:
+    """Join a stored table that has one row for each key of ``rows`` (nulls are a key, too), with its number of rows in ``weight``.
+
+    A key may have a third of all rows. A table of few rows, as counted, is broadcast; of a larger one only the keys with more than
+    ``HOT_KEY_ROWS`` rows, of which there are at most ``rows / HOT_KEY_ROWS``, and the others are shuffled.
+    """
+    same = left.eqNullSafe(F.col(right))
+    if keyed.count() <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(keyed), same)
+    hot, other = keyed.filter(F.col(weight) > HOT_KEY_ROWS), keyed.filter(F.col(weight) <= HOT_KEY_ROWS)
+    cold = rows.join(F.broadcast(hot.select(right)), same, "left_anti")
+    return rows.join(F.broadcast(hot), same).unionByName(cold.join(other, same))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabloom.llm import (byte_bpe, decontaminate, licenses, line_dedup, near_dup, pii, quality_mil, quality_rules, sharding,
-                         token_count, url_filter)
+                         token_count, url_filter, vector_codes)
 from tabloom.llm.common import in_fit_fold, table
 
 #: Name of the module that knows the tokenizer files; a parameter of the calls below.
@@ -92,6 +92,10 @@ def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("bad_share", 6).alias("bad_share"), F.round("bound", 6).alias("bound"))
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.code_vectors(table(spark, folder, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,7 +103,31 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_byte_bpe, op3_licenses, op4_near_dup, op5_jump_shards, op6_personal_data,
-                                   op7_quality, op8_token_count, op9_line_dedup, op10_quality_rules, op11_url_filter, pipeline)}
+                                   op7_quality, op8_token_count, op9_line_dedup, op10_quality_rules, op11_url_filter, op12_vector_codes, pipeline)}
+
+
+
+def _vector_codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds written out one after another; whole numbers below 2^53 are exact in doubles."""
+    near = """n{i} as materialized (select r, j, arg_min(e, dist * {e} + e) as e, min(dist) as dist from (
+            select p.r, p.j, c.e, list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x) as dist
+            from p join c{i} c using (j)) group by r, j),"""
+    move = """c{k} as materialized (select c.j, c.e, coalesce(m.x, c.x) as x from c{i} c left join (
+            select j, e, list(floor(total / n) order by i) as x from (
+            select j, e, i, sum(v) as total, count(*) as n from (select n.j, n.e, unnest(p.x) as v, generate_subscripts(p.x, 1) as i from n{i} n join p using (r, j)) group by j, e, i)
+            group by j, e) m using (j, e)),"""
+    steps = "".join(near.format(i=i, e=entries) + (move.format(i=i, k=i + 1) if i < rounds else "") for i in range(rounds + 1))
+    return f"""
+        with k as (select row_number() over (order by vec_id, embedding) - 1 as r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+                   where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        p as materialized (select r, j, v[j * (len(v) // {parts}) + 1 : (j + 1) * (len(v) // {parts})] as x from k, range({parts}) y(j)),
+        c0 as materialized (select j, r as e, x from p where r < {entries}),
+        {steps}
+        codes as (select r, string_agg(printf('%02x', e), '' order by j) as code, cast(sum(dist) as bigint) as error from n{rounds} group by r),
+        by_label as (select label, cast(sum(error) as bigint) as label_error from k join codes using (r) group by label)
+        select vec_id, code, error, label_error, (select sha256(string_agg(array_to_string(list_transform(x, lambda v: cast(v as bigint)::varchar), ','), ',' order by j, e)) from c{rounds}) as codebooks_sha256
+        from k join codes using (r) join by_label on k.label is not distinct from by_label.label"""
+
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -172,4 +200,5 @@ ORACLES = {
         select page_id, host, path, rule, coalesce(verdict, case when bound > 0.5 then 'block' else 'allow' end) as verdict,
                round(mean, 6) as bad_share, round(bound, 6) as bound
         from u left join met using (r) join judged using (host)""",
+    "op12_vector_codes": _vector_codes_sql(),
 }

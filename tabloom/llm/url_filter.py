@@ -6,12 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabloom.llm.common import join_per_key
 from tabloom.session import written
 
-#: Measured hosts that a join may broadcast; beyond it only hosts with many pages are, and the others are shuffled.
-BROADCAST_HOSTS = 500_000
-#: Pages above which a host is hot. There are at most ``pages / HOT_PAGES`` of them.
-HOT_PAGES = 1_000_000
 #: Prior strengths (pseudo counts): least and largest, and the one of a level that shows nothing.
 LEAST_STRENGTH, MOST_STRENGTH, DEFAULT_STRENGTH = 1.0, 10_000.0, 10.0
 #: Standard deviations between the posterior mean and its bound, and the share of bad pages that the bound may not exceed.
@@ -59,20 +56,6 @@ def _host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     return hosts.join(met.groupBy("host").agg(F.sort_array(F.collect_set(own)).alias("rules")), "host", "left")
 
 
-def _join_hosts(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Join a stored table with one row per host to the pages by ``at.host``.
-
-    Every page has its host in the table, so nothing is lost. A host may have a third of all pages: few hosts are broadcast by their
-    measured number; of many, only those with more than ``HOT_PAGES`` pages.
-    """
-    same = F.col("at.host") == F.col("host")
-    if hosts.count() <= BROADCAST_HOSTS:
-        return pages.join(F.broadcast(hosts), same)
-    hot, other = hosts.filter(F.col("pages") > HOT_PAGES), hosts.filter(F.col("pages") <= HOT_PAGES)
-    cold = pages.join(F.broadcast(hot.select("host")), same, "left_anti")
-    return pages.join(F.broadcast(hot), same).unionByName(cold.join(other, same))
-
-
 def _strength(groups: DataFrame, parent: str) -> float:
     """Pseudo counts of a beta prior, from how much the shares of the groups differ around that of their parents.
 
@@ -144,7 +127,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", key:
     hosts = written(_host_rules(parsed.groupBy(F.col("at.host").alias("host")).agg(F.count("*").alias("pages")), listed), "host-rules")
     met = F.get(F.filter("rules", lambda r: F.startswith(F.col("at.path"), r["rule_path"])), F.lit(0)).alias("met")
     if outcomes is None:
-        ruled = _join_hosts(parsed.select("at"), hosts).select("host", met).filter("met is not null")
+        ruled = join_per_key(parsed.select("at"), hosts, F.col("at.host"), "host", "pages").select("host", met).filter("met is not null")
         labelled = ruled.select("host", (F.col("met.rule_verdict") == "block").alias("bad"))
     else:
         own = outcomes.select(F.col(f"`{key}`").alias("page"), F.col("bad").cast("boolean").alias("bad")).filter("bad is not null")
@@ -152,6 +135,6 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", key:
     counts = labelled.groupBy("host").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad"))
     hosts = written(reputation(hosts.join(counts, "host", "left").na.fill(0, ["n", "bad"]), two_part, z), "host-reputation")
     by_host = F.when(F.col("bound") > limit, "block").otherwise("allow")
-    judged = _join_hosts(parsed, hosts).select("row", "at", met, by_host.alias("by_host"), "bad_share", "bound")
+    judged = join_per_key(parsed, hosts, F.col("at.host"), "host", "pages").select("row", "at", met, by_host.alias("by_host"), "bad_share", "bound")
     return judged.select("row.*", "at.host", "at.path", F.col("met.rule").alias("rule"),
                          F.coalesce("met.rule_verdict", "by_host").alias("verdict"), "bad_share", "bound")
