@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabloom.llm import (byte_bpe, decontaminate, licenses, line_dedup, near_dup, pii, quality_mil, quality_rules, sharding,
+from tabloom.llm import (alignment, byte_bpe, decontaminate, licenses, line_dedup, near_dup, pii, quality_mil, quality_rules, sharding,
                          token_count, url_filter, vector_codes)
 from tabloom.llm.common import in_fit_fold, table
 
 #: Name of the module that knows the tokenizer files; a parameter of the calls below.
-BYTE_VOCABULARY, PIECE_MODEL = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
+BYTE_VOCABULARY, BYTE_JSON, PIECE_MODEL = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer(name: str) -> str:
@@ -96,6 +96,12 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.code_vectors(table(spark, folder, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    aligned = alignment.align_tokens(docs, tokenizer(BYTE_JSON), tokenizer(PIECE_MODEL), digest=True)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_group_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -103,7 +109,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_byte_bpe, op3_licenses, op4_near_dup, op5_jump_shards, op6_personal_data,
-                                   op7_quality, op8_token_count, op9_line_dedup, op10_quality_rules, op11_url_filter, op12_vector_codes, pipeline)}
+                                   op7_quality, op8_token_count, op9_line_dedup, op10_quality_rules, op11_url_filter, op12_vector_codes, op13_token_alignment, pipeline)}
 
 
 
