@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,14 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tabloom.session import written
 
-#: UTF-8 bytes of the texts that are encoded together, of one chunk, and of a piece of a long text.
-SLICE_BYTES, CHUNK_BYTES, PIECE_CHARS = 1 << 20, 12 << 20, 1 << 17
+#: Characters of the texts whose matrices are multiplied together, bytes of one chunk (about), characters of a piece of a long text.
+SLICE_CHARS, CHUNK_BYTES, PIECE_CHARS = 1 << 20, 12 << 20, 1 << 17
+#: Words, and characters of words, whose tokens a worker remembers; beyond it the memory starts anew. It changes speed only.
+KEPT_WORDS, KEPT_CHARS = 300_000, 8 << 20
 #: Tokenizer files travel with the tasks; larger ones are refused.
 FILE_BYTES = 64 << 20
 BLANK = "▁"  # stands for a blank inside pieces
+_CUT = re.compile(r"(?<=\S) (?=[\s\S])")
 COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_group_links"]
 
 
@@ -120,8 +124,31 @@ class Slice:
     texts: list[bytes]
 
 
+class _Words(dict):
+    """Numbers words in the order they come and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.fresh.append(word)
+        return n
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs ``flat[start : start + size]`` one after another."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Aligner:
-    """The two tokenizers, and the bytes of their tokens."""
+    """The two tokenizers, and the bytes of their tokens.
+
+    No token reaches across a blank that follows another sign, so texts are cut there, and a word is encoded once for as long as it
+    is remembered.
+    """
 
     def __init__(self, json_file: bytes, model_file: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -145,6 +172,7 @@ class Aligner:
         # a text may be cut before a blank that follows another sign if no token of either side reaches across
         pre = (json.loads(json_file).get("pre_tokenizer") or {})
         self.may_cut = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in piece)
+        self._forget()
         digits = len(str(max(len(self.bytes_a), len(self.bytes_b))))
         ids = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
         rows = [(i + sep).ljust(digits + 1, "\0").encode() for sep in ",|;" for i in ids]
@@ -156,25 +184,55 @@ class Aligner:
         text, out = " " + text, []
         at = 0
         while self.may_cut and len(text) - at > PIECE_CHARS:
-            found = re.compile(r"\S (?=[\s\S])").search(text, at + PIECE_CHARS - 64)
+            found = _CUT.search(text, at + PIECE_CHARS - 64)
             if not found:
                 break
-            out.append(text[at : found.end() - 1])
-            at = found.end() - 1
+            out.append(text[at : found.start()])
+            at = found.start()
         return [*out, text[at:]]
 
-    def align(self, segments: list[str]) -> tuple[list[bool], Slice]:
-        """Align texts that start with a blank. A text whose tokens do not give its bytes back is left out (False)."""
+    def _forget(self) -> None:
+        self.numbers, self.chars = _Words(), 0
+        self.flat = [np.empty(0, np.int64), np.empty(0, np.int64)]
+        self.starts = [np.empty(0, np.int64), np.empty(0, np.int64)]
+        self.sizes = [np.empty(0, np.int64), np.empty(0, np.int64)]
+        self.length, self.fine = np.empty(0, np.int64), np.empty(0, bool)
+
+    def words(self, piece: str) -> np.ndarray:
+        """Numbers of a piece's words. A piece starts with a blank, and so does each word, whose blank is not kept."""
+        found = _CUT.split(piece[1:]) if self.may_cut else [piece[1:]]
+        return np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found))
+
+    def _encode_words(self) -> None:
+        """Encode the words that have come since the last time. A word is fine if either side's tokens give its bytes back."""
+        words, self.numbers.fresh = self.numbers.fresh, []
+        if not words:
+            return
+        whole = [" " + w for w in words]
         encode = getattr(self.first, "encode_batch_fast", self.first.encode_batch)
-        ids_a = [e.ids for e in encode(segments, add_special_tokens=False)]
-        ids_b = self.second.encode([s[1:] for s in segments], num_threads=1)
-        sizes = [s.encode("utf-8", "surrogatepass") for s in segments]
-        fine = [b"".join(map(self.bytes_a.__getitem__, x)) == raw and b"".join(map(self.bytes_b.__getitem__, y)) == raw
-                for x, y, raw in zip(ids_a, ids_b, sizes)]
-        empty = np.empty(0, np.int64)
-        ids_a, ids_b = ([np.asarray(x, np.int64) for x, f in zip(ids, fine) if f] for ids in (ids_a, ids_b))
-        a, b = (np.concatenate([empty, *ids]) for ids in (ids_a, ids_b))
-        return fine, self._matrices(a, b, np.cumsum([len(raw) for raw, f in zip(sizes, fine) if f], dtype=np.int64))
+        ids = [e.ids for e in encode(whole, add_special_tokens=False)], self.second.encode(words, num_threads=1)
+        raw = [w.encode("utf-8", "surrogatepass") for w in whole]
+        fine = [b"".join(map(self.bytes_a.__getitem__, x)) == r and b"".join(map(self.bytes_b.__getitem__, y)) == r for x, y, r in zip(*ids, raw)]
+        self.chars += sum(map(len, whole))
+        for k in (0, 1):
+            sizes = np.fromiter(map(len, ids[k]), np.int64, len(words))
+            self.starts[k] = np.concatenate([self.starts[k], len(self.flat[k]) + np.cumsum(sizes) - sizes])
+            self.sizes[k] = np.concatenate([self.sizes[k], sizes])
+            self.flat[k] = np.concatenate([self.flat[k], np.fromiter(chain.from_iterable(ids[k]), np.int64, int(sizes.sum()))])
+        self.length = np.concatenate([self.length, np.fromiter(map(len, raw), np.int64, len(raw))])
+        self.fine = np.concatenate([self.fine, np.array(fine, bool)])
+
+    def align(self, segments: list[np.ndarray]) -> tuple[list[bool], Slice]:
+        """Align pieces given by their words. One with a word whose tokens do not give its bytes back is left out (False)."""
+        self._encode_words()
+        fine = [bool(self.fine[s].all()) for s in segments]
+        kept = [s for s, f in zip(segments, fine) if f]
+        words = np.concatenate([np.empty(0, np.int64), *kept])
+        a, b = (_gathered(self.flat[k], self.starts[k][words], self.sizes[k][words]) for k in (0, 1))
+        done = self._matrices(a, b, np.cumsum([self.length[s].sum() for s in kept], dtype=np.int64))
+        if len(self.numbers) > KEPT_WORDS or self.chars > KEPT_CHARS:
+            self._forget()
+        return fine, done
 
     def _matrices(self, a: np.ndarray, b: np.ndarray, segment_ends: np.ndarray) -> Slice:
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
@@ -203,7 +261,7 @@ class Aligner:
         """(mark, state) of every text, in order. ``fold(state, slice, segment)`` is called for each of its pieces, with None first;
         the state is None for a text without tokens. Short texts share slices; of long ones only their state is held."""
         open_docs: list[list] = []  # mark, state, whether all pieces gave their bytes back, pieces in the open slice
-        held: list[str] = []
+        held: list[np.ndarray] = []
         size = 0
 
         def run() -> None:
@@ -223,10 +281,10 @@ class Aligner:
             doc = [mark, None, True, 0]
             open_docs.append(doc)
             for piece in self.pieces(text) if text else []:
-                held.append(piece)
+                held.append(self.words(piece))
                 doc[3] += 1
-                size += len(piece.encode("utf-8", "surrogatepass"))
-                if size >= SLICE_BYTES:
+                size += len(piece)
+                if size >= SLICE_CHARS:
                     run()
             if not held:
                 yield from ((m, state if fine else None) for m, state, fine, _ in open_docs)
