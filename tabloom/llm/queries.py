@@ -198,10 +198,11 @@ ORACLES = {
         w as (select *, btw + (sz - 1) * ins as whole from t),
         m as (select i as l, case when n is null or k <= p or n <= k or whole <= 0 then 10.0 when (btw - ins) / whole <= 0 then 10000.0
                      else least(10000.0, greatest(1.0, 1 / ((btw - ins) / whole) - 1)) end as m from range(3) x(i) left join w on w.l = i),
-        s1 as (select suffix, (bad + m * base) / (n + m) as v from sx, root, m where l = 0),
-        d1 as (select domain, (bad + m * v) / (n + m) as v from dx join s1 using (suffix), m where l = 1),
-        post as (select h.host, coalesce(bad, 0) + m * coalesce(d1.v, s1.v, base) as a, coalesce(n, 0) - coalesce(bad, 0) + m * (1 - coalesce(d1.v, s1.v, base)) as b
-                 from h left join seen using (host) left join d1 on d1.domain = h.domain left join s1 on s1.suffix = h.suffix, root, m where l = 2),
+        known as (select h.host, coalesce(seen.n, 0) as n, coalesce(seen.bad, 0) as bad, coalesce(dx.n, 0) as nd, coalesce(dx.bad, 0) as bd, coalesce(sx.n, 0) as ns, coalesce(sx.bad, 0) as bs
+                  from h left join seen using (host) left join dx on dx.domain = h.domain left join sx on sx.suffix = h.suffix),
+        prior as (select known.*, m2.m as m2, (bd - bad + m1.m * ((bs - bd + m0.m * base) / (ns - nd + m0.m))) / (nd - n + m1.m) as q
+                  from known, root, m m0, m m1, m m2 where m0.l = 0 and m1.l = 1 and m2.l = 2),
+        post as (select host, bad + m2 * q as a, n - bad + m2 * (1 - q) as b from prior),
         judged as (select host, a / (a + b) as mean, greatest(0.0, a / (a + b) - 1.645 * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1))) as bound from post)
         select page_id, host, path, rule, coalesce(verdict, case when bound > 0.5 then 'block' else 'allow' end) as verdict,
                round(mean, 6) as bad_share, round(bound, 6) as bound

@@ -80,7 +80,7 @@ def reputation(counts: DataFrame, two_part: Sequence[str] = (), z: float = Z) ->
     """Add ``bad_share`` and ``bound`` to hosts with counts (host, n, bad) of labelled pages; other columns stay.
 
     The share of bad pages of a suffix is drawn to that of all pages, of a registered domain to its suffix's, of a host to its
-    domain's. How strongly is estimated on each level from the differences between its groups. ``bad_share`` is the posterior mean
+    domain's, each time without the pages of the group itself. How strongly is estimated on each level from the differences between its groups. ``bad_share`` is the posterior mean
     of the host, ``bound`` is ``z`` standard deviations below it (not below 0). A host without labelled pages has its
     domain's share, a table without any 0.5.
     """
@@ -93,14 +93,16 @@ def reputation(counts: DataFrame, two_part: Sequence[str] = (), z: float = Z) ->
     by_suffix, by_domain = total("suffix"), total("suffix", "domain")
     m0 = _strength(by_suffix.withColumn("root", F.lit(0)), "root")
     m1, m2 = _strength(by_domain, "suffix"), _strength(seen, "domain")
-    suffixes = by_suffix.select("suffix", ((F.col("bad") + m0 * base) / (F.col("n") + m0)).alias("of_suffix"))
-    domains = by_domain.join(suffixes, "suffix").select("domain", ((F.col("bad") + m1 * F.col("of_suffix")) / (F.col("n") + m1)).alias("of_domain"))
-    near = placed.join(domains, "domain", "left").join(suffixes, "suffix", "left").drop("domain", "suffix")
-    prior = F.coalesce("of_domain", "of_suffix", F.lit(base))
+    suffixes = by_suffix.select("suffix", F.col("n").alias("n_s"), F.col("bad").alias("bad_s"))
+    domains = by_domain.select("domain", F.col("n").alias("n_d"), F.col("bad").alias("bad_d"))
+    near = placed.join(domains, "domain", "left").join(suffixes, "suffix", "left").na.fill(0, ["n_s", "bad_s", "n_d", "bad_d"])
+    # what a group learns from the one above comes from the other groups there: its own pages count once
+    of_suffix = (F.col("bad_s") - F.col("bad_d") + m0 * base) / (F.col("n_s") - F.col("n_d") + m0)
+    prior = (F.col("bad_d") - F.col("bad") + m1 * of_suffix) / (F.col("n_d") - F.col("n") + m1)
     a, b = F.col("bad") + m2 * prior, F.col("n") - F.col("bad") + m2 * (1 - prior)
     mean = a / (a + b)
     spread = F.sqrt(mean * (1 - mean) / (a + b + 1))
-    return near.withColumns({"bad_share": mean, "bound": F.greatest(F.lit(0.0), mean - z * spread)}).drop("of_domain", "of_suffix")
+    return near.select(*counts.columns, mean.alias("bad_share"), F.greatest(F.lit(0.0), mean - z * spread).alias("bound"))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", key: str = "page_id", outcomes: DataFrame | None = None,
