@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.catalog.registry import Tables, query
+from tabloom.functions.scalar import normal_quantile_sql, normal_tail_sql
 from tabloom.operators import features as FE, profiling as PR
 
 
@@ -139,6 +140,17 @@ def _(t):
     return _round(PR.normality(t.lineitem, ["l_quantity"]).select("name", "stat"), 6, "stat")
 
 
+_RANKED = " UNION ALL ".join(f"SELECT '{c}' AS name, {c}::DOUBLE AS v, row_number() OVER (ORDER BY {c}) AS i, count(*) OVER () AS n FROM lineitem" for c in ("l_quantity", "l_extendedprice"))
+
+
+@query("prof_normality_rank", f"""WITH r AS ({_RANKED}), q AS (SELECT name, v, n, (i - 0.375::DOUBLE) / (n + 0.25::DOUBLE) AS p FROM r),
+s AS (SELECT name, any_value(n) AS n, pow(corr(v, {normal_quantile_sql('p', 'tail')}), 2) AS stat FROM (SELECT *, {normal_tail_sql('p')} AS tail FROM q) GROUP BY name)
+SELECT name, n, round(stat, 8) AS stat, round((ln(1 - stat) - (-1.2725 + 1.0521 * (ln(ln(n)) - ln(n)))) / (1.0308 - 0.26758 * (ln(ln(n)) + 2 / ln(n))), 6) AS z FROM s""")
+def _(t):
+    out = PR.normality_by_rank(t.lineitem, ["l_quantity", "l_extendedprice"])
+    return _round(_round(out, 8, "stat"), 6, "z")
+
+
 @query("prof_positive", "SELECT DISTINCT CASE WHEN quality = 1 THEN 'y' END AS token FROM labels WHERE quality = 1")
 def _(t):
     words = t.labels.select(F.when(F.col("quality") == 1, "y").otherwise("n").alias("q"))

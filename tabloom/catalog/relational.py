@@ -170,14 +170,27 @@ def _(t):
     return out.withColumn("dist", F.round("dist", 6))
 
 
-@query("resolve_redirects", """WITH r AS (SELECT p_name AS title, min(p_brand) AS redirect FROM part WHERE p_size < 10 GROUP BY 1),
-a AS (SELECT min(p_partkey) AS article_id, p_brand AS title FROM part GROUP BY 2)
-SELECT p_partkey AS source_article_id, coalesce(redirect, p_name) AS target, article_id AS target_article_id
-FROM part LEFT JOIN r ON p_name = r.title LEFT JOIN a ON coalesce(redirect, p_name) = a.title""")
-def _(t):
-    links = t.part.select(F.col("p_partkey").alias("source_article_id"), F.col("p_name").alias("target_article_name"))
-    redirects = t.part.filter("p_size < 10").groupBy(F.col("p_name").alias("title")).agg(F.min("p_brand").alias("redirect"))
-    articles = t.part.groupBy(F.col("p_brand").alias("title")).agg(F.min("p_partkey").alias("article_id"))
+# redirects: chains of up to 63 steps, shorter ones that run into each other, circles of two, and some that lead into these
+_REDIRECTS = """SELECT 'C' || c_custkey AS title, 'C' || (c_custkey - 1) AS redirect FROM customer WHERE c_custkey % 64 <> 0
+UNION ALL SELECT 'P' || p_partkey, 'P' || CASE p_partkey % 50 WHEN 1 THEN p_partkey + 1 WHEN 2 THEN p_partkey - 1 ELSE p_partkey - (p_partkey % 7 + 1) END FROM part
+WHERE p_partkey % 50 IN (1, 2) OR p_partkey % 4 <> 0"""
+
+
+@query("resolve_redirects", f"""WITH RECURSIVE r AS ({_REDIRECTS}), reach(title, goal) AS (SELECT title, redirect FROM r UNION SELECT reach.title, r.redirect FROM reach JOIN r ON r.title = reach.goal),
+ends AS (SELECT title, goal FROM reach WHERE goal NOT IN (SELECT title FROM r)),
+links AS (SELECT o_orderkey AS source_article_id, CASE WHEN o_orderkey % 2 = 0 THEN 'C' || o_custkey ELSE 'P' || (o_custkey + 1) END AS name FROM orders),
+named AS (SELECT source_article_id, CASE WHEN r.title IS NULL THEN name ELSE ends.goal END AS target FROM links LEFT JOIN r ON r.title = name LEFT JOIN ends ON ends.title = name),
+a AS (SELECT p_partkey AS article_id, 'P' || p_partkey AS title FROM part UNION ALL SELECT -c_custkey, 'C' || c_custkey FROM customer)
+SELECT source_article_id, target, article_id AS target_article_id FROM named LEFT JOIN a ON target = a.title""")
+def _(t):
+    named = lambda kind, n: F.concat(F.lit(kind), n)
+    k, c = F.col("p_partkey"), F.col("c_custkey")
+    step = F.when(k % 50 == 1, k + 1).when(k % 50 == 2, k - 1).otherwise(k - (k % 7 + 1))
+    redirects = t.customer.filter(c % 64 != 0).select(named("C", c).alias("title"), named("C", c - 1).alias("redirect")).unionByName(
+        t.part.filter((k % 50).isin(1, 2) | (k % 4 != 0)).select(named("P", k).alias("title"), named("P", step).alias("redirect")))
+    order, cust = F.col("o_orderkey"), F.col("o_custkey")
+    links = t.orders.select(order.alias("source_article_id"), F.when(order % 2 == 0, named("C", cust)).otherwise(named("P", cust + 1)).alias("target_article_name"))
+    articles = t.part.select(k.alias("article_id"), named("P", k).alias("title")).unionByName(t.customer.select((-c).alias("article_id"), named("C", c).alias("title")))
     return J.resolve_redirects(links, redirects, articles)
 
 
@@ -190,12 +203,12 @@ def _(t):
         FROM lineitem a GROUP BY a.l_returnflag""")
 
 
-@query("shift_diff_join", """SELECT event_id, user_id, event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS event_id_diff FROM events""")
+@query("shift_diff_join", """WITH n AS (SELECT l_orderkey, l_linenumber, l_extendedprice, lead(l_extendedprice) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS x,
+ row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS i FROM lineitem)
+SELECT l_orderkey, (i + 1)::BIGINT AS i, round(x - l_extendedprice, 6) AS price_diff FROM n WHERE x IS NOT NULL""")
 def _(t):
-    from tabloom.operators.timeseries import diff_prev
-
-    out = diff_prev(t.events.select("event_id", "user_id", "ts"), ["user_id"], ["ts", "event_id"], ["event_id"])
-    return out.select("event_id", "user_id", "event_id_diff")
+    """Each line against the one before it, as an equi join of a table with itself shifted by one position."""
+    return J.shift_diff(t.lineitem, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], "l_extendedprice", "i", "price_diff").withColumn("price_diff", F.round("price_diff", 6))
 
 
 # ---------------------------------------------------------------- aggregates

@@ -210,21 +210,29 @@ def _(t):
     return R.with_expr(t.part, "kg", to_kg("p_size")).select("p_partkey", "kg")
 
 
-@query("udf_agg", "SELECT l_returnflag, round(stddev_pop(l_linenumber), 9) AS native, round(stddev_pop(l_linenumber), 9) AS own FROM lineitem GROUP BY 1")
+@query("udf_agg", "SELECT l_returnflag, count(*) AS n, round(avg(l_extendedprice), 6) AS mean, round(stddev_pop(l_extendedprice), 6) AS own FROM lineitem GROUP BY 1")
 def _(t):
-    """A caller's aggregate: partial sums per Arrow batch in Python, combined by Spark, so that a
-    hot group is never gathered."""
+    """A caller's aggregate: count, mean and squares around the mean per Arrow batch in Python, merged by Spark, so that a
+    hot group is never gathered and large values do not cancel."""
     def partial(batches):
         for b in batches:
-            g = b.groupby("l_returnflag")["l_linenumber"]
-            yield pd.DataFrame({"n": g.count(), "s": g.sum().astype(float), "q": g.apply(lambda x: float((x**2).sum()))}).reset_index()
-
-    rows = t.lineitem.select("l_returnflag", "l_linenumber")
-    parts = rows.mapInPandas(partial, "l_returnflag string, n long, s double, q double")
-    sums = parts.groupBy("l_returnflag").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
-    own = sums.select("l_returnflag", F.round(F.sqrt(F.col("q") / F.col("n") - F.pow(F.col("s") / F.col("n"), 2.0)), 9).alias("own"))
-    native = rows.groupBy("l_returnflag").agg(F.round(F.stddev_pop("l_linenumber"), 9).alias("native"))
-    return native.join(own, "l_returnflag")
+            g = b.groupby("l_returnflag", dropna=False)["l_extendedprice"]
+            yield pd.DataFrame({"n": g.count(), "m": g.mean(), "q": g.var(ddof=0) * g.count()}).reset_index()
+
+    parts = t.lineitem.select("l_returnflag", "l_extendedprice").mapInPandas(partial, "l_returnflag string, n long, m double, q double")
+    state = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("q"))
+
+    def merge(a, p):
+        n, d = a["n"] + p["n"], p["m"] - a["m"]
+        share = F.when(n > 0, p["n"] / n).otherwise(0.0)
+        return F.struct(n.alias("n"), (a["m"] + d * share).alias("m"), (a["q"] + p["q"] + d * d * a["n"] * share).alias("q"))
+
+    # one row per batch and group: gathered in runs, so that no list grows with the table
+    runs = parts.groupBy("l_returnflag", F.spark_partition_id().alias("run")).agg(F.collect_list(F.struct("n", "m", "q")).alias("parts"))
+    once = runs.select("l_returnflag", F.aggregate("parts", state, merge).alias("s"))
+    whole = once.groupBy("l_returnflag").agg(F.sum("s.n").alias("n"), (F.sum(F.col("s.m") * F.col("s.n")) / F.sum("s.n")).alias("mean"), F.collect_list("s").alias("parts"))
+    merged = whole.select("l_returnflag", "n", F.round("mean", 6).alias("mean"), F.aggregate("parts", state, merge).alias("s"))
+    return merged.select("l_returnflag", "n", "mean", F.round(F.sqrt(F.col("s.q") / F.col("s.n")), 6).alias("own"))
 
 
 @query("udf_loss", "SELECT round(sqrt(avg(pow(l_quantity - l_linenumber, 2))), 9) AS loss FROM lineitem")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.catalog.registry import Tables, query
+from tabloom.functions import tables
 from tabloom.operators import wiki as WK
 from tabloom.session import new_path, written
-from tabloom.sources import dumps, forests, generators, images, sinks, tables as SRC
+from tabloom.sources import dumps, files, forests, generators, images, sinks, tables as SRC
 
 PART_SCHEMA = "p_partkey long, p_name string, p_size int, p_retailprice double"
 PART_SQL = """SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN p_name END AS p_name, CASE WHEN p_size % 7 <> 0 THEN p_size END AS p_size, p_retailprice FROM part"""
@@ -60,7 +65,9 @@ def _(t):
 
 @query("scan_csv_lineterm", PART_SQL)
 def _(t):
-    return SRC.scan_csv(t.spark, _part_csv(t), PART_SCHEMA, line_sep="\n")
+    path = new_path(t.spark, "csv-bars")
+    _part_text(t).repartition(3, "p_partkey").write.option("header", True).option("lineSep", "|").csv(path)
+    return SRC.scan_csv(t.spark, path, PART_SCHEMA, line_sep="|")
 
 
 @query("scan_csv_remote", PART_SQL)
@@ -69,10 +76,14 @@ def _(t):
     return SRC.scan_csv(t.spark, path if "://" in path else "file://" + path, PART_SCHEMA, options={"mode": "PERMISSIVE"})
 
 
-@query("scan_csv_chunked", "SELECT count(*) AS n, sum(CASE WHEN p_size % 7 <> 0 THEN p_size END)::BIGINT AS total FROM part")
+@query("scan_csv_chunked", """SELECT count(*) AS n, sum(CASE WHEN p_size % 7 <> 0 THEN p_size END)::BIGINT AS total, true AS chunks_hold, (count(*) > 40) AS several FROM part""")
 def _(t):
-    rows = SRC.scan_csv(t.spark, _part_csv(t, parts=8), PART_SCHEMA)
-    return rows.agg(F.count("*").alias("n"), F.sum("p_size").alias("total"))
+    """Files of at most 40 records, and what each of them holds."""
+    path = new_path(t.spark, "csv-chunks")
+    _part_text(t).repartition(2, "p_partkey").write.option("header", True).option("maxRecordsPerFile", 40).csv(path)
+    rows = SRC.scan_csv(t.spark, path, PART_SCHEMA).withColumn("chunk", F.col("_metadata.file_name"))
+    chunks = rows.groupBy("chunk").agg(F.count("*").alias("n"), F.sum("p_size").alias("total"))
+    return chunks.agg(F.sum("n").alias("n"), F.sum("total").alias("total"), (F.max("n") <= 40).alias("chunks_hold"), (F.count("*") > 2).alias("several"))
 
 
 @query("scan_lazy", "SELECT p_partkey, p_retailprice FROM part WHERE p_retailprice > 950")
@@ -106,7 +117,7 @@ CASE WHEN doc_id % 2 = 0 THEN '{{Infobox ' || source || '|x={{convert|1}}}} {{co
  || '[[' || source || '|label]] [[ ' || lang || ' #part]] [[' || source || ']] ' || text AS wiki FROM documents"""
 
 
-def _dump_path(t: Tables) -> str:
+def _dump_path(t: Tables, parts: int | None = None) -> str:
     n = F.col("doc_id")
     markup = F.concat(
         F.when(n % 2 == 0, F.concat(F.lit("{{Infobox "), "source", F.lit("|x={{convert|1}}}} {{convert|2}} "))).otherwise("{{stub}} "),
@@ -120,6 +131,7 @@ def _dump_path(t: Tables) -> str:
         F.when(n % 5 == 0, F.struct(F.concat(F.lit("Page "), n + 1).alias("_title"))).alias("redirect"),
         F.struct((n + 900000000).alias("id"), F.struct(F.lit("wikitext").alias("_format"), clean.alias("_VALUE")).alias("text")).alias("revision"))
     path = new_path(t.spark, "dump")
+    pages = pages if parts is None else pages.repartition(parts, "id")
     pages.write.format("xml").option("rootTag", "mediawiki").option("rowTag", "page").save(path)
     return path
 
@@ -212,9 +224,20 @@ def _(t):
     return WK.extract(_pages(t), handler)["sizes"]
 
 
-@query("udf_table", _LINKS)
+@query("udf_table", f"""WITH a AS (SELECT doc_id AS page, doc_id % 2 = 0 AS box, source FROM {_ARTICLES}),
+n AS (SELECT page, 1 AS depth, 'Infobox ' || source AS template, 'Infobox ' || source AS path, 0 AS line FROM a WHERE box
+UNION ALL SELECT page, 2, 'convert', 'Infobox ' || source || '/convert', 1 FROM a WHERE box UNION ALL SELECT page, 1, 'convert', 'convert', 2 FROM a WHERE box
+UNION ALL SELECT page, 1, 'stub', 'stub', 0 FROM a WHERE NOT box)
+SELECT page, line, depth, template, path, CASE WHEN depth = 2 THEN 'Infobox ' || source END AS outer_template FROM n JOIN (SELECT page, source FROM a) USING (page)""")
 def _(t):
-    return WK.wiki_tables(_pages(t))["articleLink"]
+    """Template nesting by a table function that keeps its state over the lines of a page, joined laterally to the templates around."""
+    tables.register(t.spark)
+    # wiki text has its parameters on lines of their own
+    lines = _articles(t).select(F.col("article_id").alias("page"), F.posexplode(F.split(F.regexp_replace("text", r"\|", "\n|"), "\n")).alias("line", "text"))
+    lines.createOrReplaceTempView("wiki_lines")
+    return t.spark.sql("""SELECT t.page, t.line, t.depth, t.template, t.path, o.outer_template
+        FROM template_tree(TABLE(SELECT page, line, text FROM wiki_lines) PARTITION BY page ORDER BY line) t,
+        LATERAL (SELECT CASE WHEN t.depth > 1 THEN element_at(split(t.path, '/'), t.depth - 1) END AS outer_template) o WHERE t.depth > 0""")
 
 
 @query("sink_multi_table", f"""SELECT 'article' AS name, count(*) AS n FROM {_ARTICLES} UNION ALL SELECT 'articleTemplate', count(*) FROM ({_TEMPLATES})
@@ -238,11 +261,13 @@ def _(t):
 
 @query("find_latest_dump", "SELECT strftime(max(o_orderdate), '%Y%m%d') AS dump FROM orders")
 def _(t):
-    # a folder per year, named by its last day, as files that are then listed
+    # a folder per year, named by its last day, as files that are then listed; one write makes all of them
     root, year = new_path(t.spark, "dumps"), F.year("o_orderdate")
-    for r in t.orders.groupBy(year.alias("y")).agg(F.date_format(F.max("o_orderdate"), "yyyyMMdd").alias("d")).collect():
-        t.orders.filter(year == r["y"]).select(F.col("o_orderkey").cast("string")).write.text(f"{root}/dl/{r['d']}")
-    return dumps.latest_dump(dumps.file_names(t.spark, root))
+    last = t.orders.groupBy(year.alias("y")).agg(F.date_format(F.max("o_orderdate"), "yyyyMMdd").alias("dl"))
+    rows = t.orders.select(F.col("o_orderkey").cast("string").alias("value"), year.alias("y")).join(last, "y").select("value", "dl")
+    rows.repartition("dl").write.partitionBy("dl").text(f"{root}/dumps")
+    listed = dumps.file_names(t.spark, root).select(F.regexp_replace("path", "/dl=", "/dl/").alias("path"))
+    return dumps.latest_dump(listed)
 
 
 @query("pick_latest_complete", """WITH d AS (SELECT strftime(o_orderdate, '%Y%m%d')::BIGINT AS dump, min(o_custkey) % 2 = 0 AS done FROM orders GROUP BY 1),
@@ -275,31 +300,52 @@ def _(t):
 @query("manifest_status", """SELECT 'd' || doc_id AS file, CASE WHEN doc_id % 3 = 0 THEN 'Missing' WHEN doc_id % 3 = 1 THEN 'Corrupt' ELSE 'Exists' END AS status,
 doc_id % 3 <> 2 AS should_download FROM documents""")
 def _(t):
+    """Two thirds of the files of a manifest are there, half of these with other bytes; what is there is hashed from the files."""
     file = F.concat(F.lit("d"), "doc_id")
     meta = F.to_json(F.struct(F.concat(F.lit("/x/"), file).alias("url"), F.sha1("text").alias("sha1"), F.col("n_chars").alias("size")))
     text = F.concat(F.lit('{"jobs":{"metacurrentdump":{"status":"done","files":{"'), file, F.lit('":'), meta, F.lit("}}}}"))
     manifest = dumps.manifest_files(t.documents.select(text.alias("value")))
-    local = t.documents.filter("doc_id % 3 <> 0").select(
-        file.alias("file"), F.sha1(F.when(F.col("doc_id") % 3 == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))).alias("sha1_local"))
-    return dumps.reconcile(manifest, local)
+    root, there = new_path(t.spark, "mirror"), t.documents.filter("doc_id % 3 <> 0")
+    body = F.when(F.col("doc_id") % 3 == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    files.write_files(there.select(F.concat((F.col("doc_id") % 7).cast("string"), F.lit("/"), file).alias("name"), body.cast("binary").alias("content")), root)
+    return dumps.reconcile(manifest, files.hash_files(t.spark, root))
 
 
-@query("read_binary_meta", "SELECT 'cam/' || strftime(ts, '%Y_%m_%d') || '_' || event_id || '.jpg' AS path, strftime(ts, '%Y_%m_%d') || '_' || event_id || '.jpg' AS file, ts::DATE AS date FROM events")
+@query("read_binary_meta", """SELECT strftime(ts, '%Y_%m_%d') || '_' || (user_id % 10) || '.jpg' AS file, ts::DATE AS date, sum(length(event_id::VARCHAR) + 1)::BIGINT AS length FROM events GROUP BY 1, 2""")
 def _(t):
-    path = F.concat(F.lit("cam/"), F.date_format("ts", "yyyy_MM_dd"), F.lit("_"), "event_id", F.lit(".jpg"))
-    return images.image_dates(t.events.select(path.alias("path")))
+    """The events of a day and a tenth of the users as one file each; names and lengths come from the folder's listing."""
+    name = F.concat(F.lit("cam/"), F.date_format("ts", "yyyy_MM_dd"), F.lit("_"), (F.col("user_id") % 10).cast("string"), F.lit(".jpg"))
+    lines = t.events.groupBy(name.alias("name")).agg(F.concat_ws("", F.collect_list(F.concat(F.col("event_id").cast("string"), F.lit("\n")))).alias("content"))
+    root = new_path(t.spark, "camera")
+    files.write_files(lines.select("name", F.col("content").cast("binary").alias("content")), root)
+    listed = files.file_meta(t.spark, root)
+    return images.image_dates(listed.select("path")).join(listed.select("path", "length"), "path").select("file", "date", "length")
+
 
+def _png(width: int, height: int, channels: int) -> bytes:
+    """A picture of one colour: header, compressed rows, end."""
+    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    rows = (b"\0" + b"\x7f" * (width * channels)) * height
+    head = struct.pack(">IIBBBBB", width, height, 8, 2 if channels == 3 else 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(rows)) + part(b"IEND", b"")
 
-@query("image_audit", """WITH i AS (SELECT p_partkey, 'img' || lpad(p_partkey::VARCHAR, 9, '0') AS file, 10 * (1 + p_size // 40) AS w, 10 * (1 + p_size // 45) AS h, CASE WHEN p_size % 9 = 0 THEN 1 ELSE 3 END AS c FROM part),
+
+@query("image_audit", """WITH i AS (SELECT p_partkey, 'img' || lpad(p_partkey::VARCHAR, 9, '0') || '.png' AS file, 10 * (1 + p_size // 40) AS w, 10 * (1 + p_size // 45) AS h, CASE WHEN p_size % 9 = 0 THEN 1 ELSE 3 END AS c FROM part),
 b AS (SELECT arg_min(w, file) AS base FROM i WHERE c = 3 AND w = h)
 SELECT file, CASE WHEN c <> 3 THEN 'mode' WHEN w <> h THEN 'not square' ELSE 'size' END AS problem FROM i, b WHERE c <> 3 OR w <> h OR w <> base""")
 def _(t):
+    """A picture file per part; sizes and channels are read from the files' headers."""
+    def draw(batches):
+        for batch in batches:
+            content = [_png(*row) for row in zip(batch["w"], batch["h"], batch["c"])]
+            yield pd.DataFrame({"name": batch["name"], "content": content})
+
     size = F.col("p_size")
-    frame = t.part.select(
-        F.concat(F.lit("img"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("file"),
-        (10 * (1 + F.floor(size / 40))).alias("width"), (10 * (1 + F.floor(size / 45))).alias("height"),
-        F.when(size % 9 == 0, 1).otherwise(3).alias("channels"))
-    return images.audit_images(frame)
+    wanted = t.part.select(F.concat(F.lit("img"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"), F.lit(".png")).alias("name"),
+                           (10 * (1 + F.floor(size / 40))).alias("w"), (10 * (1 + F.floor(size / 45))).alias("h"), F.when(size % 9 == 0, 1).otherwise(3).alias("c"))
+    root = new_path(t.spark, "pictures")
+    files.write_files(wanted.mapInPandas(draw, "name string, content binary"), root)
+    return images.audit_images(files.read_image_sizes(t.spark, root))
 
 
 # ---------------------------------------------------------------- exported forests

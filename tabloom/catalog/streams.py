@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tabloom.catalog.registry import Tables, query
 from tabloom.catalog.storage import _ARTICLES, _TEMPLATES, _LINKS, _WIKI, _dump_path, _pages
 from tabloom.session import new_path
 from tabloom.streaming import twins as ST
+from tabloom.streaming.rolling import stream_rolling
 
 
 SLICES, SLICE_FILES = 4, 2
@@ -27,8 +28,12 @@ def _stream(t: Tables, name: str, late: bool = True) -> DataFrame:
     if late:
         home = home + sum(((us > c - half_hour) & (us <= c) & (F.col("event_id") % 3 == 0)).cast("int") for c in cuts)
     flush = rows.orderBy(F.desc("ts")).limit(1).withColumns({"ts": F.col("ts") + F.expr("interval 30 days"), "event_id": F.lit(-1).cast(rows.schema["event_id"].dataType)})
-    for part in [*(rows.filter(home == k) for k in range(SLICES)), flush.unionByName(flush)]:
-        part.repartition(SLICE_FILES).write.mode("append").parquet(path)
+    # one pass cuts the table into slices; then each of them arrives, in its order
+    staged = new_path(t.spark, "slices")
+    rows.withColumn("_slice", home).unionByName(flush.unionByName(flush).withColumn("_slice", F.lit(SLICES))).write.partitionBy("_slice").parquet(staged)
+    cut = t.spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_slice", T.IntegerType())])).parquet(staged)
+    for k in range(SLICES + 1):
+        cut.filter(F.col("_slice") == k).drop("_slice").repartition(SLICE_FILES).write.mode("append").parquet(path)
     return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", SLICE_FILES).parquet(path)
 
 
@@ -48,11 +53,9 @@ def _(t):
     return bars.withColumn("period", F.col("period").cast("timestamp_ntz"))
 
 
-@query("st_rolling", """WITH d AS (SELECT user_id, unnest(generate_series(date_trunc('day', ts) + INTERVAL 1 DAY, date_trunc('day', ts) + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS until, value FROM events)
-SELECT user_id, until, max(value) AS rolled FROM d GROUP BY 1, 2""")
+@query("st_rolling", """SELECT event_id, user_id, ts, max(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '2 days 23:59:59.999999' PRECEDING AND CURRENT ROW) AS rolled FROM events""")
 def _(t):
-    rolled = _run(t, ST.stream_rolling(_stream(t, "events"), "ts", "value", ["user_id"]))
-    return rolled.withColumn("until", F.col("until").cast("timestamp_ntz"))
+    return _run(t, stream_rolling(_stream(t, "events"), ["user_id"], "ts", "3 days", "value", "event_id")).filter("event_id >= 0")
 
 
 @query("st_dedupe", "SELECT event_id FROM events")
@@ -75,9 +78,14 @@ def _(t):
     return counts
 
 
-@query("st_progress", "SELECT count(*) AS pages, true AS some_files FROM documents")
+@query("st_progress", "SELECT count(*) AS pages, count(*) // 50 AS messages, true AS adds_up, true AS several FROM documents")
 def _(t):
-    seen = Observation("progress")
-    watched = _pages(t).observe(seen, F.count(F.lit(1)).alias("pages"), F.approx_count_distinct("file").alias("files"))
-    watched.write.format("noop").mode("overwrite").save()
-    return t.spark.range(1).select(F.lit(seen.get["pages"]).cast("long").alias("pages"), F.lit(seen.get["files"] > 0).alias("some_files"))
+    """Pages arrive in several triggers; the table of batches is filled while the query runs, and a message comes at every 50 pages."""
+    said: list[str] = []
+    pages = ST.with_progress(ST.stream_pages(t.spark, _dump_path(t, parts=5), maxFilesPerTrigger="1"))
+    q = (pages.writeStream.format("parquet").option("checkpointLocation", new_path(t.spark, "state")).trigger(availableNow=True)
+         .start(new_path(t.spark, "pages")))
+    lines = ST.follow(q, every=50, say=said.append)
+    table = t.spark.createDataFrame(lines, "batch long, pages long, files long, total long")
+    return table.agg(F.sum("pages").alias("pages"), F.lit(len(said)).cast("long").alias("messages"), (F.sum("pages") == F.max("total")).alias("adds_up"),
+                     (F.count_if(F.col("pages") > 0) > 1).alias("several"))

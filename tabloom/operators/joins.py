@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.vectors import quadratic_root
+from tabloom.operators.graphs import chain_ends
 from tabloom.plans.sizes import bounded_rows
+from tabloom.plans.ordered import numbered
 from tabloom.plans.skew import join_rows
+from tabloom.session import written
 
 def join_lookup(fact: DataFrame, dim: DataFrame, left_on: str, right_on: str, how: str = "inner") -> DataFrame:
     """Fact rows with the columns of their dimension row; the key keeps the fact's name."""
@@ -93,14 +96,24 @@ def max_distance(corners: DataFrame, rows: DataFrame, cols: Sequence[str],
     return totals.select(F.inline(entries))
 
 
+def shift_diff(df: DataFrame, keys: Sequence[str], order: Sequence[str], c: str, place: str = "place", name: str = "diff", n: int = 1) -> DataFrame:
+    """(keys, ``place``, ``name``): the value of each row minus that of the row ``n`` before it, by a join on the shifted place.
+
+    Rows are numbered per key from 1 (hot keys through a range shuffle); a row without such a predecessor has no result.
+    """
+    placed = written(numbered(df.select(*dict.fromkeys([*keys, *order, c])), keys, order, place).select(*keys, place, c), "numbered")
+    back = placed.select(*keys, (F.col(place) + n).alias(place), F.col(c).alias("_before"))
+    return join_rows(placed, back, [*keys, place], null_safe=True).select(*keys, place, (F.col(c) - F.col("_before")).alias(name))
+
+
 def resolve_redirects(links: DataFrame, redirects: DataFrame, articles: DataFrame) -> DataFrame:
-    """Replace link targets that are redirects and add the id of the target article.
+    """Replace link targets that are redirects by what these lead to in the end, and add the id of that article.
 
-    links (source_article_id, target_article_name), redirects (title, redirect),
-    articles (article_id, title). Links to missing articles get a null id.
+    links (source_article_id, target_article_name), redirects (title, redirect), articles (article_id, title). A redirect to a
+    redirect is followed to its end; a link into a circle of redirects gets a null target. Links to missing articles get a null id.
     """
-    moved = redirects.select(F.col("title").alias("target_article_name"), F.col("redirect").alias("_to"))
-    named = join_rows(links, moved, ["target_article_name"], "left").select(
-        "source_article_id", F.coalesce("_to", "target_article_name").alias("target"))
+    ends = chain_ends(redirects, "title", "redirect").select(F.col("title").alias("target_article_name"), F.col("redirect").alias("_to"), F.lit(True).alias("_moved"))
+    named = join_rows(links, ends, ["target_article_name"], "left").select(
+        "source_article_id", F.when(F.col("_moved"), F.col("_to")).otherwise(F.col("target_article_name")).alias("target"))
     goal = articles.select(F.col("article_id").alias("target_article_id"), F.col("title").alias("target"))
     return join_rows(named, goal, ["target"], "left").select("source_article_id", "target", "target_article_id")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        OneVsRest, RandomForestClassifier)
@@ -109,46 +111,94 @@ def _season_terms(day: Column) -> list[Column]:
     return out
 
 
-def seasonal_forecast(df: DataFrame, key: str | None, ts: str, y: str, periods: int,
-                      z: float = 1.2816, ridge: float = 1e-4) -> DataFrame:
-    """Linear trend, weekly and yearly harmonics; history plus ``periods`` days ahead with an
-    80 % interval from the residual spread.
+def _trend_terms(day: Column, length: Column, changes: int, reach: float) -> list[Column]:
+    """Hinges at even candidate dates over the first part of the series: 0 before the date, then rising."""
+    at = day / length
+    return [F.greatest(F.lit(0.0), at - float(reach * (j + 1) / (changes + 1))) for j in range(changes)]
 
-    All keys are fitted together: one aggregate sums the normal equations per key, and only
-    a (terms x terms) matrix per key is solved inside a task. The series itself is never
-    gathered.
-    """
-    import pandas as pd
 
+def _lasso(m: np.ndarray, xy: np.ndarray, w: np.ndarray, penalty: np.ndarray, sweeps: int = 2000, tol: float = 1e-10) -> np.ndarray:
+    """Coordinate descent on 1/2 w'Mw - w'xy + sum of penalty |w|: each weight in turn takes its best value, shrunk towards 0."""
+    for _ in range(sweeps):
+        largest = 0.0
+        for i in range(len(w)):
+            if m[i, i] <= 0:
+                continue
+            pull = xy[i] - m[i] @ w + m[i, i] * w[i]
+            new = np.sign(pull) * max(abs(pull) - penalty[i], 0.0) / m[i, i]
+            largest, w[i] = max(largest, abs(new - w[i]) * np.sqrt(m[i, i])), new
+        if largest < tol * (1 + np.sqrt(abs(xy @ w))):
+            break
+    return w
+
+
+def seasonal_forecast(df: DataFrame, key: str | None, ts: str, y: str, periods: int, z: float = 1.2816, ridge: float = 1e-4, changes: int = 25,
+                      reach: float = 0.8, change_penalty: float = 0.02, weights: bool = False) -> DataFrame:
+    """Linear trend with change points, weekly and yearly harmonics; history plus ``periods`` days ahead with an 80 % interval from the residual
+    spread.
+
+    The trend may bend at ``changes`` even dates of the first ``reach`` of a series. The bends have an L1 penalty (``change_penalty`` times the rows
+    and the spread of the series), so that most of them are exactly 0; the other terms are all but free. All keys are fitted together: tasks add up the normal equations of their
+    rows, one aggregate per (key, cell) adds up the tasks, and only a (terms x terms) matrix per key is solved inside a task, by least
+    squares and then coordinate descent. The series itself is never gathered. ``changes = 0`` gives the straight trend. With ``weights`` the
+    result is (series, change, slope_change) instead, one row per candidate date.
+    """
     base = df.withColumn("_key", F.col(key).cast("string") if key else F.lit("all"))
-    base = base.select("_key", F.col(ts).cast("date").alias("date"), F.col(y).cast("double").alias("_y"))
-    base = base.groupBy("_key", "date").agg(F.sum("_y").alias("_y"))
+    base = base.select("_key", F.col(ts).cast("date").alias("date"), F.col(y).cast("double").alias("_y")).filter("_y is not null and date is not null")
+    base = written(base.groupBy("_key", "date").agg(F.sum("_y").alias("_y")), "daily-series")
     span = base.groupBy("_key").agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
     day = F.datediff("date", "_lo").cast("double")
     length = F.greatest(F.datediff("_hi", "_lo"), F.lit(1))
-    terms = F.array(F.lit(1.0), day / length, *_season_terms(day))
-    size = 2 + sum(2 * order for _, order in SEASONS)
-    rows = join_rows(base, span, ["_key"]).withColumn("_x", terms)
-    cells = [(i, j) for i in range(size) for j in range(i, size)]
-    sums = rows.groupBy("_key", "_lo", "_hi").agg(
-        F.expr(f"array({', '.join(f'sum(_x[{i}] * _x[{j}])' for i, j in cells)})").alias("_xx"),
-        F.expr(f"array({', '.join(f'sum(_x[{i}] * _y)' for i in range(size))})").alias("_xy"),
-        F.sum(F.col("_y") * F.col("_y")).alias("_yy"), F.count("*").alias("_n"))
+    hinges = _trend_terms(day, length, changes, reach)
+    terms = F.array(F.lit(1.0), day / length, *hinges, *_season_terms(day))
+    size = 2 + changes + sum(2 * order for _, order in SEASONS)
+    rows = join_rows(base, span, ["_key"]).select("_key", "_lo", "_hi", "_y", terms.alias("_x"))
+
+    def equations(batches):
+        """Products of the terms and the value, upper half, added up per key of a batch."""
+        half = np.triu_indices(size + 1)
+        for batch in batches:
+            keys = batch.column(0).dictionary_encode()
+            code, names = keys.indices.to_numpy(zero_copy_only=False), keys.dictionary.to_pylist()
+            x = np.concatenate([batch.column(2).flatten().to_numpy().reshape(-1, size), batch.column(1).to_numpy()[:, None]], axis=1)
+            for i, name in enumerate(names):
+                own = x[code == i]
+                cells = (own.T @ own)[half]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(cells), pa.string()), pa.array(np.arange(len(cells), dtype=np.int32)), pa.array(cells)], names=["_key", "cell", "v"])
+
+    cells = rows.select("_key", "_y", "_x").mapInArrow(equations, "_key string, cell int, v double").groupBy("_key", "cell").agg(F.sum("v").alias("v"))
+    entry = F.array_sort(F.collect_list(F.struct("cell", "v")))
+    sums = join_rows(cells.groupBy("_key").agg(F.transform(entry, lambda e: e["v"]).alias("v")), span, ["_key"])
 
     def solve(batches):
+        half = np.triu_indices(size + 1)
+        bent = np.arange(2, 2 + changes)
         for b in batches:
-            weights, sds = [], []
-            for xx, xy, yy, n in zip(b["_xx"], b["_xy"], b["_yy"], b["_n"]):
-                m = np.zeros((size, size))
-                for v, (i, j) in zip(xx, cells):
-                    m[i, j] = m[j, i] = v
-                w = np.linalg.solve(m + ridge * n * np.eye(size), np.asarray(xy))
-                rss = max(yy - 2 * w @ np.asarray(xy) + w @ m @ w, 0.0)
-                weights.append(w.tolist())
+            fitted, sds = [], []
+            for v in b["v"]:
+                whole = np.zeros((size + 1, size + 1))
+                whole[half] = v
+                whole += np.triu(whole, 1).T
+                m, xy, yy, n = whole[:size, :size], whole[:size, size], whole[size, size], whole[0, 0]
+                eye = ridge * n * np.eye(size)
+                penalty = np.zeros(size)
+                w = np.zeros(size)
+                free = np.setdiff1d(np.arange(size), bent)
+                w[free] = np.linalg.solve((m + eye)[np.ix_(free, free)], xy[free])
+                if changes:
+                    spread = np.sqrt(max(yy / n - (xy[0] / n) ** 2, 0.0))
+                    penalty[bent] = change_penalty * n * spread / max(changes, 1)
+                    w = _lasso(m + ridge * 1e-3 * n * np.eye(size), xy, w, penalty)
+                rss = max(yy - 2 * w @ xy + w @ m @ w, 0.0)
+                fitted.append(w.tolist())
                 sds.append(float(np.sqrt(rss / max(n - 1, 1))))
-            yield pd.DataFrame({"_key": b["_key"], "_lo": b["_lo"], "_hi": b["_hi"], "_w": weights, "_sd": sds})
+            yield pd.DataFrame({"_key": b["_key"], "_lo": b["_lo"], "_hi": b["_hi"], "_w": fitted, "_sd": sds})
 
-    fits = sums.mapInPandas(solve, "_key string, _lo date, _hi date, _w array<double>, _sd double")
+    fits = sums.select("_key", "_lo", "_hi", "v").mapInPandas(solve, "_key string, _lo date, _hi date, _w array<double>, _sd double")
+    if weights:
+        bends = F.transform(F.sequence(F.lit(1), F.lit(max(changes, 1))), lambda j: F.struct(
+            F.date_add("_lo", F.round(j * reach / (changes + 1) * length).cast("int")).alias("change"), F.get("_w", j + 1).alias("slope_change")))
+        return fits.select(F.col("_key").alias("series"), F.inline(F.slice(bends, 1, changes) if changes else F.slice(bends, 1, 0)))
     days = fits.withColumn("date", F.explode(F.sequence("_lo", F.date_add("_hi", periods), F.expr("interval 1 day"))))
     fitted = F.aggregate(F.zip_with(terms, "_w", lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
     out = days.withColumn("yhat", fitted)
@@ -205,6 +255,66 @@ def fuzzy_cmeans(df: DataFrame, cols: Sequence[str], c: int, m: float = 2.0, tol
     return now, fpc, rounds
 
 
+def partition_coefficients(df: DataFrame, cols: Sequence[str], counts: Sequence[int] = range(2, 11), m: float = 2.0, tol: float = 0.005,
+                           max_iter: int = 1000, start: Sequence[Sequence[float]] | None = None, seed: int = 42) -> DataFrame:
+    """(c, coefficient, rounds): the partition coefficient of fuzzy c-means for each number of centres.
+
+    All models that are still open move in the same scan of the rows: tasks add up the weights and weighted sums of every centre of every model, and
+    one aggregate adds up the tasks. A model stops when its memberships move by less than ``tol``. Models start from the first
+    ``c`` points of ``start``, by default rows in the order of a hash. Rows with a null are left out. What reaches the driver are centres:
+    the sum of ``counts`` rows a round.
+    """
+    names, largest = list(cols), max(counts)
+    data = written(df.select(*[F.col(x).cast("double").alias(x) for x in names]).na.drop("any"), "cmeans")
+    if start is None:
+        start = [tuple(r) for r in data.orderBy(F.xxhash64(F.lit(seed), *names)).limit(largest).collect()]
+    if len(start) < largest:
+        raise ValueError("fewer points than centres")
+    centers = {c: np.array(start[:c], float) for c in counts}
+    before: dict[int, np.ndarray | None] = {c: None for c in counts}
+    found: dict[int, tuple[float, int]] = {}
+
+    def memberships(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+        near = np.maximum(((x[:, None, :] - at) ** 2).sum(2), 1e-16) ** (-1.0 / (m - 1.0))
+        return near / near.sum(1, keepdims=True)
+
+    for number in range(1, max_iter + 1):
+        models = {c: (centers[c], before[c]) for c in counts if c not in found}
+        if not models:
+            break
+
+        def sums(batches):
+            total = {c: np.zeros((c, len(names) + 3)) for c in models}
+            for batch in batches:
+                x = np.stack([v.to_numpy(zero_copy_only=False) for v in batch.columns], axis=1)
+                for lo in range(0, len(x), 4096):
+                    part = x[lo : lo + 4096]
+                    for c, (now, old) in models.items():
+                        u = memberships(part, now)
+                        w = u**m
+                        t = total[c]
+                        t[:, 0] += w.sum(0)
+                        t[:, 1 : 1 + len(names)] += w.T @ part
+                        t[0, -2] += (u * u).sum()
+                        t[0, -1] += ((u - memberships(part, old)) ** 2).sum() if old is not None else np.inf
+            rows = [(c, k, t[k].tolist()) for c, t in total.items() for k in range(c)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.list_(pa.float64())))], names=["c", "k", "s"])
+
+        parts = data.mapInArrow(sums, "c int, k int, s array<double>")
+        width = len(names) + 3
+        got = parts.groupBy("c", "k").agg(F.array(*[F.sum(F.get("s", F.lit(i))) for i in range(width)]).alias("s")).collect()
+        rows_all = data.count() if number == 1 else rows_all
+        for c in models:
+            mine = {r["k"]: r["s"] for r in got if r["c"] == c}
+            fpc, moved = mine[0][-2] / max(rows_all, 1), mine[0][-1] ** 0.5
+            before[c] = centers[c]
+            centers[c] = np.array([[mine[k][1 + i] / mine[k][0] for i in range(len(names))] for k in range(c)])
+            if moved < tol or number == max_iter:
+                found[c] = fpc, number
+    rows = [(int(c), float(found[c][0]), int(found[c][1])) for c in counts]
+    return df.sparkSession.createDataFrame(rows, "c int, coefficient double, rounds int")
+
+
 def fuzzy_assign(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], m: float = 2.0) -> DataFrame:
     """Add the membership array and the centre with the largest one."""
     u = F.array(*[F.expr(v) for v in _memberships(cols, centers, m)])

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-#: Rows left in a bracket when its value counts are fetched.
+from tabloom.plans.ordered import running_totals
+
+#: Rows left in a bracket when its values are ranked.
 FINAL_VALUES = 100_000
 
 
@@ -15,7 +17,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], final: int | None = None)
 
     Every pass is one aggregate over all columns: approximate percentiles around the middle give a narrow
     bracket, and counts below and inside it show where the middle ranks lie. Once a bracket
-    holds few rows its value counts are fetched.
+    holds few rows its counted values are ranked on Spark; only the two middle values of a column reach the driver.
     """
     cols = list(cols)
     if not cols:
@@ -61,21 +63,31 @@ def exact_medians(df: DataFrame, cols: Sequence[str], final: int | None = None)
         for i, c in enumerate(wide):
             state[c]["cut"] = cuts[f"p_{i}"]
     if state:
-        pairs = F.array(*[
-            F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"),
-                     F.col(c).between(F.lit(s["lo"]), F.lit(s["hi"])).alias("keep"))
-            for c, s in state.items()
-        ])
-        counted = (df.select(F.explode(pairs).alias("x")).filter("x.keep")
-                   .groupBy("x.c", "x.v").agg(F.count("*").alias("k")))
-        values: dict[str, list] = {c: [] for c in state}
-        for row in counted.collect():
-            values[row["c"]].append((row["v"], row["k"]))
-        for c, s in state.items():
-            result[c] = _middle(sorted(values[c]), s["n"], s["below"])
+        result |= _middle_values(df, state)
     return result
 
 
+def _middle_values(df: DataFrame, state: dict[str, dict]) -> dict[str, float]:
+    """The middle ranks of all brackets by weighted ranks: a running count over their (column, value, count) rows, in one ordered pass."""
+    names = list(state)
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v"),
+                 F.col(c).between(F.lit(state[c]["lo"]), F.lit(state[c]["hi"])).alias("keep"))
+        for i, c in enumerate(names)
+    ])
+    counted = df.select(F.explode(pairs).alias("x")).filter("x.keep").groupBy("x.i", "x.v").agg(F.count("*").alias("k"))
+    upto = running_totals(counted, ["i", "v"], {"upto": "k"})
+    picks, before = [], 0
+    for i, c in enumerate(names):
+        s = state[c]
+        for which, rank in enumerate(((s["n"] + 1) // 2, s["n"] // 2 + 1)):
+            at = rank - s["below"] + before
+            picks.append(F.max(F.when((F.col("i") == i) & (F.col("upto") >= at) & (F.col("upto") - F.col("k") < at), F.col("v"))).alias(f"r{i}_{which}"))
+        before += s["in"]
+    row = upto.agg(*picks).first()
+    return {c: (row[f"r{i}_0"] + row[f"r{i}_1"]) / 2 for i, c in enumerate(names)}
+
+
 def _narrow(s: dict, cut: Sequence, seen: dict) -> None:
     """Move a bracket to the probed cut, then drop end values the middle ranks passed."""
     low, high = (s["n"] + 1) // 2, s["n"] // 2 + 1
@@ -96,15 +108,3 @@ def _narrow(s: dict, cut: Sequence, seen: dict) -> None:
     else:
         lo, below, hi, upto = seen["next"], through_lo, seen["prev"], seen["below_hi"]
     s.update(lo=lo, hi=hi, below=below, **{"in": upto - below})
-
-
-def _middle(pairs: list, n: int, below: int) -> float:
-    low, high = (n + 1) // 2, n // 2 + 1
-    seen, picked = below, []
-    for value, count in pairs:
-        seen += count
-        while len(picked) < 2 and seen >= (low if not picked else high):
-            picked.append(value)
-        if len(picked) == 2:
-            break
-    return (picked[0] + picked[1]) / 2

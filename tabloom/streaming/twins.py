@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabloom.operators.wiki import wiki_tables
@@ -42,6 +42,31 @@ def with_progress(df: DataFrame, name: str = "progress", file: str | None = "fil
     return df.observe(name, *counts)
 
 
+def follow(query: StreamingQuery, name: str = "progress", every: int = 1000, say: Callable[[str], None] = print, wait: float = 0.2) -> list[tuple[int, int, int, int]]:
+    """Watch a running query until it ends: (batch, pages, files, total) of every batch that ``with_progress`` counted.
+
+    The counts of a batch are read from the query's progress as soon as it is done; ``say`` gets a line for every full multiple of
+    ``every`` pages. An error of the query is raised. What the driver holds is one line per batch.
+    """
+    seen: dict[int, tuple[int, int, int, int]] = {}
+    total = 0
+    while True:
+        running = query.isActive
+        for p in query.recentProgress:
+            counts = p["observedMetrics"].get(name) if p["observedMetrics"] else None
+            if counts is None or p["batchId"] in seen:
+                continue
+            pages, files = counts["pages"], counts.asDict().get("files", 0)
+            for multiple in range(total // every + 1, (total + pages) // every + 1):
+                say(f"{multiple * every} pages")
+            total += pages
+            seen[p["batchId"]] = (p["batchId"], pages, files, total)
+        if not running:
+            query.awaitTermination()
+            return list(seen.values())
+        query.awaitTermination(wait)
+
+
 def event_time(df: DataFrame, ts: str) -> DataFrame:
     """Watermarks need a timestamp with time zone; a plain one is read in the session zone."""
     return df if df.schema[ts].dataType.simpleString() == "timestamp" else df.withColumn(ts, F.col(ts).cast("timestamp"))
@@ -57,14 +82,6 @@ def stream_ohlc(df: DataFrame, ts: str, price: str, seq: str, period: str = "1 h
     return bars.select(*keys, F.col("window.start").alias("period"), "open", "high", "low", "close")
 
 
-def stream_rolling(df: DataFrame, ts: str, c: str, keys: Sequence[str] = (), length: str = "3 days",
-                   step: str = "1 day", delay: str = "1 day",
-                   fn: Callable[[str], Column] = F.max) -> DataFrame:
-    """The aggregate of the last ``length``, once per ``step``."""
-    rolled = event_time(df, ts).withWatermark(ts, delay).groupBy(*keys, F.window(ts, length, step)).agg(fn(c).alias("rolled"))
-    return rolled.select(*keys, F.col("window.end").alias("until"), "rolled")
-
-
 def stream_dedupe(df: DataFrame, ts: str, keys: Sequence[str], delay: str = "1 hour") -> DataFrame:
     """One record per key; state is kept for the delay only."""
     return event_time(df, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
