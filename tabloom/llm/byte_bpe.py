@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 from tabloom.llm.bpe import merge_pairs
 
 #: Characters of the texts that one chunk holds. A longer text is a chunk of its own.
-CHUNK_CHARS = 28_000_000
+CHUNK_CHARS = 14_000_000
+#: Encoded words that are packed together on their way back to their chunks.
+PACK_WORDS = 200_000
 #: A vocabulary travels with the tasks; larger files than this are refused.
 VOCABULARY_BYTES = 64 << 20
 _LOW_BITS = (1 << 63) - 1
@@ -114,6 +116,35 @@ def _unpacked(raw: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def _pack(chunks: np.ndarray, numbers: np.ndarray, coded: list[bytes]) -> pa.RecordBatch:
+    """One row per chunk of a run of encoded words: their numbers, byte lengths and ids, compressed together."""
+    order = np.argsort(chunks, kind="stable")
+    chunks, numbers = chunks[order], numbers[order]
+    lengths = np.fromiter(map(len, coded), np.uint32, len(coded))[order]
+    bounds = np.flatnonzero(np.concatenate([[True], chunks[1:] != chunks[:-1], [True]]))
+    rows = []
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        planes = np.stack([numbers[lo:hi].astype("<u4"), lengths[lo:hi].astype("<u4")]).view(np.uint8).reshape(-1, 4).T
+        body = np.ascontiguousarray(planes).tobytes() + b"".join([coded[i] for i in order[lo:hi]])
+        rows.append((int(chunks[lo]), int(hi - lo), len(body), pack(body)))
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["chunk", "n", "bytes", "coded"])
+
+
+def _unpack(coded: pa.Table, n: int, packed: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the words of a chunk by their numbers: how many ids, where they start, and all ids."""
+    lengths, starts, flat, at = np.zeros(n, np.int64), np.zeros(n, np.int64), [np.empty(0, packed)], 0
+    for k, size, raw in zip(*(coded.column(c).to_pylist() for c in ("n", "bytes", "coded"))):
+        body = zstandard.ZstdDecompressor().decompress(raw, max_output_size=max(1, size))
+        numbers, sizes = np.ascontiguousarray(np.frombuffer(body, np.uint8, 8 * k).reshape(4, 2 * k).T).view("<u4").reshape(2, k)
+        ids = np.frombuffer(body, packed, offset=8 * k) if size > 8 * k else np.empty(0, packed)
+        own = sizes.astype(np.int64) // packed.itemsize
+        lengths[numbers], starts[numbers] = own, at + np.cumsum(own) - own
+        flat.append(ids)
+        at += len(ids)
+    return lengths, starts, np.concatenate(flat)
+
+
 def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key: str = "doc_id", ids: str = "ids",
            chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """Encode whole texts: (key, ids), one row per row of ``docs``. Other columns are not carried.
@@ -122,6 +153,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key:
        places one number per token, so that a token costs a byte or two instead of a row.
     2. The distinct words of all chunks meet in one shuffle by word and are sorted; each run of equal words is encoded
        once, and its ids go back to every chunk that has the word.
+       What goes back is packed: one row per chunk and run of words.
     3. Every chunk puts its texts together by position.
 
     Nothing depends on how often a word occurs: a chunk has a word once. A null or empty text has no
@@ -149,24 +181,26 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key:
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, ids_of = _ranks(ranks), None, b""
+        chunks, numbers, coded = [], [], []
         for batch in batches:
-            coded = []
             for word in batch.column("word"):
                 word = word.as_py()
                 if word != last:
                     last, ids_of = word, np.array(encode_word(word, known), packed).tobytes()
                 coded.append(ids_of)
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("no"), pa.array(coded, pa.binary())], names=["chunk", "no", "coded"])
+            chunks.append(batch.column("chunk").to_numpy())
+            numbers.append(batch.column("no").to_numpy())
+            if len(coded) >= PACK_WORDS:
+                yield _pack(np.concatenate(chunks), np.concatenate(numbers), coded)
+                chunks, numbers, coded = [], [], []
+        if coded:
+            yield _pack(np.concatenate(chunks), np.concatenate(numbers), coded)
 
     def put_together(places: pa.Table, coded: pa.Table) -> pa.Table:
-        if places.num_rows != 1 or coded.num_rows != places.column("n_words")[0].as_py():
+        n = sum(coded.column("n").to_pylist())
+        if places.num_rows != 1 or n != places.column("n_words")[0].as_py():
             raise RuntimeError("the documents changed between two passes over them")
-        order = np.argsort(coded.column("no").to_numpy())
-        words = coded.column("coded").combine_chunks().cast(pa.binary()).take(pa.array(order))
-        bounds = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset)
-        flat = np.frombuffer(words.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]].view(packed)
-        lengths = np.diff(bounds) // packed.itemsize
-        starts = np.cumsum(lengths) - lengths
+        lengths, starts, flat = _unpack(coded, n, packed)
         sizes = np.asarray(places.column("sizes")[0].as_py(), np.int64)
         sequence = _unpacked(places.column("places")[0].as_py(), int(sizes.sum()))
         each = lengths[sequence]
@@ -179,7 +213,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key:
         return pa.Table.from_arrays([places.column("keys").combine_chunks().flatten(), rows], names=[key, ids])
 
     words = source.mapInArrow(chunk_words, "chunk long, no int, word binary")
-    coded = words.repartition("word").sortWithinPartitions("word").mapInArrow(encode_words, "chunk long, no int, coded binary")
+    coded = words.repartition("word").sortWithinPartitions("word").mapInArrow(encode_words, "chunk long, n int, bytes int, coded binary")
     placed = source.mapInArrow(chunk_places, f"chunk long, keys array<{kind}>, sizes array<int>, n_words long, places binary")
     return placed.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(put_together, f"`{key}` {kind}, `{ids}` array<int>")
 
