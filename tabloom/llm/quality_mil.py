@@ -12,8 +12,9 @@ from tabloom.llm.common import in_fit_fold, utf8
 
 #: Bytes of a passage, hashed three-byte features, width of an encoded passage and of its attention.
 PASSAGE, BUCKETS, HIDDEN, GATE = 512, 128, 24, 12
-#: Labelled rows to learn from at most (the lowest hashes of their ids), and the longest text among them.
-FIT_ROWS, FIT_BYTES = 3_000, 32_768
+#: Labelled rows to learn from at most (the lowest hashes of their ids), and passages of all of them together. A text with more than an
+#: eighth of these gives evenly spread ones.
+FIT_ROWS, FIT_PASSAGES = 3_000, 64_000
 #: Bytes whose passages a task holds at a time. A longer text is encoded piece by piece.
 SLICE_BYTES = 4 << 20
 THRESHOLD = 0.7
@@ -47,6 +48,14 @@ def encode_passages(raw: bytes) -> np.ndarray:
     return out
 
 
+def _spread(raw: bytes, most: int) -> np.ndarray:
+    """The passages of a text, or ``most`` evenly spread ones of them."""
+    n = max(1, -(-len(raw) // PASSAGE))
+    if n <= most:
+        return encode_passages(raw)
+    return np.concatenate([encode_passages(raw[i * PASSAGE : (i + 1) * PASSAGE]) for i in np.linspace(0, n - 1, most).astype(int)])
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -107,23 +116,28 @@ class AttentionPooling:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
-                fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> AttentionPooling:
-    """Learn from ``fit_rows`` labelled rows of the fit fold at most, of texts up to ``fit_bytes``.
+                fit_rows: int = FIT_ROWS, fit_passages: int = FIT_PASSAGES) -> AttentionPooling:
+    """Learn from ``fit_rows`` labelled rows of the fit fold at most, and from as many of these as have ``fit_passages`` passages together.
 
-    Passages are encoded in Spark; what comes to the driver is bounded by the two parameters. An id
-    with several labels takes the lowest. Without rows of both labels the score is constant: the share of good rows, 1 without any.
+    Rows come in the order of a hash, so a text's length does not decide whether it is learned from; of a text with more than an eighth of
+    the passages evenly spread ones are taken. Passages are encoded in Spark; what comes to the driver is bounded by the two parameters. An id
+    with several labels takes the lowest. Null texts are empty ones: one passage of nothing. Without rows of both labels the score is constant: the share of good rows, 1 without any.
     """
     chosen = (labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & in_fit_fold(F.col(key)))
               .groupBy(F.col(key).alias("_k")).agg(F.min(label).alias("_y")).orderBy(F.xxhash64("_k"), "_k").limit(fit_rows))
 
+    most = max(1, fit_passages // 8)
+
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([encode_passages(t.as_py() or b"").tobytes() for t in batch], pa.binary())
-
-    rows = docs.select(F.col(key).alias("_k"), utf8(text).alias("_t")).filter(F.coalesce(F.octet_length("_t"), F.lit(0)) <= fit_bytes)
-    rows = rows.join(F.broadcast(chosen), "_k")  # the bound of the broadcast is the parameter
-    rows = rows.orderBy(F.xxhash64("_k"), "_k", F.xxhash64("_t")).limit(fit_rows)
-    seen = rows.select("_y", F.arrow_udf(encoded, "binary")("_t").alias("x")).collect()
+            yield pa.array([_spread(t.as_py() or b"", most).tobytes() for t in batch], pa.binary())
+
+    rows = docs.select(F.col(key).alias("_k"), utf8(text).alias("_t")).join(F.broadcast(chosen), "_k")  # the bound of the broadcast is the parameter
+    size = F.greatest(F.lit(1), F.ceil(F.coalesce(F.octet_length("_t"), F.lit(0)) / PASSAGE))
+    order = [F.xxhash64("_k"), F.col("_k"), F.xxhash64("_t")]
+    sizes = rows.orderBy(*order).select(F.least(size, F.lit(most)).alias("n")).limit(fit_rows).collect()
+    taken = int(np.searchsorted(np.cumsum([r["n"] for r in sizes]), fit_passages, "right"))
+    seen = rows.orderBy(*order).limit(taken).select("_y", F.arrow_udf(encoded, "binary")("_t").alias("x")).collect() if taken else []
     bags = [np.frombuffer(r["x"], np.float32).reshape(-1, WIDTH) for r in seen]
     y = np.array([r["_y"] > 0 for r in seen], np.float32)
     x = np.concatenate(bags) if bags else np.zeros((1, WIDTH), np.float32)
@@ -138,7 +152,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
 
 def score_quality(docs: DataFrame, model: AttentionPooling, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Add ``score`` (0 to 1) and ``predicted`` of every whole text; columns of these names are replaced.
-    A null text counts as an empty one: one passage of nothing."""
+    A null text counts as an empty one: one passage of nothing. Texts of any length are scored from all passages, piece by piece; repeated rows
+    get equal scores; an empty table gives an empty one."""
 
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
