@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +26,9 @@ class Template:
     least: float = 1.0
 
 
-# The base phrases, then short public notices of further licences.
+#: Inverse document frequencies of a place that stand for a half of certainty.
+HALF_SURE = 6.0
+# The base phrases, then names and public notices of further licences.
 TEMPLATES = [
     Template("gpl", "gnu general public license", base=True),
     Template("apache", "apache license", base=True),
@@ -44,10 +47,30 @@ TEMPLATES = [
     Template("gpl-3", "licensed under the gnu general public license version 3", key="version 3", least=0.8),
     Template("gpl-2", "licensed under the gnu general public license version 2", key="version 2", least=0.8),
     Template("apache-2.0", "licensed under the apache license version 2 0", key="version 2 0", least=0.8),
-    Template("mit-terms", "permission is hereby granted free of charge to any person obtaining a copy of this software",
-             key="permission is hereby granted", least=0.8),
-    Template("bsd-terms", "redistribution and use in source and binary forms with or without modification are permitted",
-             key="source and binary forms", least=0.8),
+    # public notices as their licences give them, words only
+    Template("mit-terms", "permission is hereby granted free of charge to any person obtaining a copy of this software", key="permission is hereby granted", least=0.8),
+    Template("mit-notice", """permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the
+        software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit
+        persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or
+        substantial portions of the software the software is provided as is without warranty of any kind""", key="permission is hereby granted", least=0.8),
+    Template("isc-notice", """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright
+        notice and this permission notice appear in all copies""", key="with or without fee is hereby granted", least=0.8),
+    Template("bsd-terms", "redistribution and use in source and binary forms with or without modification are permitted", key="source and binary forms", least=0.8),
+    Template("bsd-notice", """redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met 1
+        redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the
+        above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution""",
+             key="redistributions in binary form must reproduce", least=0.8),
+    Template("apache-notice", """licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the
+        license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as
+        is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license""",
+             key="you may not use this file except in compliance with the license", least=0.8),
+    Template("gpl-notice", """this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software
+        foundation either version""", key="under the terms of the gnu general public license", least=0.8),
+    Template("mpl-notice", """this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain
+        one at""", key="mozilla public license v 2 0", least=0.8),
+    Template("zlib-notice", """this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of
+        this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely""",
+             key="alter it and redistribute it freely", least=0.8),
     Template("unlicense", "this is free and unencumbered software released into the public domain", key="free and unencumbered", least=0.8),
 ]
 RESULT = ("struct<n_words:long,n_base:long,first_word:long,last_word:long,base_labels:array<string>,labels:array<string>,"
@@ -76,41 +99,59 @@ def word_weights(docs: DataFrame, templates: list[Template] = TEMPLATES, text: s
 
 
 class RareWordIndex:
-    """For each template: its rarest word as the anchor, with the anchor's offset; and for each word the templates and offsets."""
+    """Postings of licence words: for each word its inverse document frequency, and the templates and offsets it stands at."""
 
     def __init__(self, templates: list[Template], weights: dict[bytes, float]):
         self.templates = [(t, words_of(t.text.encode()), words_of(t.key.encode())) for t in templates]
-        self.anchors: dict[bytes, list[tuple[int, int]]] = {}
         self.vocabulary = frozenset(weights)
-        for k, (_, words, _) in enumerate(self.templates):
-            rarest = max(range(len(words)), key=lambda i: (weights[words[i]], -i))
-            # any share of matching words below one may miss the anchor itself, so enough further rare words are looked up too
-            missing = len(words) - math.ceil(self.templates[k][0].least * len(words))
-            others = sorted(range(len(words)), key=lambda i: (i != rarest, -weights[words[i]], i))
-            for i in others[: missing + 1]:
-                self.anchors.setdefault(words[i], []).append((k, i))
-        self.lookups = frozenset(self.anchors)
+        # rank 0 is the rarest word; equal ones by their bytes
+        self.rank = {w: i for i, w in enumerate(sorted(weights, key=lambda w: (-weights[w], w)))}
+        self.postings: dict[bytes, list[tuple[int, int]]] = {}
+        self.order, self.allowed, self.evidence = [], [], []
+        for k, (t, words, _) in enumerate(self.templates):
+            for i, w in enumerate(words):
+                self.postings.setdefault(w, []).append((k, i))
+            self.order.append(sorted(self.rank[w] for w in words))
+            self.allowed.append(len(words) - math.ceil(t.least * len(words)))
+            self.evidence.append(sum(weights[w] for w in words))
 
     def scan(self, words: list[bytes]) -> list[tuple[int, int, float]]:
-        """(template, start, share of its words in place) of every accepted alignment."""
-        if self.lookups.isdisjoint(words):
-            return []
-        postings: dict[bytes, set[int]] = {}
+        """(template, start, share of its words in place) of every accepted alignment.
+
+        The text's licence words are looked up from the highest inverse document frequency on; each gives the starts of its templates by
+        relative position. An alignment misses ``allowed`` places of a template at most, so once one more of the template's places has been looked
+        up, or is known to be missing, it has all its starts and is closed; a template with more places missing is out.
+        """
+        places: dict[bytes, list[int]] = {}
         for i, w in enumerate(words):
             if w in self.vocabulary:
-                postings.setdefault(w, set()).add(i)
-        starts = {(k, i - offset) for w in self.lookups.intersection(postings) for k, offset in self.anchors[w] for i in postings[w]}
+                places.setdefault(w, []).append(i)
+        starts: set[tuple[int, int]] = set()
+        for w in sorted(places, key=self.rank.__getitem__):
+            for k, offset in self.postings[w]:
+                # places of rarer words of the template count as looked up, whether the text has them or not
+                if bisect_left(self.order[k], self.rank[w]) <= self.allowed[k]:
+                    starts.update((k, i - offset) for i in places[w])
         out = []
+        held = {w: set(at) for w, at in places.items()}
         for k, start in starts:
             template, own, key = self.templates[k]
             if start < 0 or start + len(own) > len(words):
                 continue
-            matched = sum(start + j in postings.get(w, ()) for j, w in enumerate(own)) / len(own)
+            matched = sum(start + j in held.get(w, ()) for j, w in enumerate(own)) / len(own)
             if matched < template.least or (key and not self._verbatim(own, key, start, words)):
                 continue
             out.append((k, start, matched))
         return sorted(out)
 
+    def certainty(self, found: list[tuple[int, int, float]]) -> float:
+        """From 0 to 1: what the templates in place say together. One says the more, the rarer and the more numerous its words are and the more of
+        them stand in place; a template counts once."""
+        best: dict[int, float] = {}
+        for k, _, matched in found:
+            best[k] = max(best.get(k, 0.0), matched)
+        return 1.0 - math.prod(1.0 - m * (1.0 - 0.5 ** (self.evidence[k] / HALF_SURE)) for k, m in best.items())
+
     @staticmethod
     def _verbatim(own: list[bytes], key: list[bytes], start: int, words: list[bytes]) -> bool:
         at = next(i for i in range(len(own)) if own[i : i + len(key)] == key)
@@ -121,11 +162,12 @@ def scan_licenses(docs: DataFrame, templates: list[Template] = TEMPLATES, text:
                   weights: dict[bytes, float] | None = None) -> DataFrame:
     """Add licence places and labels of every whole text.
 
-    The rarest words of each template (document frequency over all of ``docs``) are looked up among a text's
-    words; postings of the other words are intersected at their relative positions; key phrases are verified word by word.
+    A text's licence words of highest inverse document frequency (over all of ``docs``) look up the templates' postings; starts are intersected by
+    relative position with the places of the other words; key phrases are verified word by word.
     Adds ``n_words``, ``n_base`` (places of base phrases), ``first_word``, ``last_word`` (smallest and largest start of
-    these, null without any), ``base_labels``, ``labels`` (sorted arrays), ``score`` (best share of a template in place, 0 without one)
+    these, null without any), ``base_labels``, ``labels`` (sorted arrays), ``score`` (certainty that the text names a licence: see ``RareWordIndex.certainty``; 0 without a place)
     and ``places``. Input columns of these names are replaced. A null text counts as an empty one: no words, score 0.
+    Texts of any length are read whole; repeated rows get equal results; an empty table gives an empty one.
     """
     weights = word_weights(docs, templates, text) if weights is None else weights
 
@@ -144,7 +186,7 @@ def scan_licenses(docs: DataFrame, templates: list[Template] = TEMPLATES, text:
                     "n_words": len(words), "n_base": len(base),
                     "first_word": min((s for _, s in base), default=None), "last_word": max((s for _, s in base), default=None),
                     "base_labels": sorted({x for x, _ in base}), "labels": sorted({templates[k].label for k, _, _ in found}),
-                    "score": max((m for _, _, m in found), default=0.0),
+                    "score": index.certainty(found),
                     "places": [{"label": templates[k].label, "start": s, "matched": m} for k, s, m in found],
                 })
             yield pa.array(out, kind)
