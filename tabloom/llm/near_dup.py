@@ -30,7 +30,7 @@ GROWTH = 8
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -155,6 +155,7 @@ def _band_udf(size: int, bands: int, rows: int):
                 offsets = np.concatenate([[0], np.cumsum(np.where(has, bands, 0))])
                 parts.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(own[has].ravel())))
             yield pa.concat_arrays(parts)
+        _HASHES.clear()  # workers are used again, also by other operators
 
     return F.arrow_udf(keys, "array<long>")
 
@@ -186,6 +187,7 @@ def _set_udf(size: int):
                     marks, beyond = marks_of(own)
                     rows.append({"set": own.view(np.int64), "marks": marks, "beyond": beyond})
             yield pa.array(rows, kind)
+        _HASHES.clear()
 
     return F.arrow_udf(sets, "struct<set:array<long>,marks:array<long>,beyond:int>")
 
@@ -330,16 +332,16 @@ def duplicate_classes(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
-    """One row of every class: the one with the least key. All columns stay. Rows that repeat as a whole in
-    key and text are one row afterwards."""
+    """One row of every class: the one with the least key. All columns stay, whatever their names. Rows that repeat as a whole in
+    key and text are one row afterwards; a null text is an empty one; an empty table gives an empty one."""
     found = written(near_duplicates(docs, text, key, **how), "text-classes")
-    narrow = docs.select(F.col(key).alias("_key"), digest(text).alias("_digest"))
-    heads = found.select(F.col("class_key").alias("_key"), F.col("class_digest").alias("_digest")).distinct()
-    heads = heads.withColumn("_null", F.col("_key").isNull())
-    counted = narrow.groupBy("_key", "_digest").agg(F.count("*").alias("_n")).withColumn("_null", F.col("_key").isNull())
-    same = F.col("h._digest").eqNullSafe(F.col("c._digest")) & F.col("h._key").eqNullSafe(F.col("c._key"))
-    chosen = written(heads.alias("h").join(counted.alias("c"), same).select(F.col("h._digest").alias("_digest"), F.col("h._key").alias("_k"), "_n"), "kept-texts")
-    marked = _looked_up(docs.withColumn("_digest", digest(text)), chosen, ["_digest"]).filter(F.col(key).eqNullSafe(F.col("_k")))
-    once = marked.filter("_n = 1")
-    repeated = marked.filter("_n > 1").dropDuplicates([key, "_digest"])
-    return once.unionByName(repeated).select(*docs.columns)
+    # the input row is one struct from here on, so that no column of it meets one of these helpers
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{key}`").alias("key"), digest(text).alias("digest"))
+    heads = found.select(F.col("class_key").alias("first_key"), F.col("class_digest").alias("first_digest")).distinct()
+    counted = held.groupBy("key", "digest").agg(F.count("*").alias("n"))
+    same = F.col("first_digest").eqNullSafe(F.col("digest")) & F.col("first_key").eqNullSafe(F.col("key"))
+    chosen = written(heads.join(counted, same).select("digest", "first_key", "n"), "kept-texts")
+    marked = _looked_up(held, chosen, ["digest"]).filter(F.col("key").eqNullSafe(F.col("first_key")))
+    once = marked.filter("n = 1").select("row")
+    repeated = marked.filter("n > 1").groupBy("key", "digest").agg(F.first("row").alias("row")).select("row")
+    return once.unionByName(repeated).select("row.*")
