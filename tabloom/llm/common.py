@@ -23,9 +23,14 @@ def utf8(name: str) -> Column:
     return F.col(name).cast("binary")
 
 
+def fresh(label: str) -> str:
+    """A column name that no input has."""
+    return f"_{label}_{uuid.uuid4().hex[:8]}"
+
+
 def add_struct(df: DataFrame, value: Column, fields: list[str]) -> DataFrame:
     """Add the fields of one struct column. Input columns of the same name are replaced."""
-    held = f"_r{uuid.uuid4().hex[:8]}"
+    held = fresh("held")
     kept = [F.col(f"`{c}`") for c in df.columns if c not in fields]
     return df.withColumn(held, value).select(*kept, *[F.col(f"{held}.{f}").alias(f) for f in fields])
 

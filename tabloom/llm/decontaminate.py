@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.llm.common import add_struct, utf8, words_of
+from tabloom.llm.common import add_struct, fresh, utf8, words_of
 from tabloom.session import written
 
 WIDTH = 13
@@ -231,14 +231,15 @@ def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     total = items.agg(F.coalesce(F.sum(F.octet_length(item_text) + 16), F.lit(0)).alias("b")).first()["b"]
     blocks = int(total // block_bytes) + 1
     named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), utf8(item_text).alias("t"))
-    out = docs.withColumn("_found", F.lit(None).cast(FOUND))
+    held = fresh("found")
+    out = docs.withColumn(held, F.lit(None).cast(FOUND))
     for block in range(blocks):
         own = named if blocks == 1 else named.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block)
         if block:
             out = written(out, "overlaps")
         rows = [(r["i"], bytes(r["t"]) if r["t"] is not None else None) for r in own.collect()]
-        out = out.withColumn("_found", _finder(rows, width, shard_words)(utf8(text), F.col("_found")))
-    return add_struct(out, F.col("_found"), ["n_words", "n_hit", "items", "spans"]).drop("_found")
+        out = out.withColumn(held, _finder(rows, width, shard_words)(utf8(text), F.col(held)))
+    return add_struct(out, F.col(held), ["n_words", "n_hit", "items", "spans"]).drop(held)
 
 
 def _cut(raw: bytes, spans: list[dict]) -> bytes:
@@ -258,7 +259,8 @@ _WORD = np.array([bool(words_of(bytes([b]))) for b in range(256)])
 
 
 def cut_spans(found: DataFrame, text: str = "text") -> DataFrame:
-    """Take the spans found by ``find_overlaps`` out of the texts; other texts stay as they are."""
+    """Take the spans found by ``find_overlaps`` out of the texts; other texts, null and empty ones among them, stay as they are. Texts of any length
+    are cut whole; repeated rows are cut alike; an empty table gives an empty one."""
 
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for raw, spans in batches:

@@ -47,12 +47,14 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     Repeated windows: each window is hashed, hash and place are sorted together, a place next to an equal hash repeats; the
     windows' places in order then cover min(3, gap) words each.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(F.col("_text"), F.lit(""))
     results = [*STATS, *SHARES]
     if text in results:
         raise ValueError(f"the text column may not be named {text}")
     kept = [c for c in docs.columns if c not in results]
-    split = docs.select(*kept).withColumn("_w", F.expr(f"filter(split(coalesce(`{text}`, ''), '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w != '')"))
+    # the input row is one struct from here on, so that no column of it meets one of these helpers
+    split = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    split = split.withColumn("_w", F.expr("filter(split(coalesce(_text, ''), '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w != '')"))
     split = split.withColumn("n_words", F.size("_w").cast("long"))
     windows = F.expr("""case when n_words < 4 then cast(array() as array<struct<h:bigint,i:int>>) else
         array_sort(transform(sequence(0, cast(n_words as int) - 3),
@@ -64,7 +66,7 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     split = split.withColumn("_p", again).drop("_s")
     covered = F.expr("""case when size(_p) = 0 then 0L else
         aggregate(_p, named_struct('at', -3, 'n', 0L), (a, i) -> named_struct('at', i, 'n', a.n + least(3, i - a.at)), a -> a.n) end""")
-    lines = F.expr(f"filter(split(coalesce(`{text}`, ''), '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')")
+    lines = F.expr("filter(split(coalesce(_text, ''), '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')")
     split = split.withColumns({
         "word_chars": F.length(F.array_join("_w", "")).cast("long"),
         "n_symbols": F.regexp_count(body, F.lit(SYMBOLS)).cast("long"),
@@ -79,14 +81,15 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "_m": F.regexp_count(body, F.lit(r"[^\p{L}\p{N}\s]")),
     }).drop("_l")
     words, chars = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
-    return split.withColumns({
+    split = split.withColumns({
         "mean_word": F.col("word_chars") / words,
         "symbol_share": F.col("n_symbols") / words,
         "repeat_share": F.col("n_repeat_words") / words,
         "upper_share": F.col("_u") / chars,
         "digit_share": F.col("_d") / chars,
         "mark_share": F.col("_m") / words,
-    }).drop("_u", "_d", "_m")
+    })
+    return split.select("_row.*", *results)
 
 
 def base_failed() -> Column:
@@ -186,11 +189,12 @@ def fit_rules(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
     # at most fit_rows short rows, so the bound of the broadcast is the parameter
     rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(chosen.withColumnRenamed(key, "_k")), "_k")
     seen = text_statistics(rows, "_t").select("_k", (F.col("_y") > 0).alias("good"), *names).orderBy(F.xxhash64("_k"), "_k", *names)
-    return learn_list([r.asDict() for r in seen.limit(2 * fit_rows).collect()], names)
+    return learn_list([r.asDict() for r in seen.limit(fit_rows).collect()], names)
 
 
 def apply_rules(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     """Statistics of every text, ``base_failed`` and ``kept``: false where the base rules fail,
-    else the verdict of the list. A null or empty text fails the base rules."""
+    else the verdict of the list. A null or empty text fails the base rules. Texts of any length are measured whole; repeated rows are judged
+    alike; an empty table gives an empty one."""
     stats = text_statistics(docs.drop("base_failed", "kept"), text)
     return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))

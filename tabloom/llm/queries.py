@@ -58,7 +58,8 @@ def op5_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
     counts = [pii.n_spans(k).alias(f"n_{k}") for k in pii.BASE]
-    return found.select("doc_id", *counts, F.sha2(pii.joined_spans(pii.BASE).cast("binary"), 256).alias("base_sha256"), pii.joined_spans(pii.KINDS).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(pii.joined_spans(pii.BASE).cast("binary"), 256).alias("base_sha256"), pii.joined_spans(pii.KINDS).alias("spans"),
+                        sum((pii.n_spans(k) for k in pii.KINDS[1:]), pii.n_spans(pii.KINDS[0])).alias("n_spans"))
 
 
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,7 +169,7 @@ ORACLES = {
     "op9_line_dedup": r"""
         with d as (select doc_id, text, md5(coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')) as r, string_split(coalesce(text, ''), chr(10)) as ls from documents),
         l as (select doc_id, r, k - 1 as k, trim(ls[k], ' ') as line from (select distinct doc_id, r, ls, unnest(range(1, len(ls) + 1)) as k from d)),
-        o as (select *, row_number() over (order by doc_id, r, k) as place from l where length(line) >= 10),
+        o as (select *, row_number() over (order by doc_id, r, k) as place from l where regexp_matches(line, '[^\x20\x09-\x0D]')),
         firsts as (select line, min(place) as place from o group by line),
         near as (select a.line, min(b.place) as place from firsts a join firsts b on length(b.line) between length(a.line) - 1 and length(a.line) + 1
                  and length(a.line) >= 20 and length(b.line) >= 20 and a.line <> b.line and levenshtein(a.line, b.line) = 1 group by a.line),

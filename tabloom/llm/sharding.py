@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tabloom.llm.common import fresh
 from tabloom.session import written
 
 # Fixed values of the published jump hash: multiplier of its 64-bit generator, and 2^31 of its step.
@@ -54,9 +55,10 @@ def jump_shards(df: DataFrame, key: str, shards: int, shard: str = "shard", grow
         raise ValueError("at least one shard")
     state = _chain(F.coalesce(F.col(key), F.lit(0)), shards)
     kept = [F.col(f"`{c}`") for c in df.columns if c not in (shard, grown)]
-    moved = df.withColumn("_jump", state)
-    last = F.when(F.col("_jump.next") == shards, F.lit(shards)).otherwise(F.col("_jump.at"))
-    return moved.select(*kept, F.col("_jump.at").cast("int").alias(shard), last.cast("int").alias(grown))
+    jumps = fresh("jumps")
+    moved = df.withColumn(jumps, state)
+    last = F.when(F.col(f"{jumps}.next") == shards, F.lit(shards)).otherwise(F.col(f"{jumps}.at"))
+    return moved.select(*kept, F.col(f"{jumps}.at").cast("int").alias(shard), last.cast("int").alias(grown))
 
 
 def slotted(df: DataFrame, group: str, slot: str = "slot") -> DataFrame:
@@ -66,20 +68,17 @@ def slotted(df: DataFrame, group: str, slot: str = "slot") -> DataFrame:
     those two, and shifted by the rows of earlier tasks. That last window has one row per
     group and task, so no task sorts a whole group.
     """
-    spark = df.sparkSession
-    low = F.lit((1 << 33) - 1)
-    stored = written(df.drop(slot).withColumn("_mid", F.monotonically_increasing_id()), "slots")
-    placed = stored.withColumn("_part", F.shiftright("_mid", 33)).withColumn("_mid", F.col("_mid").bitwiseAND(low))
-    inside = Window.partitionBy(group, "_part").orderBy("_mid")
-    counts = placed.groupBy(group, "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = written(counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"), "shifts")
-    ranked = placed.withColumn("_rank", F.row_number().over(inside))
-    joined = ranked.alias("r").join(
-        shifts.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), "_shift"),
-        F.col(f"r.{group}").eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")), "left")
-    return joined.withColumn(slot, (F.col("_rank") - 1 + F.col("_shift")).cast("long")).drop(
-        "_mid", "_part", "_rank", "_g", "_p", "_shift")
+    low, kept = F.lit((1 << 33) - 1), [c for c in df.columns if c != slot]
+    mid, part, rank, of, at, shift = (fresh(n) for n in ("mid", "part", "rank", "group", "at", "shift"))
+    stored = written(df.select(*[F.col(f"`{c}`") for c in kept], F.monotonically_increasing_id().alias(mid)), "slots")
+    placed = stored.withColumn(part, F.shiftright(mid, 33)).withColumn(mid, F.col(mid).bitwiseAND(low))
+    inside = Window.partitionBy(F.col(f"`{group}`"), part).orderBy(mid)
+    counts = placed.groupBy(F.col(f"`{group}`").alias(of), F.col(part).alias(at)).agg(F.count("*").alias(shift))
+    before = Window.partitionBy(of).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = written(counts.withColumn(shift, F.coalesce(F.sum(shift).over(before), F.lit(0))), "shifts")
+    ranked = placed.withColumn(rank, F.row_number().over(inside))
+    joined = ranked.join(shifts, F.col(f"`{group}`").eqNullSafe(F.col(of)) & (F.col(part) == F.col(at)), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in kept], (F.col(rank) - 1 + F.col(shift)).cast("long").alias(slot))
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text") -> DataFrame:
