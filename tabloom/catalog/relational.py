@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabloom.catalog.registry import Tables, query
 from tabloom.operators import aggregates as A, frame as R, joins as J
+from tabloom.plans.draws import uniform_sql
 
 # ---------------------------------------------------------------- projections and filters
 
@@ -455,12 +456,10 @@ def _(t):
     return R.except_ids(t.part.select("p_partkey"), taken, "p_partkey")
 
 
-@query("split_random", "SELECT count(*) AS n, true AS disjoint FROM orders")
+@query("split_random", f"SELECT o_orderkey, CASE WHEN {uniform_sql(42, 'o_orderkey')} < 0.25 THEN 'test' ELSE 'train' END AS side FROM orders")
 def _(t):
     train, test = R.split_random(t.orders.select("o_orderkey"), 0.25, ["o_orderkey"])
-    both = train.withColumn("side", F.lit(0)).unionByName(test.withColumn("side", F.lit(1)))
-    keys = both.groupBy("o_orderkey").agg(F.count("*").alias("k"))
-    return keys.agg(F.sum("k").alias("n"), (F.max("k") == 1).alias("disjoint"))
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
 @query("split_block", """SELECT vec_id, CASE WHEN row_number() OVER (ORDER BY vec_id) <= floor((SELECT count(*) FROM embeddings) * 0.9) THEN 'train' ELSE 'test' END AS side FROM embeddings""")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tabloom.catalog.registry import Tables, query
 from tabloom.functions import vectors as V
 from tabloom.operators import signals as SG, text as TX
+from tabloom.plans.draws import uniform_sql
 from tabloom.sources import images
 
 DIM = 64
@@ -33,10 +34,17 @@ def _(t):
     return out.groupBy("label", "vec_id", "step").agg(F.count("*").alias("copies"))
 
 
-@query("vec_mix_pairs", f"SELECT label, count(*) + 0 AS n, {DIM} AS size FROM (SELECT DISTINCT label FROM embeddings), range(20) GROUP BY 1")
+_MEMBERS = "(SELECT label, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i, count(*) OVER (PARTITION BY label) AS n FROM embeddings)"
+
+
+@query("vec_mix_pairs", f"""WITH m AS {_MEMBERS}, d AS (SELECT label, draw, floor({uniform_sql(42, 'label', 'draw')} * n)::BIGINT AS a, floor({uniform_sql(43, 'label', 'draw')} * n)::BIGINT AS b
+ FROM (SELECT DISTINCT label, n FROM m), range(1, 21) r(draw)),
+p AS (SELECT d.label, draw, unnest(x.v) AS x, unnest(y.v) AS y, generate_subscripts(x.v, 1) - 1 AS k FROM d JOIN m x ON x.label = d.label AND x.i = a JOIN m y ON y.label = d.label AND y.i = b)
+SELECT label, draw::INT AS draw, count(*) AS size, round(sum(round(x + (y - x) * (0.2::DOUBLE + 0.6::DOUBLE * {uniform_sql(44, 'label', 'draw', 'k')}), 5)), 3) AS total FROM p GROUP BY label, draw""")
 def _(t):
     made = SG.synthesize(t.embeddings, "label", "vec_id", "embedding", 20)
-    return made.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("size"))
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)
+    return made.select("label", "draw", F.size("vector").cast("long").alias("size"), F.round(total, 3).alias("total"))
 
 
 @query("vec_block_set", """SELECT vec_id, list_transform(embedding, lambda x, i: CASE WHEN i BETWEEN 6 AND 30 THEN 4 ELSE x END)::DOUBLE[] AS v FROM embeddings""")
@@ -50,12 +58,11 @@ def _(t):
                                V.set_elements("embedding", {32: 0.25}, add=True).alias("w"))
 
 
-@query("vec_random_step", "SELECT vec_id, 25::BIGINT AS n, true AS near FROM embeddings")
+@query("vec_random_step", f"""WITH e AS (SELECT vec_id, c, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) - 1 AS k FROM embeddings, range(1, 26) r(c))
+SELECT vec_id, c::INT AS candidate, round(sum(x + {uniform_sql(42, 'vec_id', 'c', 'k')} - 0.5), 6) AS total FROM e GROUP BY vec_id, c""")
 def _(t):
     moved = SG.explore(t.embeddings, "vec_id", "embedding", 25)
-    both = moved.join(t.embeddings.select("vec_id", "embedding"), "vec_id")
-    gaps = F.transform(F.zip_with("vector", V.doubles("embedding"), lambda a, b: F.abs(a - b)), lambda x: x)
-    return both.groupBy("vec_id").agg(F.count("*").alias("n"), F.bool_and(F.array_max(gaps) <= 0.5).alias("near"))
+    return moved.select("vec_id", "candidate", F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
 @query("vec_to_columns", "SELECT vec_id, label, " + ", ".join(f"embedding[{i}] AS v{i}" for i in range(1, DIM + 1)) + " FROM embeddings")

@@ -13,6 +13,7 @@ from tabloom.operators.joins import join_lookup
 from tabloom.plans.ordered import Order, running_totals, windowed
 from tabloom.plans.quantiles import exact_medians
 from tabloom.plans.sizes import bounded_rows
+from tabloom.session import written
 from pyspark.sql import Window as W
 
 
@@ -184,9 +185,18 @@ def histogram(df: DataFrame, c: str, bins: int = 10) -> DataFrame:
     return (df.filter(x.isNotNull()).groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n")))
 
 
-def crosstab(df: DataFrame, a: str, b: str, limit: int | None = None) -> DataFrame:
-    """Frequencies of a x b, a column per value of b; absent pairs are 0."""
-    counts = df.groupBy(a, b).count()
+#: Values that may become columns; a table with more of them is better read as the long rows of ``pair_counts``.
+MAX_COLUMNS = 10_000
+
+
+def pair_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b, n): frequencies as rows, for any number of values."""
+    return df.groupBy(a, b).agg(F.count("*").alias("n"))
+
+
+def crosstab(df: DataFrame, a: str, b: str, limit: int = MAX_COLUMNS) -> DataFrame:
+    """Frequencies of a x b, a column per value of b; absent pairs are 0. More than ``limit`` values of b raise: see ``pair_counts``."""
+    counts = written(pair_counts(df, a, b).withColumnRenamed("n", "count"), "pair-counts")
     values = sorted(r[0] for r in bounded_rows(counts.select(b).distinct(), limit, "column values"))
     return counts.groupBy(a).pivot(b, values).agg(F.sum("count")).na.fill(0)
 

@@ -15,7 +15,11 @@ from tabloom.plans.skew import join_rows
 
 
 
-def _values(df: DataFrame, c: str, limit: int | None = None) -> list:
+#: Values that may become columns of their own; more of them raise, as a schema is built on the driver.
+MAX_COLUMNS = 10_000
+
+
+def _values(df: DataFrame, c: str, limit: int = MAX_COLUMNS) -> list:
     rows = bounded_rows(df.select(c).filter(F.col(c).isNotNull()).distinct(), limit, f"values of {c}")
     return sorted(r[0] for r in rows)
 

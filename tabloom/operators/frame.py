@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.scalar import col, recode
+from tabloom.plans.draws import uniform, whole
 from tabloom.plans.ordered import Order, _names, positions
 
 
@@ -105,8 +106,8 @@ def except_ids(ids: DataFrame, taken: DataFrame, key: str) -> DataFrame:
 
 
 def split_random(df: DataFrame, frac: float, keys: Sequence[str], seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Train and test part; a row's side depends only on its key and the seed."""
-    is_test = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(10_000)) < int(round(frac * 10_000))
+    """Train and test part; a row's side depends only on its key and the seed, by a draw that SQL can repeat for whole-number keys."""
+    is_test = uniform(seed, *[whole(df, k) for k in keys]) < frac
     return df.filter(~is_test), df.filter(is_test)
 
 

@@ -55,21 +55,27 @@ def _grid_columns(rows: list, names: Sequence[str], loss: str, sep: str = "$") -
     return out
 
 
-def grid_eval(grid: DataFrame, data: DataFrame, loss: str, name: str = "loss", limit: int | None = None) -> DataFrame:
-    """An aggregate of all data rows for each parameter row, in one pass over the data.
+#: Parameter rows of a grid at most, and those that share one pass over the data.
+MAX_GRID, GRID_BLOCK = 100_000, 200
 
-    ``loss`` is an aggregate expression with ``$name`` for grid columns. The grid is a
-    parameter list of bounded length, so it becomes columns of one aggregate: the data is
-    neither copied per grid row nor shuffled.
+
+def grid_eval(grid: DataFrame, data: DataFrame, loss: str, name: str = "loss", limit: int = MAX_GRID) -> DataFrame:
+    """An aggregate of all data rows for each parameter row, ``GRID_BLOCK`` of them per pass over the data.
+
+    ``loss`` is an aggregate expression with ``$name`` for grid columns. The grid is a parameter list of at most ``limit`` rows (more raise),
+    so a block of it becomes columns of one aggregate: the data is neither copied per grid row nor shuffled.
     """
     rows = bounded_rows(grid, limit, "grid rows")
-    totals = data.agg(*_grid_columns(rows, grid.columns, loss))
     types = {f.name: f.dataType.simpleString() for f in grid.schema}
-    entries = F.array(*[
-        F.struct(*[F.lit(r[n]).cast(types[n]).alias(n) for n in grid.columns], F.col(f"g{i}").alias(name))
-        for i, r in enumerate(rows)
-    ])
-    return totals.select(F.inline(entries))
+    out = None
+    for at in range(0, max(len(rows), 1), GRID_BLOCK):
+        block = rows[at : at + GRID_BLOCK]
+        entries = [F.struct(*[F.lit(r[n]).cast(types[n]).alias(n) for n in grid.columns], F.col(f"g{i}").alias(name)) for i, r in enumerate(block)]
+        part = data.agg(*_grid_columns(block, grid.columns, loss) or [F.count("*")]).select(F.inline(F.array(*entries))) if block else None
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("an empty grid")
+    return out
 
 
 def corner_grid(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -82,18 +88,16 @@ def corner_grid(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def max_distance(corners: DataFrame, rows: DataFrame, cols: Sequence[str],
                  inverse: Sequence[Sequence[float]], name: str = "dist") -> DataFrame:
-    """For each corner the largest Mahalanobis distance to any row, in one pass."""
-    points = bounded_rows(corners.select(*cols), None, "corners")
-    best = [
-        F.max(quadratic_root([F.lit(float(p[c])) - F.col(c) for c in cols], inverse)).alias(f"g{i}")
-        for i, p in enumerate(points)
-    ]
-    totals = rows.agg(*best)
-    entries = F.array(*[
-        F.struct(*[F.lit(float(p[c])).alias(c) for c in cols], F.col(f"g{i}").alias(name))
-        for i, p in enumerate(points)
-    ])
-    return totals.select(F.inline(entries))
+    """For each corner the largest Mahalanobis distance to any row: ``GRID_BLOCK`` corners per pass, ``MAX_GRID`` at most (16 columns)."""
+    points = bounded_rows(corners.select(*cols), MAX_GRID, "corners")
+    out = None
+    for at in range(0, len(points), GRID_BLOCK):
+        block = points[at : at + GRID_BLOCK]
+        best = [F.max(quadratic_root([F.lit(float(p[c])) - F.col(c) for c in cols], inverse)).alias(f"g{i}") for i, p in enumerate(block)]
+        entries = F.array(*[F.struct(*[F.lit(float(p[c])).alias(c) for c in cols], F.col(f"g{i}").alias(name)) for i, p in enumerate(block)])
+        part = rows.agg(*best).select(F.inline(entries))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def shift_diff(df: DataFrame, keys: Sequence[str], order: Sequence[str], c: str, place: str = "place", name: str = "diff", n: int = 1) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.functions.scalar import argmax, clip
 from tabloom.plans.ordered import positions, running_totals
-from tabloom.plans.sizes import bounded_rows
+from tabloom.plans.skew import join_rows
 from tabloom.session import written
 
 
@@ -66,12 +66,11 @@ def f1_per_class(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 def confusion_matrix(df: DataFrame, y: str, yhat: str, normalize: bool = False) -> DataFrame:
     """(actual, predicted, n) with zero cells; normalised by the row total on request."""
-    counts = df.groupBy(F.col(y).alias("actual"), F.col(yhat).alias("predicted")).agg(F.count("*").alias("n"))
+    counts = written(df.groupBy(F.col(y).alias("actual"), F.col(yhat).alias("predicted")).agg(F.count("*").alias("n")), "cells")
     seen = counts.select(F.explode(F.array("actual", "predicted")).alias("label")).distinct()
-    kind = counts.schema["actual"].dataType
-    labels = F.array(*[F.lit(r[0]).cast(kind) for r in sorted(bounded_rows(seen, None, "classes"))])
-    cells = df.sparkSession.range(1).select(F.explode(labels).alias("actual"))
-    cells = cells.select("actual", F.explode(labels).alias("predicted"))
+    # a matrix has a cell for every two classes; the classes stay on Spark
+    labels = seen.agg(F.collect_list("label").alias("_labels"))
+    cells = labels.select(F.explode("_labels").alias("actual"), "_labels").select("actual", F.explode("_labels").alias("predicted"))
     out = cells.join(counts, ["actual", "predicted"], "left").na.fill(0, ["n"])
     if not normalize:
         return out
@@ -107,13 +106,8 @@ def auc_by(df: DataFrame, group: str, y: str, score: str) -> DataFrame:
         F.sum((F.col(y) == 1).cast("long")).alias("_p"), F.sum((F.col(y) != 1).cast("long")).alias("_n"))
     per = written(per, "thresholds")
     totals = per.groupBy(group).agg(F.sum("_p").alias("_pp"), F.sum("_n").alias("_nn"))
-    known, before = [], 0
-    for row in sorted(bounded_rows(totals, None, "groups"), key=lambda r: r[group]):
-        known.append((row[group], row["_pp"], row["_nn"], before))
-        before += row["_pp"]
-    kind = per.schema[group].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(known, f"`{group}` {kind}, _pp long, _nn long, _before long")
-    cum = running_totals(per, [group, F.desc("threshold")], {"tp": "_p"}).join(F.broadcast(table), group)
+    table = running_totals(totals, [group], {"_upto": "_pp"}).select(group, "_pp", "_nn", (F.col("_upto") - F.col("_pp")).alias("_before"))
+    cum = join_rows(running_totals(per, [group, F.desc("threshold")], {"tp": "_p"}), table, [group], null_safe=True)
     height = F.try_divide(2 * (F.col("tp") - F.col("_before")) - F.col("_p"), 2 * F.col("_pp"))
     return cum.groupBy(group).agg(F.sum(F.try_divide("_n", "_nn") * height).alias("auc"))
 

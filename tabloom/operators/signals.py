@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.functions.scalar import note_name, note_number
 from tabloom.functions.vectors import doubles
+from tabloom.plans.draws import uniform, whole
 from tabloom.plans.ordered import _key_positions, windowed
 from tabloom.plans.skew import join_rows
 from tabloom.session import written
@@ -126,29 +127,24 @@ def synthesize(df: DataFrame, label: str, key: str, vector: str, n: int, seed: i
     members = _key_positions(df.select(label, key, vector), [label], [key])
     sizes = members.groupBy(label).agg(F.count("*").alias("_size"))
     draws = sizes.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    draws = draws.withColumns({
-        f"_{s}": F.pmod(F.xxhash64(F.lit(seed + i), label, "draw"), F.col("_size")) for i, s in enumerate("ab")})
+    draws = draws.withColumn("_class", whole(members, label))
+    draws = draws.withColumns({f"_{s}": F.floor(uniform(seed + i, F.col("_class"), F.col("draw")) * F.col("_size")) for i, s in enumerate("ab")})
     a = members.select(label, F.col("_pos").alias("_a"), doubles(vector).alias("_va"))
     b = members.select(label, F.col("_pos").alias("_b"), doubles(vector).alias("_vb"))
     pairs = draws.join(a, [label, "_a"]).join(b, [label, "_b"])
     indexed = F.zip_with("_va", "_vb", lambda x, y: F.struct(x.alias("x"), y.alias("y")))
 
     def mix(p: Column, i: Column) -> Column:
-        weight = 0.2 + 0.6 * unit_random(seed + 2, label, "draw", i)
+        weight = 0.2 + 0.6 * uniform(seed + 2, F.col("_class"), F.col("draw"), i)
         return F.round(p["x"] + (p["y"] - p["x"]) * weight, 5)
 
     return pairs.select(label, "draw", F.transform(indexed, mix).alias("vector"))
 
 
-def unit_random(seed: int, *parts) -> Column:
-    """A repeatable number in [0, 1) from the values of the row."""
-    return F.pmod(F.xxhash64(F.lit(seed), *parts), F.lit(1 << 40)) / float(1 << 40)
-
-
 def explore(df: DataFrame, key: str, vector: str, n: int = 25, seed: int = 42) -> DataFrame:
     """n candidates per vector: each element moves by a random amount in [-0.5, 0.5)."""
-    out = df.withColumn("candidate", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    moved = F.transform(doubles(vector), lambda x, i: x + unit_random(seed, key, "candidate", i) - 0.5)
+    out = df.withColumn("_key", whole(df, key)).withColumn("candidate", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    moved = F.transform(doubles(vector), lambda x, i: x + uniform(seed, F.col("_key"), F.col("candidate"), i) - 0.5)
     return out.select(key, "candidate", moved.alias("vector"))
 
 

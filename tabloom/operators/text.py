@@ -10,7 +10,10 @@ from tabloom.functions.scalar import recode
 from tabloom.functions.vectors import cosine, doubles, literal, norm
 from tabloom.plans.sizes import bounded_rows
 from tabloom.plans.skew import join_rows
+from tabloom.session import written
 
+#: Numbers of a vector table (rows by dimension, as measured) that a join may broadcast.
+BROADCAST_NUMBERS = 8_000_000
 # fixed values: spelling repairs before the lookup
 SUBSTITUTES = {"vegi": "vegetable", "smoothy": "malt"}
 
@@ -26,11 +29,16 @@ def title_vectors(items: DataFrame, vectors: DataFrame, key: str, title: str, di
                   subst: Mapping[str, str] = SUBSTITUTES) -> DataFrame:
     """Mean vector of the words of each title that have one.
 
-    Words are counted per title first; the sums are plain double columns, so they are
-    combined before the shuffle. A very frequent word is joined apart from the others.
+    The vectors are stored and counted. A table of at most ``BROADCAST_NUMBERS`` numbers goes to the tasks, where each title's words are looked up
+    and added up before anything is shuffled; a larger one is joined by word, after the words of a title are counted. The sums are plain
+    double columns, so they are combined before the shuffle.
     """
-    counted = title_words(items, key, title, subst).groupBy(key, "word").agg(F.count("*").alias("k"))
-    joined = join_rows(counted, vectors, ["word"])
+    vectors = written(vectors.select("word", "vector"), "word-vectors")
+    words = title_words(items, key, title, subst)
+    if vectors.count() * dim <= BROADCAST_NUMBERS:
+        joined = words.join(F.broadcast(vectors), "word").withColumn("k", F.lit(1))
+    else:
+        joined = join_rows(words.groupBy(key, "word").agg(F.count("*").alias("k")), vectors, ["word"])
     sums = [F.sum(F.col("k") * F.get("vector", F.lit(i)).cast("double")).alias(f"s{i}") for i in range(dim)]
     totals = joined.groupBy(key).agg(F.sum("k").alias("words"), *sums)
     return totals.select(key, "words", F.array(*[F.col(f"s{i}") / F.col("words") for i in range(dim)]).alias("vector"))

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabloom.plans.ordered import next_known, numbered, windowed
+from tabloom.plans.sizes import hot_keys
 from tabloom.plans.skew import join_rows
 
 # fixed values: period lengths in microseconds
@@ -221,8 +222,9 @@ def seasonal_decompose(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             trend = F.when(F.count(F.lit(1)).over(full) == period + 1, trend)
         return frame.withColumn("trend", trend)
 
-    rows = numbered(df, keys, order, "_rn")
-    rows = windowed(rows, keys, order, build, before=half, after=half)
+    heavy = hot_keys(df, keys)  # counted once for both steps
+    rows = numbered(df, keys, order, "_rn", heavy=heavy)
+    rows = windowed(rows, keys, order, build, before=half, after=half, heavy=heavy)
     rows = rows.withColumn("_phase", F.expr(f"(_rn - 1) % {period}"))
     off = F.try_divide(F.col(c), F.col("trend")) if times else F.col(c) - F.col("trend")
     phases = rows.withColumn("_off", off).groupBy(*keys, "_phase").agg(F.avg("_off").alias("_mean"))

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 # fixed values: two primes below 2^31, and multipliers below them
 PRIME_A, PRIME_B = 2147483647, 2147483629
@@ -45,6 +46,13 @@ def uniform_sql(seed: int, *parts: str) -> str:
     return f"({mix_sql(mix_sql(x, 7), 27)})::double / {PRIME_B}.0::double"
 
 
+def whole(df: DataFrame, name: str) -> Column:
+    """Whole numbers that stand for a column's values in ``uniform``: themselves for whole numbers, else a hash; null is 0."""
+    col = F.col(f"`{name}`")
+    number = col.cast("long") if isinstance(df.schema[name].dataType, IntegralType) else F.xxhash64(col)
+    return F.coalesce(F.pmod(number, F.lit(PRIME_A).cast("long")), F.lit(0).cast("long"))
+
+
 def _sides(n: int) -> tuple[int, int]:
     a = math.isqrt(max(n - 1, 0)) + 1
     return a, -(-max(n, 1) // a)

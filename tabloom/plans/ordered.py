@@ -89,9 +89,9 @@ def _key_positions(df: DataFrame, keys: Sequence[str], order: Order) -> DataFram
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Order, name: str = "rn",
-             hot: int | None = None) -> DataFrame:
-    """1-based row number per key."""
-    heavy = hot_keys(df, keys, hot)
+             hot: int | None = None, heavy: DataFrame | None = None) -> DataFrame:
+    """1-based row number per key. ``heavy`` is the table of ``hot_keys`` where the caller has counted already."""
+    heavy = hot_keys(df, keys, hot) if heavy is None else heavy
     ranked = F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long")
     if heavy.isEmpty():
         return df.withColumn(name, ranked)
@@ -104,15 +104,15 @@ Build = Callable[[DataFrame, list[str]], DataFrame]
 
 
 def windowed(df: DataFrame, keys: Sequence[str], order: Order, build: Build, before: int = 0,
-             after: int = 0, hot: int | None = None, block: int = BLOCK_ROWS) -> DataFrame:
+             after: int = 0, hot: int | None = None, block: int = BLOCK_ROWS, heavy: DataFrame | None = None) -> DataFrame:
     """Apply ``build(frame, partition columns)``, whose windows look at most ``before``
     rows back and ``after`` rows ahead.
 
     Hot keys run in blocks of consecutive rows; each block also receives the rows its
-    frames reach in the neighbouring blocks.
+    frames reach in the neighbouring blocks. ``heavy`` as in ``numbered``.
     """
     keys = list(keys)
-    heavy = hot_keys(df, keys, hot)
+    heavy = hot_keys(df, keys, hot) if heavy is None else heavy
     if heavy.isEmpty():
         return build(df, keys)
     if max(before, after) > block:

@@ -34,10 +34,8 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataF
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
-def bounded_rows(df: DataFrame, limit: int | None, what: str) -> list:
-    """Collect a frame that the caller calls small; beyond a given limit fail loudly instead of growing the driver."""
-    if limit is None:
-        return df.collect()
+def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
+    """Collect a frame that the caller calls small; beyond the limit fail loudly instead of growing the driver."""
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} {what}")

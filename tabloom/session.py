@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +76,21 @@ def clean_up(spark: SparkSession, keep: int = 0) -> int:
     return len(gone)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the intermediate tables named inside the block when it ends, but for the paths put into the list that it gives."""
+    start, kept = len(_NAMED), []
+    try:
+        yield kept
+    finally:
+        own = _NAMED[start:]
+        for path in own:
+            if path not in kept:
+                at = spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        _NAMED[start:] = kept
+
+
 def written(df: DataFrame, label: str = "step") -> DataFrame:
     """Cut the lineage by writing the rows to the shared folder as parquet.
 

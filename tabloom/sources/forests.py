@@ -56,6 +56,10 @@ OPERATORS = {
 }
 
 
+#: Nodes of a model at most: they travel with the tasks, about a hundred bytes each.
+MAX_NODES = 2_000_000
+
+
 def tree_votes(nodes: DataFrame, fields: Mapping[str, str] | None = None) -> tuple[Column, int]:
     """The votes of all trees as an array column, and how many trees there are.
 
@@ -63,7 +67,7 @@ def tree_votes(nodes: DataFrame, fields: Mapping[str, str] | None = None) -> tup
     together: a node's children are tried in order, the first whose test holds takes the row. A null field fails every test;
     a row that no child takes has no vote.
     """
-    rows = bounded_rows(nodes, None, "forest nodes")
+    rows = bounded_rows(nodes, MAX_NODES, "forest nodes")
     fields = fields or {}
     names = sorted({fields.get(r["field"], r["field"]) for r in rows if r["op"] is not None})
     place = {n: i for i, n in enumerate(names)}

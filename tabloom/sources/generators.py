@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tabloom.functions.scalar import normal_quantile_sql, normal_tail_sql
+from tabloom.plans.draws import PRIME_B, uniform, whole
 
 # fixed values: the test functions with their inputs and ranges (expression, ranges of x1..xk)
 FUNCTIONS = {
@@ -22,17 +25,18 @@ FUNCTIONS = {
 
 
 def generate(base: DataFrame, ranges: Sequence[tuple[float, float]], expr: str, seed: int = 42,
-             tries: int = 4) -> DataFrame:
+             tries: int = 4, keys: Sequence[str] | None = None) -> DataFrame:
     """One uniform input tuple with ``y = expr`` per row of ``base`` (a table, or
     ``spark.range(n)``); inputs without a finite value are redrawn ``tries`` times, then null.
 
-    Every row holds its own redraws and keeps the first good one, so nothing has to be
+    The draws come from the row's ``keys`` (all columns by default), so a row gets the same numbers in whatever partition it is, and again
+    when a lost task is run anew. Every row holds its own redraws and keeps the first good one, so nothing has to be
     counted or cut afterwards. ``expr`` should use ``try_divide`` for divisions.
     """
     made, picks = base, []
-    width = len(ranges)
+    width, own = len(ranges), [whole(base, k) for k in (keys or base.columns)]
     for t in range(tries):
-        xs = {f"x{i + 1}": F.lit(lo) + F.rand(seed + t * width + i) * (hi - lo)
+        xs = {f"x{i + 1}": F.lit(lo) + uniform(seed + t * width + i, *own) * (hi - lo)
               for i, (lo, hi) in enumerate(ranges)}
         made = made.withColumns(xs).withColumn("y", F.expr(f"cast({expr} as double)"))
         made = made.withColumn(f"_t{t}", F.struct(*xs, "y")).drop(*xs, "y")
@@ -43,14 +47,17 @@ def generate(base: DataFrame, ranges: Sequence[tuple[float, float]], expr: str,
 
 
 def generate_mixture(base: DataFrame, centers: Sequence[Sequence[float]],
-                     sigmas: Sequence[Sequence[float]], seed: int = 42) -> DataFrame:
-    """For every row of ``base`` one Gaussian point per centre: x1..xk and the centre number."""
-    out = None
+                     sigmas: Sequence[Sequence[float]], seed: int = 42, keys: Sequence[str] | None = None) -> DataFrame:
+    """For every row of ``base`` one Gaussian point per centre: x1..xk and the centre number.
+
+    A point is the normal quantile of a uniform draw from the row's ``keys`` (all columns by default), see ``generate``.
+    """
+    out, own = None, [whole(base, k) for k in (keys or base.columns)]
     for k, (center, sigma) in enumerate(zip(centers, sigmas)):
-        cols: list[Column] = [
-            (F.lit(float(m)) + F.randn(seed + 100 * k + i) * float(s)).alias(f"x{i + 1}")
-            for i, (m, s) in enumerate(zip(center, sigma))
-        ]
-        part = base.select(*base.columns, *cols, F.lit(k).alias("center"))
+        part = base
+        for i, (m, s) in enumerate(zip(center, sigma)):
+            part = part.withColumn("_p", uniform(seed + 100 * k + i, *own) + 0.5 / PRIME_B).withColumn("_tail", F.expr(normal_tail_sql("_p")))
+            part = part.withColumn(f"x{i + 1}", F.lit(float(m)) + F.expr(normal_quantile_sql("_p", "_tail")) * float(s)).drop("_p", "_tail")
+        part = part.withColumn("center", F.lit(k))
         out = part if out is None else out.unionByName(part)
     return out
