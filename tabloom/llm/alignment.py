@@ -17,6 +17,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from tabloom.llm.common import copied, release
 from tabloom.session import written
 
 #: Characters of the texts whose matrices are multiplied together, bytes of one chunk (about), characters of a piece of a long text.
@@ -313,7 +314,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, str | N
     """(key as an array of one, text) of every row."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield batch.column(0).slice(i, 1), batch.column(1)[i].as_py()
+            yield copied(batch.column(0).slice(i, 1)), batch.column(1)[i].as_py()
 
 
 class _Document:
@@ -392,6 +393,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], aligner: Aligner, digest: bool, c
             keys, counts, texts, pairs, times, size, order = [], [], [], [], [], 0, order + 1
     if keys:
         yield closed()
+    release()
 
 
 def _pairs_by_segment(done: Slice, width: int):

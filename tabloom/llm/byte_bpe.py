@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.llm.bpe import merge_pairs
+from tabloom.llm.common import copied, release
 
 #: Characters of the texts that one chunk holds. A longer text is a chunk of its own.
 CHUNK_CHARS = 14_000_000
@@ -93,16 +94,18 @@ def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, chunk_chars: int) -
         for i in range(batch.num_rows):
             text = texts[i].as_py() or ""
             if chars and chars + len(text) > chunk_chars:
-                keys.append(batch.column(0).slice(first, i - first))
+                keys.append(copied(batch.column(0).slice(first, i - first)))
                 yield closed()
                 numbers, keys, sizes, parts, chars, first, order = _Numbers(), [], [], [], 0, i, order + 1
             own = np.fromiter(map(numbers.__getitem__, find(text)), np.uint32)
             parts.append(own)
             sizes.append(len(own))
             chars += len(text)
-        keys.append(batch.column(0).slice(first))
+        keys.append(copied(batch.column(0).slice(first)))
     if sizes:
         yield closed()
+    del numbers, keys, sizes, parts
+    release()
 
 
 def _packed(sequence: np.ndarray) -> bytes:
@@ -195,6 +198,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key:
                 chunks, numbers, coded = [], [], []
         if coded:
             yield _pack(np.concatenate(chunks), np.concatenate(numbers), coded)
+        release()
 
     def put_together(places: pa.Table, coded: pa.Table) -> pa.Table:
         n = sum(coded.column("n").to_pylist())

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Word bytes after lower-casing A-Z: digits, a-z and everything above ASCII; the rest separates words.
@@ -55,10 +57,32 @@ def in_fit_fold(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4, F.lit(2)) != 2
 
 
+#: Rows of an Arrow batch between the JVM and Python where the session does not say otherwise: rows hold whole texts.
+BATCH_ROWS = "2000"
+BATCH_CONF, DEFAULT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def table(spark, folder: str, name: str) -> DataFrame:
+    """A given table. A session that still has the default size of Arrow batches gets smaller ones, as texts are long."""
+    if spark.conf.get(BATCH_CONF, DEFAULT_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def release() -> None:
+    """Give freed memory back to the machine: workers are used again, and share it with the others. Where the C library cannot, nothing happens."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def copied(array: pa.Array) -> pa.Array:
+    """The same values in memory of their own: a slice of a batch would hold all columns of the batch."""
+    return array.take(pa.array(np.arange(len(array))))
+
+
 #: Measured rows of a table with one row per key that a join may broadcast; beyond it only keys with many rows are.
 BROADCAST_KEYS, HOT_KEY_ROWS = 500_000, 1_000_000
 

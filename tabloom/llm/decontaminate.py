@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.llm.common import add_struct, fresh, utf8, words_of
+from tabloom.llm.common import add_struct, fresh, release, utf8, words_of
 from tabloom.session import written
 
 WIDTH = 13
@@ -210,6 +210,7 @@ def _finder(items: list[tuple[str, bytes | None]], width: int, shard_words: int)
             if earlier.null_count < len(earlier):
                 out = [_merged(e, o) if e else o for e, o in zip(earlier.to_pylist(), out)]
             yield pa.array([dict(zip(("n_words", "n_hit", "items", "spans"), o)) for o in out], kind)
+        release()
 
     return F.arrow_udf(find, FOUND)
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.llm.common import folded, mixed, utf8, words_of
+from tabloom.llm.common import folded, mixed, release, utf8, words_of
 from tabloom.session import written
 
 SHINGLE = 5
@@ -155,7 +155,8 @@ def _band_udf(size: int, bands: int, rows: int):
                 offsets = np.concatenate([[0], np.cumsum(np.where(has, bands, 0))])
                 parts.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(own[has].ravel())))
             yield pa.concat_arrays(parts)
-        _HASHES.clear()  # workers are used again, also by other operators
+        _HASHES.clear()
+        release()
 
     return F.arrow_udf(keys, "array<long>")
 
@@ -188,6 +189,7 @@ def _set_udf(size: int):
                     rows.append({"set": own.view(np.int64), "marks": marks, "beyond": beyond})
             yield pa.array(rows, kind)
         _HASHES.clear()
+        release()
 
     return F.arrow_udf(sets, "struct<set:array<long>,marks:array<long>,beyond:int>")
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.llm.common import in_fit_fold, utf8
+from tabloom.llm.common import in_fit_fold, release, utf8
 
 #: Bytes of a passage, hashed three-byte features, width of an encoded passage and of its attention.
 PASSAGE, BUCKETS, HIDDEN, GATE = 512, 128, 24, 12
@@ -158,6 +158,7 @@ def score_quality(docs: DataFrame, model: AttentionPooling, text: str = "text",
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([model.score(t.as_py()) for t in batch], pa.float64())
+        release()
 
     scored = docs.drop("predicted", "score").withColumn("score", F.arrow_udf(score, "double")(utf8(text)))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -46,7 +46,7 @@ def brute(rows, near_chars):
     return out
 
 
-@pytest.mark.parametrize("near_chars", [1, 3, 20])
+@pytest.mark.parametrize("near_chars", [1, 20])
 def test_near_lines_by_hand_from_any_length(spark, near_chars):
     rnd = random.Random(near_chars)
     rows = [(i, "\n".join("".join(rnd.choices("ab ", k=rnd.randint(0, 6))) + rnd.choice(["", " common tail of a line", "\x0b"]) for _ in range(6))) for i in range(14)]
@@ -75,8 +75,9 @@ def test_no_column_meets_a_helper(spark):
     for out in (line_dedup.dedup_lines(df), decontaminate.find_overlaps(df, items), quality_rules.text_statistics(df), sharding.jump_shards(df, "doc_id", 4),
                 sharding.slotted(df, "doc_id")):
         assert all(n in out.columns for n in NAMES)
-        for name in ("_k", "key", "_rank", "_text"):
-            assert sorted((r[name] for r in out.collect()), key=str) == want
+        held = out.collect()
+        for name in NAMES:
+            assert sorted((r[name] for r in held), key=str) == want
     kept = near_dup.keep_first(df).collect()
     assert sorted(r["_digest"] for r in kept if r["doc_id"] != 3) == [40, 41] and set(df.columns) == set(kept[0].asDict())
 
