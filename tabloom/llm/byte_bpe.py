@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -50,13 +51,6 @@ def splitter(pattern: str):
     return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}")).findall
 
 
-def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    whole = ranks.get(word)
-    if whole is not None:
-        return [whole]
-    return [ranks[s] for s in merge_pairs([word[i : i + 1] for i in range(len(word))], ranks.get)]
-
-
 class _Numbers(dict):
     """Numbers words in the order they come. The empty word is always there, so that a chunk without words has one."""
 
@@ -68,17 +62,81 @@ class _Numbers(dict):
         return n
 
 
+# Fixed value: the public pattern of the byte-level vocabularies. None of its matches reaches across a blank that follows a sign which is not white
+# space, whatever stands around, so texts may be cut there; with another pattern they are not.
+CUT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_CUT = re.compile(r" (?<=\S )(?=[\s\S])")
+
+
+class _Pieces(dict):
+    """Numbers of the pieces of a chunk's texts; each piece is split by the pattern once and becomes a run of word numbers. All pieces of a text but
+    the first start with a blank, which their keys leave out."""
+
+    def __init__(self, pattern: str, words: _Numbers):
+        super().__init__()
+        self.find, self.words, self.cut = splitter(pattern), words, pattern == CUT_PATTERN
+        self.firsts: dict[str, int] = {}
+        self.runs, self.sizes = [], []
+
+    def _new(self, piece: str) -> int:
+        run = [self.words[w] for w in self.find(piece)]
+        self.runs += run
+        self.sizes.append(len(run))
+        return len(self.sizes) - 1
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = self._new(" " + piece)
+        return n
+
+    def of(self, text: str) -> np.ndarray:
+        """The pieces of a text."""
+        if not text:
+            return np.empty(0, np.uint32)
+        first, *others = _CUT.split(text) if self.cut else [text]
+        n = self.firsts.get(first)
+        if n is None:
+            n = self.firsts[first] = self._new(first)
+        out = np.empty(len(others) + 1, np.uint32)
+        out[0] = n
+        out[1:] = np.fromiter(map(self.__getitem__, others), np.uint32, len(others))
+        return out
+
+    def sequence(self, pieces: np.ndarray) -> np.ndarray:
+        """The word numbers of pieces one after another."""
+        all_sizes = np.array(self.sizes, np.int64)
+        starts, sizes = (np.cumsum(all_sizes) - all_sizes)[pieces], all_sizes[pieces]
+        ends = np.cumsum(sizes)
+        at = np.repeat((starts - (ends - sizes)).astype(np.int32), sizes)
+        at += np.arange(len(at), dtype=np.int32)
+        return np.array(self.runs, np.uint32)[at]
+
+    def lengths(self, pieces: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Words between the bounds of a row of pieces."""
+        total = np.concatenate([[0], np.cumsum(np.array(self.sizes, np.int64)[pieces])])
+        return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    whole = ranks.get(word)
+    if whole is not None:
+        return [whole]
+    return [ranks[s] for s in merge_pairs([word[i : i + 1] for i in range(len(word))], ranks.get)]
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, chunk_chars: int) -> Iterator[tuple]:
     """(chunk, keys, tokens per text, word numbers, distinct words): whole texts, up to ``chunk_chars`` characters.
 
     The chunk's name is a digest of its task, its order there and its words, so a second pass over other rows does not meet the first one.
     """
-    find, task, order = splitter(pattern), TaskContext.get().partitionId(), 0
-    numbers, keys, sizes, parts, chars = _Numbers(), [], [], [], 0
+    task, order = TaskContext.get().partitionId(), 0
+    pieces, keys, counts, parts, chars = _Pieces(pattern, _Numbers()), [], [], [], 0
 
     def closed() -> tuple:
-        words = [w.encode("utf-8", "surrogatepass") for w in numbers]
-        sequence = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+        words = [w.encode("utf-8", "surrogatepass") for w in pieces.words]
+        flat = np.concatenate([np.empty(0, np.uint32), *parts])
+        sizes = pieces.lengths(flat, np.concatenate([[0], np.cumsum(counts)])).tolist()
+        sequence = pieces.sequence(flat)
+        del flat
         # frequent words get small numbers, which pack better
         order_by_count = np.argsort(-np.bincount(sequence, minlength=len(words)), kind="stable")
         rank = np.empty(len(words), np.uint32)
@@ -96,15 +154,15 @@ def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, chunk_chars: int) -
             if chars and chars + len(text) > chunk_chars:
                 keys.append(copied(batch.column(0).slice(first, i - first)))
                 yield closed()
-                numbers, keys, sizes, parts, chars, first, order = _Numbers(), [], [], [], 0, i, order + 1
-            own = np.fromiter(map(numbers.__getitem__, find(text)), np.uint32)
+                pieces, keys, counts, parts, chars, first, order = _Pieces(pattern, _Numbers()), [], [], [], 0, i, order + 1
+            own = pieces.of(text)
             parts.append(own)
-            sizes.append(len(own))
+            counts.append(len(own))
             chars += len(text)
         keys.append(copied(batch.column(0).slice(first)))
-    if sizes:
+    if counts:
         yield closed()
-    del numbers, keys, sizes, parts
+    del pieces, keys, counts, parts
     release()
 
 
