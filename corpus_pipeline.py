@@ -11,6 +11,8 @@ from tabloom.llm.common import table
 from tabloom.llm.queries import byte_tokenizer
 from tabloom.session import new_path, scratch
 
+#: Characters of a chunk of texts in the last stage: half of the operator's own, as its workers share memory with those of all stages.
+CHUNK_CHARS = 14_000_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -49,7 +51,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and a digest of what they decode to. Null and empty texts have no ids; repeated rows are encoded alike; an empty
     table gives an empty one."""
     ranks, pattern = byte_tokenizer()
-    both = byte_bpe.decode(byte_bpe.encode(docs, ranks, pattern), ranks)
+    both = byte_bpe.decode(byte_bpe.encode(docs, ranks, pattern, chunk_chars=CHUNK_CHARS), ranks)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
