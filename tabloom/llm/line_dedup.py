@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.llm.common import folded, mixed
+from tabloom.llm.common import folded, mixed, release
 from tabloom.plans.ordered import positions
 from tabloom.session import written
 
@@ -61,6 +61,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lo in range(0, len(keys), BATCH_VARIANTS):
                 part = slice(lo, lo + BATCH_VARIANTS)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[part]), at)), pa.array(kind[part]), pa.array(keys[part])], names=["at", "kind", "v"])
+    release()
 
 
 def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:

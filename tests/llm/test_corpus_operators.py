@@ -157,7 +157,7 @@ def brute_lines(rows):
     for k, t in rows:
         for no, line in enumerate((t or "").split("\n")):
             line = line.strip(" ")
-            if len(line) >= line_dedup.LEAST_CHARS:
+            if len(line) >= 1:
                 places.append(((k is None, k, no), line))
     first = {}
     for at, line in sorted(set(places), key=lambda p: p[0]):
@@ -167,7 +167,7 @@ def brute_lines(rows):
         lines, kept, exact, near = (t or "").split("\n"), [], 0, 0
         for no, raw in enumerate(lines):
             line, at = raw.strip(" "), (k is None, k, no)
-            if len(line) >= line_dedup.LEAST_CHARS and first[line] < at:
+            if len(line) >= 1 and first[line] < at:
                 exact += 1
             elif len(line) >= line_dedup.NEAR_CHARS and any(f < at and len(o) >= line_dedup.NEAR_CHARS and one_edit(line, o) for o, f in first.items()):
                 near += 1
