@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,15 +36,43 @@ def fit_logistic(df: DataFrame, features: Sequence[str], label: str, categories:
     return pipeline(LogisticRegression(labelCol=label, **params), features, categories).fit(df)
 
 
+#: Rows times trees that a partition of a forest's rows holds: a tree's draw of every row is kept with the row.
+FOREST_DRAWS = 4_000_000
+
+
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, categories: Sequence[str] = (),
                trees: int = 50, seed: int = 0, **params) -> PipelineModel:
     est = RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed, maxBins=128, **params)
     return pipeline(est, features, categories).fit(df)
 
 
+#: Bins of an input (the forest picks its cuts from their bounds), and blocks that the rows of a cell of bins are dealt to.
+FOREST_BINS, FOREST_BLOCKS = 128, 64
+
+
 def fit_forest_reg(df: DataFrame, features: Sequence[str], label: str, trees: int = 100, seed: int = 0,
                    **params) -> PipelineModel:
-    return pipeline(RandomForestRegressor(labelCol=label, numTrees=trees, seed=seed, **params), features).fit(df)
+    """A regression forest that learns from cells: rows with the same bins, dealt at random to ``FOREST_BLOCKS`` blocks.
+
+    A block is one point, with its mean and its number of rows as weight; a split's gain needs no more of the rows than that, and a tree's
+    bootstrap draws blocks. So the rows are read twice, and the levels of the trees pass over the points: at most one per row, and at most the
+    blocks times the bins' combinations.
+    """
+    names, weight = list(features), params.pop("weightCol", None)
+    shares = [i / FOREST_BINS for i in range(FOREST_BINS)]
+    found = df.select(*[F.col(c).cast("double").alias(c) for c in names]).approxQuantile(names, shares, 0.25 / FOREST_BINS)
+    inner = [sorted({v for v in values if np.isfinite(v)}) or [0.0] for values in found]
+    coded = [f"{c}_bin" for c in names]
+    bins = Bucketizer(splitsArray=[[-np.inf, *v, np.inf] for v in inner], inputCols=names, outputCols=coded, handleInvalid="skip")
+    y, w = F.col(label).cast("double"), F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    # plain numbers again: the stage names its bins as categories
+    dealt = bins.transform(df).select(*[(F.col(c) + 0.0).alias(c) for c in coded], y.alias("_y"), w.alias("_w"), F.floor(F.rand(seed) * FOREST_BLOCKS).alias("_block"))
+    mean = F.when(F.bool_or(F.col("_y").isNull() | F.isnan("_y")), F.raise_error(F.lit("labels must not be null or NaN")).cast("double")).otherwise(
+        F.sum(F.col("_w") * F.col("_y")) / F.sum("_w"))
+    points = written(dealt.groupBy(*coded, "_block").agg(mean.alias(label), F.sum("_w").alias("_rows")).filter("_rows > 0").drop("_block"), "forest-points")
+    est = RandomForestRegressor(labelCol=label, weightCol="_rows", numTrees=trees, seed=seed, **params)
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-points.count() * trees // FOREST_DRAWS))
+    return PipelineModel([bins, *pipeline(est, coded).fit(points.repartition(parts)).stages])
 
 
 def fit_gbt(df: DataFrame, features: Sequence[str], label: str, classes: int | None = None, rounds: int = 100,
