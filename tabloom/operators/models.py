@@ -88,11 +88,18 @@ def fit_gbt(df: DataFrame, features: Sequence[str], label: str, classes: int | N
     return pipeline(est, features).fit(df)
 
 
+#: Rows of a partition at most, and rows that a perceptron multiplies at a time.
+MLP_ROWS, MLP_BLOCK = 1_000_000, 4096
+
+
 def fit_mlp(df: DataFrame, features: Sequence[str], label: str, classes: int, hidden: Sequence[int] = (50, 25),
             rounds: int = 100, seed: int = 0) -> PipelineModel:
+    """A perceptron. Every round reads all rows, so they are stored once and dealt evenly to as many partitions as there are tasks at a time."""
     layers = [len(features), *hidden, classes]
-    return pipeline(MultilayerPerceptronClassifier(labelCol=label, layers=layers, maxIter=rounds, seed=seed),
-                    features).fit(df)
+    rows = written(df.select(*dict.fromkeys([*features, label])), "perceptron-rows")
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // MLP_ROWS))
+    est = MultilayerPerceptronClassifier(labelCol=label, layers=layers, maxIter=rounds, seed=seed, blockSize=MLP_BLOCK)
+    return pipeline(est, features).fit(rows.repartition(parts))
 
 
 def grid_search(df: DataFrame, features: Sequence[str], label: str, grid: Mapping[str, Sequence],

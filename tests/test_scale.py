@@ -48,3 +48,12 @@ def test_regression_forest_learns_from_points(spark, monkeypatch):
     assert model.transform(rows).agg(1 - F.avg(miss * miss) / F.var_pop("y")).first()[0] > 0.8
     odd = spark.createDataFrame([(1.0, 1.0, 2.0), (None, 1.0, 3.0), (1.0, float("nan"), 3.0)], "a double, b double, y double")
     assert MD.fit_forest_reg(odd, ["a", "b"], "y", trees=2).transform(odd).count() == 1
+
+
+def test_perceptron_rows_are_dealt_evenly(spark, monkeypatch):
+    rows = spark.range(4000, numPartitions=1).select((F.col("id") / 4000).alias("a"), (F.col("id") % 2).cast("double").alias("b"), (F.col("id") % 2).cast("double").alias("label"))
+    seen = Seen(MD.pipeline)
+    monkeypatch.setattr(MD, "pipeline", seen)
+    model = MD.fit_mlp(rows, ["a", "b"], "label", 2, hidden=(4,), rounds=20, seed=1)
+    assert seen.rows == 4000 and seen.parts >= spark.sparkContext.defaultParallelism
+    assert model.transform(rows).filter("prediction = label").count() == 4000
