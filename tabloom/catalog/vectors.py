@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.catalog.registry import Tables, query
@@ -212,13 +215,21 @@ def _(t):
 
 @query("udf_group", f"SELECT user_id, frame, count(*) AS n, round(max(value) - min(value), 9) AS spread FROM ({_FRAMES}) GROUP BY 1, 2")
 def _(t):
-    def spread(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        v = rows["value"].to_numpy()
-        return pd.DataFrame({"user_id": [key[0]], "frame": [key[1]], "n": [len(v)], "spread": [round(float(np.ptp(v)), 9)]})
-
-    # a fixed partition count keeps the Python work spread out even if the bytes are few
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each group comes with all its values; a batch of groups is one array operation. A group with a value that is missing has no spread."""
+        for batch in batches:
+            held = batch.column("held")
+            v, sizes = held.flatten().to_numpy(), held.value_lengths().to_numpy()
+            starts = np.cumsum(sizes) - sizes
+            gaps = np.maximum.reduceat(v, starts) - np.minimum.reduceat(v, starts) if len(sizes) else np.empty(0)
+            gaps = pa.array([round(g, 9) for g in gaps.tolist()], pa.float64(), from_pandas=True)
+            yield pa.RecordBatch.from_arrays([batch.column("user_id"), batch.column("frame"), pa.array(sizes, pa.int64()), gaps], names=["user_id", "frame", "n", "spread"])
+
+    # a fixed partition count keeps the Python work spread out even if the bytes are few; frames have few samples, so a group is one list
     parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    return _frames(t).repartition(parts, "user_id", "frame").groupBy("user_id", "frame").applyInPandas(spread, "user_id long, frame long, n long, spread double")
+    groups = _frames(t).repartition(parts, "user_id", "frame").groupBy(F.col("user_id").cast("long").alias("user_id"), F.col("frame").cast("long").alias("frame")).agg(
+        F.collect_list(F.coalesce("value", F.lit(float("nan")))).alias("held"))
+    return groups.mapInArrow(spread, "user_id long, frame long, n long, spread double")
 
 
 # ---------------------------------------------------------------- loans

@@ -57,3 +57,12 @@ def test_perceptron_rows_are_dealt_evenly(spark, monkeypatch):
     model = MD.fit_mlp(rows, ["a", "b"], "label", 2, hidden=(4,), rounds=20, seed=1)
     assert seen.rows == 4000 and seen.parts >= spark.sparkContext.defaultParallelism
     assert model.transform(rows).filter("prediction = label").count() == 4000
+
+
+def test_groups_come_in_batches(spark, tmp_path):
+    rows = [(i, f"2024-01-01 00:00:{i:02d}", 1 if i < 10 else None, None if i == 3 else float(i * i)) for i in range(20)]
+    spark.createDataFrame(rows, "event_id long, ts string, user_id long, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    out = QUERIES["udf_group"](spark, str(tmp_path))
+    assert "FlatMapGroups" not in plan(out)  # a call per batch, not per group
+    got = {(r["user_id"], r["frame"]): (r["n"], r["spread"]) for r in out.collect() if r["user_id"] is not None}
+    assert got == {(1, 1): (4, None)}
