@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -376,6 +376,22 @@ def cone(x: Column, center: float, radius: float = CONE_RADIUS) -> Column:
     return F.greatest(F.lit(0.0), 1 - F.abs(x - center) / radius)
 
 
+def _centroids(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    """Centroid of the union of the cut cones, for many rows at a time: the steps of the universe are added one after another."""
+    grid = [(i / 10, [max(0.0, 1 - abs(i / 10 - v) / CONE_RADIUS) for v in RATING.values()]) for i in range(UNIVERSE_STEPS + 1)]
+    for batch in batches:
+        # a rule without a value does not cut its cone
+        cuts = [np.nan_to_num(c.cast(pa.float64()).to_numpy(zero_copy_only=False), nan=np.inf, posinf=np.inf, neginf=-np.inf) for c in batch]
+        above, below = np.zeros(len(cuts[0])), np.zeros(len(cuts[0]))
+        for x, cones in grid:
+            if any(cones):
+                h = np.max([np.minimum(c, cut) for c, cut in zip(cones, cuts)], axis=0)
+                above += x * h
+                below += h
+        some = below != 0
+        yield pa.array(np.divide(above, below, out=np.zeros(len(above)), where=some), mask=~some)
+
+
 def fuzzy_rating(df: DataFrame, bmi: str = "bmi", a1c: str = "a1c", bp: str = "bp") -> DataFrame:
     """Underwriting score: or = max, and = min, rules cut their rating set, centroid of the union."""
     weight = {k: bell(F.col(bmi), v, BMI_SD) for k, v in BMI.items()}
@@ -386,11 +402,5 @@ def fuzzy_rating(df: DataFrame, bmi: str = "bmi", a1c: str = "a1c", bp: str = "b
         "_ST": F.greatest(weight["over"], sugar["n"], press["pre"]),
         "_PF": F.least(weight["fit"], sugar["n"], press["norm"]),
     })
-    steps = F.sequence(F.lit(0), F.lit(UNIVERSE_STEPS))
-    heights = F.transform(steps, lambda i: F.struct((i / 10).alias("x"), F.greatest(
-        *[F.least(cone(i / 10, v), F.col(f"_{k}")) for k, v in RATING.items()]).alias("h")))
-    sums = F.aggregate(
-        heights, F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("b")),
-        lambda acc, p: F.struct((acc["a"] + p["x"] * p["h"]).alias("a"), (acc["b"] + p["h"]).alias("b")))
-    return (fired.withColumn("_s", sums).withColumn("rating", F.try_divide("_s.a", "_s.b"))
-            .drop("_DC", "_ST", "_PF", "_s"))
+    center = F.arrow_udf(_centroids, "double")("_DC", "_ST", "_PF")
+    return fired.withColumn("rating", center).drop("_DC", "_ST", "_PF")

@@ -66,3 +66,22 @@ def test_groups_come_in_batches(spark, tmp_path):
     assert "FlatMapGroups" not in plan(out)  # a call per batch, not per group
     got = {(r["user_id"], r["frame"]): (r["n"], r["spread"]) for r in out.collect() if r["user_id"] is not None}
     assert got == {(1, 1): (4, None)}
+
+
+def test_ratings_of_many_rows_at_once(spark):
+    df = spark.createDataFrame([(29.0, 5.0, 20.0), (22.0, 5.25, 0.0), (None, 7.0, None), (1e6, 1e6, 1e6), (None, None, None), (math.nan, math.nan, math.nan)], "bmi double, a1c double, bp double")
+    out = MD.fuzzy_rating(df)
+    assert "ArrowEvalPython" in plan(out) and "aggregate(" not in plan(out)
+    inf, level = math.inf, lambda c, v: max(0.0, 1 - abs(v - c) / 5)
+
+    def centroid(cuts):
+        a = b = 0.0
+        for i in range(401):
+            h = max(min(level(c, i / 10), cut) for c, cut in zip((10, 5, 1), cuts))
+            a, b = a + i / 10 * h, b + h
+        return a / b if b else None
+
+    got = [r["rating"] for r in out.collect()]
+    # a rule takes the inputs that it has; one that is not a number does not cut
+    assert got[2] == centroid((level(4, 7), level(5.25, 7), level(5.25, 7)))
+    assert got[3:5] == [None, None] and got[5] == centroid((inf, inf, inf)) and all(g is not None for g in got[:2])
