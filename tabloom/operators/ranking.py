@@ -38,20 +38,20 @@ def perturbed(df: DataFrame, features: Sequence[str], seed: int = 42, order: Seq
     """A copy of every row per feature, in which that feature comes from another row.
 
     Rows are numbered in ``order`` (all columns by default; rows that are equal in it are interchangeable). The value of row q goes to row
-    pi(q), where pi is a permutation of all positions, another one for each feature, computed from the position alone. So the whole
-    column is permuted by one equi join on (feature, position), whose keys are all distinct.
+    pi(q), where pi is a permutation of all positions, another one for each feature, computed from the position alone. So each
+    column is permuted by one equi join on the position, whose keys are all distinct; every row and value is shuffled once, and the copies
+    are made after that.
     """
     names = list(df.columns)
-    placed = written(positions(df, list(order or names), "_at"), "numbered-rows")
+    placed = positions(df, list(order or names), "_at")
     n = placed.count()
-    moves = F.array(*[F.struct(F.lit(f).alias("_f"), permuted_position(F.col("_at"), n, seed + i).alias("_to"),
-                               *[(F.col(f) if g == f else F.lit(None).cast(df.schema[g].dataType)).alias(f"_m_{g}") for g in features])
-                      for i, f in enumerate(features)])
-    moved = placed.select(F.inline(moves))
-    copies = placed.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
-    joined = copies.join(moved, (F.col("feature") == F.col("_f")) & (F.col("_at") == F.col("_to")))
-    values = {f: F.when(F.col("feature") == f, F.col(f"_m_{f}")).otherwise(F.col(f)) for f in features}
-    return joined.select(*[c for c in names if c not in features], "feature", *[v.alias(f) for f, v in values.items()])
+    joined = placed
+    for i, f in enumerate(features):
+        moved = placed.select(permuted_position(F.col("_at"), n, seed + i).alias(f"_to_{i}"), F.col(f).alias(f"_m_{i}"))
+        joined = joined.join(moved, F.col("_at") == F.col(f"_to_{i}")).drop(f"_to_{i}")
+    copies = joined.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    values = {f: F.when(F.col("feature") == f, F.col(f"_m_{i}")).otherwise(F.col(f)) for i, f in enumerate(features)}
+    return copies.select(*[c for c in names if c not in features], "feature", *[v.alias(f) for f, v in values.items()])
 
 
 def perturbation_rank(df: DataFrame, features: Sequence[str], predict: Callable[[DataFrame], DataFrame],

@@ -7,7 +7,10 @@ steps as SQL.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
@@ -74,13 +77,27 @@ def _network(v, a: int, b: int, seed: int, div):
 
 
 def permuted_position(position: Column, n: int, seed: int) -> Column:
-    """A permutation of 0 .. n-1: the network's cycle is followed from a position until it is below n again."""
+    """A permutation of 0 .. n-1: the network's cycle is followed from a position until it is below n again. A batch of positions takes its steps
+    together, and only those that are still outside take the next one."""
     a, b = _sides(n)
-    once = lambda v: _network(v, a, b, seed, lambda x, by: F.call_function("div", x, F.lit(by)))
     if a * b == n:
-        return once(position)
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), once(position), lambda v, _: F.when(v < n, v).otherwise(once(v)))
-    return F.when(walked < n, walked).otherwise(F.raise_error(F.lit("a permutation walk did not end: take another seed")).cast("long"))
+        return _network(position, a, b, seed, lambda x, by: F.call_function("div", x, F.lit(by)))
+
+    def walk(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        once = lambda v: _network(v, a, b, seed, lambda x, by: x // by)
+        for batch in batches:
+            v = once(batch.to_numpy(zero_copy_only=False))
+            outside = np.flatnonzero(v >= n)
+            for _ in range(WALKS):
+                if not len(outside):
+                    break
+                v[outside] = once(v[outside])
+                outside = outside[v[outside] >= n]
+            if len(outside):
+                raise ValueError("a permutation walk did not end: take another seed")
+            yield pa.array(v, pa.int64())
+
+    return F.arrow_udf(walk, "long")(position.cast("long"))
 
 
 def permutation(n: int, seed: int) -> list[int]:

@@ -85,3 +85,11 @@ def test_ratings_of_many_rows_at_once(spark):
     # a rule takes the inputs that it has; one that is not a number does not cut
     assert got[2] == centroid((level(4, 7), level(5.25, 7), level(5.25, 7)))
     assert got[3:5] == [None, None] and got[5] == centroid((inf, inf, inf)) and all(g is not None for g in got[:2])
+
+
+def test_permuted_values_are_joined_before_the_copies(spark):
+    df = spark.range(500).select("id", F.col("id").cast("double").alias("a"), (F.col("id") % 7).alias("b"))
+    moved = RK.perturbed(df, ["a", "b"], seed=3, order=["id"])
+    told = plan(moved)
+    assert told.index("Generate") < told.index("Join")  # the top comes first: copies are made of joined rows
+    assert "aggregate(" not in told and moved.count() == 1000
