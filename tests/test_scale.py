@@ -93,3 +93,17 @@ def test_permuted_values_are_joined_before_the_copies(spark):
     told = plan(moved)
     assert told.index("Generate") < told.index("Join")  # the top comes first: copies are made of joined rows
     assert "aggregate(" not in told and moved.count() == 1000
+
+
+def test_keys_of_a_bucket_share_their_state(spark, tmp_path):
+    rows = spark.range(600).select(F.col("id"), F.when(F.col("id") % 200 > 0, F.col("id") % 200 + (1 << 60)).alias("user"), F.timestamp_seconds((F.floor(F.col("id") / 200) + 100) * 86400).alias("ts"), (F.col("id") % 13).cast("double").alias("value"))
+    end = spark.range(1).select(F.lit(-1).cast("long").alias("id"), F.lit(-1).cast("long").alias("user"), F.timestamp_seconds(F.lit(140 * 86400)).alias("ts"), F.lit(0.0).alias("value"))
+    for part in (rows, end, end):
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    df = rolling.stream_rolling(stream, ["user"], "ts", "3 days", "value", "id", buckets=4)
+    q = df.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/out")
+    q.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) < 60  # 200 keys, 600 readings
+    got = {(r["id"], r["user"], r["rolled"]) for r in spark.read.schema(df.schema).parquet(f"{tmp_path}/out").filter("id >= 0").collect()}
+    assert got == {(i, i % 200 + (1 << 60) if i % 200 else None, float(max(j % 13 for j in range(i % 200, i + 1, 200)))) for i in range(600)}
