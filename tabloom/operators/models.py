@@ -102,16 +102,61 @@ def fit_mlp(df: DataFrame, features: Sequence[str], label: str, classes: int, hi
     return pipeline(est, features).fit(rows.repartition(parts))
 
 
+#: Inputs up to which least squares is searched from the folds' moments, and the settings that such a search may vary.
+MOMENT_INPUTS = 64
+_MOMENT_GRID = frozenset(["regParam", "elasticNetParam", "fitIntercept", "standardization", "maxIter", "tol"])
+
+
+def _moment_points(df: DataFrame, names: Sequence[str], folds: int, seed: int) -> list[tuple] | None:
+    """(values, weight, fold): few points with the number of rows, means and covariances of every fold's rows, from one pass.
+
+    They lie at the mean and at both ends of the axes of the covariance. None if a value is null or not finite, or a fold has no rows.
+    """
+    rows = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)], F.floor(F.rand(seed) * folds).cast("int").alias("fold"))
+    k = len(names)
+    half = [(i, j) for i in range(k) for j in range(i, k)]
+    stats = rows.groupBy("fold").agg(F.count("*").alias("n"), *[F.count(f"x{i}").alias(f"n{i}") for i in range(k)], *[F.avg(f"x{i}").alias(f"m{i}") for i in range(k)],
+                                     *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i, j in half]).collect()  # one row per fold
+    points = []
+    for r in stats:
+        mean, cov = np.array([r[f"m{i}"] for i in range(k)], float), np.zeros((k, k))
+        for i, j in half:
+            cov[i, j] = cov[j, i] = np.nan if r[f"c{i}_{j}"] is None else r[f"c{i}_{j}"]
+        if any(r[f"n{i}"] < r["n"] for i in range(k)) or not np.isfinite([*mean, *cov.ravel()]).all():
+            return None
+        scale = np.sqrt(np.where(np.diag(cov) > 0, np.diag(cov), 1.0))
+        size, axes = np.linalg.eigh(cov / np.outer(scale, scale))
+        ends = scale[:, None] * axes * np.sqrt(np.maximum(size, 0.0) * k)
+        points += [((mean + sign * ends[:, i]).tolist(), r["n"] / (2 * k), r["fold"]) for i in range(k) for sign in (1, -1)]
+    return points if len(stats) == folds else None
+
+
 def grid_search(df: DataFrame, features: Sequence[str], label: str, grid: Mapping[str, Sequence],
                 folds: int = 3, parallelism: int = 4, seed: int = 0, estimator=None):
+    """Cross-validated search over a grid.
+
+    Least squares, with any penalty, and its error depend on the rows of a fold only through their number, means and covariances. For it one pass
+    over the rows gives those of every fold, and the search runs on a few weighted points that have the same. Other estimators, and rows with
+    values that are null or not finite, are searched on the rows.
+    """
     est = estimator or LinearRegression(labelCol=label)
     build = ParamGridBuilder()
     for name, values in grid.items():
         build = build.addGrid(est.getParam(name), list(values))
+    settings = dict(estimatorParamMaps=build.build(), numFolds=folds, seed=seed, parallelism=parallelism)
+    names, points = [*features, label], None
+    if (isinstance(est, LinearRegression) and est.getLabelCol() == label and est.getFeaturesCol() == "features" and est.getLoss() == "squaredError"
+            and est.getSolver() in ("auto", "normal") and not est.isDefined("weightCol") and len(names) <= MOMENT_INPUTS and set(grid) <= _MOMENT_GRID):
+        points = _moment_points(df, names, folds, seed)
+    if points is not None:
+        inputs = [f"x{i}" for i in range(len(features))]
+        made = df.sparkSession.createDataFrame([(*v, w, f) for v, w, f in points],
+                                               ", ".join([*[f"{x} double" for x in inputs], f"`{label}` double", "_rows double", "_fold int"])).coalesce(1)
+        data = VectorAssembler(inputCols=inputs, outputCol="features").transform(made)
+        search = CrossValidator(estimator=est.copy({est.weightCol: "_rows"}), foldCol="_fold", evaluator=RegressionEvaluator(labelCol=label, weightCol="_rows"), **settings)
+        return search.fit(data)
     data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    search = CrossValidator(estimator=est, estimatorParamMaps=build.build(), numFolds=folds, seed=seed,
-                            parallelism=parallelism, evaluator=RegressionEvaluator(labelCol=label))
-    return search.fit(data)
+    return CrossValidator(estimator=est, evaluator=RegressionEvaluator(labelCol=label), **settings).fit(data)
 
 
 def fit_demand(windows: DataFrame, col: str, window: int, lag: int, extra: Sequence[str] = (),

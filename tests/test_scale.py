@@ -107,3 +107,21 @@ def test_keys_of_a_bucket_share_their_state(spark, tmp_path):
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) < 60  # 200 keys, 600 readings
     got = {(r["id"], r["user"], r["rolled"]) for r in spark.read.schema(df.schema).parquet(f"{tmp_path}/out").filter("id >= 0").collect()}
     assert got == {(i, i % 200 + (1 << 60) if i % 200 else None, float(max(j % 13 for j in range(i % 200, i + 1, 200)))) for i in range(600)}
+
+
+def test_least_squares_is_searched_from_moments(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 2)) * [1, 40] + [5, 0]
+    y = x @ [2.0, -0.1] + rng.normal(size=900)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, y double").coalesce(1)
+    grid = {"regParam": [0.0, 0.5], "elasticNetParam": [0.0, 0.5]}
+    got = MD.grid_search(df, ["a", "b"], "y", grid, folds=3, seed=1)
+    est = LinearRegression(labelCol="y")
+    maps = ParamGridBuilder().addGrid(est.regParam, grid["regParam"]).addGrid(est.elasticNetParam, grid["elasticNetParam"]).build()
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    want = CrossValidator(estimator=est, estimatorParamMaps=maps, numFolds=3, seed=1, evaluator=RegressionEvaluator(labelCol="y")).fit(data)
+    assert got.avgMetrics == pytest.approx(want.avgMetrics, rel=1e-6)
+    assert got.bestModel.coefficients.toArray() == pytest.approx(want.bestModel.coefficients.toArray(), rel=1e-6)
+    assert got.bestModel.summary.predictions.count() == 3 * 2 * 3  # points, not rows
+    with pytest.raises(Exception, match="(?i)null"):
+        MD.grid_search(df.unionByName(spark.createDataFrame([(None, 1.0, 1.0)], df.schema)), ["a", "b"], "y", grid, folds=3)
