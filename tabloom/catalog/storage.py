@@ -78,11 +78,17 @@ def _(t):
     return SRC.scan_csv(t.spark, path if "://" in path else "file://" + path, PART_SCHEMA, options={"mode": "PERMISSIVE"})
 
 
+CHUNK_TASK_ROWS = 4_000
+
+
 @query("scan_csv_chunked", """SELECT count(*) AS n, sum(CASE WHEN p_size % 7 <> 0 THEN p_size END)::BIGINT AS total, true AS chunks_hold, (count(*) > 40) AS several FROM part""")
 def _(t):
     """Files of at most 40 records, and what each of them holds."""
     path = new_path(t.spark, "csv-chunks")
-    _part_text(t).repartition(2, "p_partkey").write.option("header", True).option("maxRecordsPerFile", 40).csv(path)
+    rows = _part_text(t)
+    # a task writes about a hundred files, and moves them to their place itself
+    parts = max(2, -(-rows.count() // CHUNK_TASK_ROWS))
+    rows.repartition(parts, "p_partkey").write.option("header", True).option("maxRecordsPerFile", 40).option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(path)
     rows = SRC.scan_csv(t.spark, path, PART_SCHEMA).withColumn("chunk", F.col("_metadata.file_name"))
     chunks = rows.groupBy("chunk").agg(F.count("*").alias("n"), F.sum("p_size").alias("total"))
     return chunks.agg(F.sum("n").alias("n"), F.sum("total").alias("total"), (F.max("n") <= 40).alias("chunks_hold"), (F.count("*") > 2).alias("several"))

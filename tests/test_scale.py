@@ -125,3 +125,12 @@ def test_least_squares_is_searched_from_moments(spark):
     assert got.bestModel.summary.predictions.count() == 3 * 2 * 3  # points, not rows
     with pytest.raises(Exception, match="(?i)null"):
         MD.grid_search(df.unionByName(spark.createDataFrame([(None, 1.0, 1.0)], df.schema)), ["a", "b"], "y", grid, folds=3)
+
+
+def test_chunks_are_written_by_many_tasks(spark, tmp_path):
+    spark.range(9_000).select(F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), (F.col("id") % 50).cast("int").alias("p_size"), F.lit(1.0).alias("p_retailprice")).write.parquet(f"{tmp_path}/part.parquet")
+    got = QUERIES["scan_csv_chunked"](spark, str(tmp_path)).first()
+    assert (got["n"], got["chunks_hold"], got["several"]) == (9_000, True, True)
+    path = [p for p in session._NAMED if "csv-chunks" in p][-1]
+    tasks = {f.split("part-")[1][:5] for f in glob.glob(f"{path.removeprefix('file:')}/*.csv")}
+    assert len(tasks) == 3
