@@ -42,8 +42,12 @@ FOREST_DRAWS = 4_000_000
 
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, categories: Sequence[str] = (),
                trees: int = 50, seed: int = 0, **params) -> PipelineModel:
+    """A forest of classes. The rows are stored once and dealt to as many partitions as their draws need, whatever the partitions they come in."""
     est = RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed, maxBins=128, **params)
-    return pipeline(est, features, categories).fit(df)
+    weight = [params["weightCol"]] if "weightCol" in params else []
+    rows = written(df.select(*dict.fromkeys([*features, *categories, label, *weight])), "forest-rows")
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows.count() * trees // FOREST_DRAWS))
+    return pipeline(est, features, categories).fit(rows.repartition(parts))
 
 
 #: Bins of an input (the forest picks its cuts from their bounds), and blocks that the rows of a cell of bins are dealt to.

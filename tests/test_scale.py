@@ -134,3 +134,13 @@ def test_chunks_are_written_by_many_tasks(spark, tmp_path):
     path = [p for p in session._NAMED if "csv-chunks" in p][-1]
     tasks = {f.split("part-")[1][:5] for f in glob.glob(f"{path.removeprefix('file:')}/*.csv")}
     assert len(tasks) == 3
+
+
+def test_forest_rows_are_dealt_by_their_draws(spark, monkeypatch):
+    rows = spark.range(4000, numPartitions=1).select((F.col("id") / 4000).alias("a"), (F.col("id") > 2000).cast("double").alias("label"))
+    seen = Seen(MD.pipeline)
+    monkeypatch.setattr(MD, "pipeline", seen)
+    monkeypatch.setattr(MD, "FOREST_DRAWS", 1000)
+    model = MD.fit_forest(rows, ["a"], "label", trees=5)
+    assert (seen.rows, seen.parts) == (4000, 20)
+    assert model.transform(rows).filter("prediction = label").count() > 3900
