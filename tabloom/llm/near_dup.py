@@ -18,8 +18,8 @@ SIMILARITY = 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^24, three in a million. This holds as bands are made
 #: of registers that agree with the similarity a link is defined by, that of the sets: each shingle counts once.
 BANDS, BAND_ROWS = 24, 4
-#: Words whose texts are hashed together in a task.
-SLICE_WORDS = 400_000
+#: Words whose texts are hashed together in a task, and words whose hashes it keeps: the workers of an executor share its memory with the heap.
+SLICE_WORDS, KEPT_WORDS = 50_000, 30_000
 #: Measured rows of 24 bytes that a join may broadcast; beyond it both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Cells of the table of marks that bounds the common shingles of a pair before their sets are fetched.
@@ -30,7 +30,7 @@ GROWTH = 8
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= KEPT_WORDS:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -132,9 +132,10 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS)
     return keys.view(np.int64)
 
 
-def _slices(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+def _slices(texts: pa.Array) -> Iterator[list[bytes | None]]:
     held, size = [], 0
-    for t in texts:
+    for value in texts:
+        t = value.as_py()
         held.append(t)
         size += len(t or b"") // 6
         if size >= SLICE_WORDS:
@@ -148,7 +149,7 @@ def _band_udf(size: int, bands: int, rows: int):
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.array([], pa.list_(pa.int64()))]
-            for texts in _slices(batch.to_pylist()):
+            for texts in _slices(batch):
                 sets = shingles(texts, size)
                 own = band_keys(signatures([(s, np.ones_like(c)) for s, c in sets], bands * rows), bands, rows)
                 has = np.array([len(s) > 0 for s, _ in sets])
@@ -182,12 +183,14 @@ def _set_udf(size: int):
 
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = []
-            for texts in _slices(batch.to_pylist()):
+            parts = [pa.array([], kind)]
+            for texts in _slices(batch):
+                rows = []
                 for own, _ in shingles(texts, size):
                     marks, beyond = marks_of(own)
                     rows.append({"set": own.view(np.int64), "marks": marks, "beyond": beyond})
-            yield pa.array(rows, kind)
+                parts.append(pa.array(rows, kind))
+            yield pa.concat_arrays(parts)
         _HASHES.clear()
         release()
 

@@ -1,8 +1,10 @@
 """Lines of any length: variant keys, near lines from one character on, clashing names; bags of passages."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -168,3 +170,15 @@ def test_words_come_back_from_their_packs(words):
         rows = pa.Table.from_batches([batch]).filter(pa.compute.equal(batch.column("chunk"), chunk))
         lengths, starts, flat = byte_bpe._unpack(rows, n, kind)
         assert [flat[s : s + k].tolist() for s, k in zip(starts, lengths)] == [ids for c, ids in words if c == chunk]
+
+
+def test_shingle_tasks_hold_few_words(spark):
+    """A worker holds the words, hashes and arrivals of a slice, not those of a batch: before, 300,000 words of one batch were one slice."""
+    words = np.random.default_rng(8).integers(0, 200_000, (600, 500))
+    batch = pa.array([" ".join(f"w{k}" for k in row).encode() for row in words] + [None, b""], pa.binary())
+    for udf, most in ((near_dup._band_udf(5, 24, 4), 24e6), (near_dup._set_udf(5), 24e6)):
+        tracemalloc.start()
+        (out,) = udf.func(iter([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(out) == len(batch) and peak < most, peak
