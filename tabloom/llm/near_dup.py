@@ -174,8 +174,8 @@ def marks_of(shingle_set: np.ndarray) -> tuple[np.ndarray, int]:
 
 def _at_most_common() -> F.Column:
     """Upper bound of the common shingles of a member and a leader (names with _b)."""
-    bits = [F.bit_count(F.get("marks", F.lit(i)).bitwiseAND(F.get("marks_b", F.lit(i)))) for i in range(MARK_CELLS // 32)]
-    return sum(bits[1:], bits[0]) + F.least("beyond", "beyond_b")
+    both = F.zip_with("marks", "marks_b", lambda x, y: F.bit_count(x.bitwiseAND(y)))
+    return F.aggregate(both, F.lit(0), lambda total, bits: total + bits) + F.least("beyond", "beyond_b")
 
 
 def _set_udf(size: int):
@@ -268,34 +268,49 @@ def _links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     In each round every open bucket (one with members of two classes or more) names leaders; the members of other
     classes are verified against them. A leader has then met everyone in its bucket and leaves it, so rows emitted are in
     proportion to the members, and when no bucket is open every pair of bucket mates is of one class, was verified, or
-    was ruled out by ``_possible``. The first leader is the member that most others share buckets with; later ones are those
+    was ruled out by ``_possible``. As soon as a round may emit as many rows as there are pairs left between classes, all of them
+    are met at once and it is the last round. The first leader is the member that most others share buckets with; later ones are those
     with the fewest shingles of their own, which can have most partners. Their number grows from round to round, so rounds
     are as many as the logarithm of the largest bucket.
     """
     central = members.groupBy("tid").agg(F.sum(F.log("n")).alias("rank"))
     current = members.select("bucket", "tid").join(central, "tid").withColumn("cls", F.col("tid"))
-    classes, leaders_each = central.select("tid", F.col("tid").alias("cls")), 1
+    classes, leaders_each, all_members = central.select("tid", F.col("tid").alias("cls")), 1, members.count()
     alike = F.lit(True)
     while True:
         current = written(current, "open-buckets")
         if current.isEmpty():
             return classes
-        part = F.pmod(F.xxhash64("tid"), F.lit(leaders_each))
-        leaders = current.groupBy("bucket", part.alias("part")).agg(F.max_by(F.struct(*[F.col(c).alias(f"{c}_b") for c in current.columns if c != "bucket"]), F.struct("rank", "tid")).alias("l"))
-        leaders = leaders.select("bucket", "l.*")
+        # a pair of two classes has a member outside the largest class of its bucket
+        sizes = current.groupBy("bucket", "cls").agg(F.count("*").alias("k")).groupBy("bucket")
+        sizes = sizes.agg(F.sum("k").alias("k"), F.max("k").alias("k_top"), F.max_by("cls", F.struct("k", "cls")).alias("top"))
+        pairs = F.sum((F.col("k") - F.col("k_top")) * F.col("k"))
+        last = leaders_each > 1 and sizes.agg(pairs).first()[0] <= leaders_each * all_members
+        other = F.struct(*[F.col(c).alias(f"{c}_b") for c in current.columns if c != "bucket"]).alias("l")
+        if last:
+            leaders = current.join(sizes, "bucket").filter("cls <> top").select("bucket", "top", other).select("bucket", "top", "l.*")
+            alike = alike & ((F.col("cls") == F.col("top")) | (F.col("tid") < F.col("tid_b")))
+        else:
+            part = F.pmod(F.xxhash64("tid"), F.lit(leaders_each))
+            leaders = current.groupBy("bucket", part.alias("part")).agg(F.max_by(other, F.struct("rank", "tid")).alias("l")).select("bucket", "l.*")
         edges = current.join(leaders, "bucket").filter((F.col("cls") != F.col("cls_b")) & alike).select(F.col("tid").alias("a"), F.col("tid_b").alias("b")).distinct()
         links = written(_verified(edges, sets, similarity), "verified")
-        left = current.join(leaders.select("bucket", F.col("tid_b").alias("tid")), ["bucket", "tid"], "left_anti").select("bucket", "tid", "cls")
-        if not links.isEmpty():
+        some = not links.isEmpty()
+        if some:
             name = lambda c: classes.select(F.col("tid").alias(c), F.col("cls").alias(f"cls_{c}"))
             moved = components(links.join(name("a"), "a").join(name("b"), "b").select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).filter("a <> b"))
             moved = moved.select(F.col("tid").alias("cls"), F.col("cls").alias("to"))
             classes = written(classes.join(moved, "cls", "left").select("tid", F.coalesce("to", "cls").alias("cls")), "classes")
+        if last:
+            return classes
+        left = current.join(leaders.select("bucket", F.col("tid_b").alias("tid")), ["bucket", "tid"], "left_anti").select("bucket", "tid", "cls")
+        if some:
             left = left.join(moved, "cls", "left").select("bucket", "tid", F.coalesce("to", "cls").alias("cls"))
         left = written(_open(left), "left")
         current = _possible(left, sets, similarity).withColumn("rank", -F.col("alone") / F.col("n"))
-        bound = F.least(_at_most_common(), F.col("n") - F.col("alone"), F.col("n_b") - F.col("alone_b"))
-        alike = bound >= F.lit(similarity) * (F.col("n") + F.col("n_b") - bound)
+        alike = F.lit(True)
+        for bound in (F.col("n") - F.col("alone"), F.col("n_b") - F.col("alone_b"), _at_most_common()):
+            alike = alike & (bound >= F.lit(similarity) * (F.col("n") + F.col("n_b") - bound))
         leaders_each *= GROWTH
 
 

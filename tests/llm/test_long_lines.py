@@ -182,3 +182,30 @@ def test_shingle_tasks_hold_few_words(spark):
         peak = tracemalloc.get_traced_memory()[1]
         tracemalloc.stop()
         assert len(out) == len(batch) and peak < most, peak
+
+
+def test_last_round_meets_all_pairs_left(spark, monkeypatch):
+    """Buckets of sets that are alike without being linked end in few rounds; before, leaders went on until none was left. Links are those of brute force."""
+    draw, similarity = random.Random(4), 0.8
+    own = [sorted(draw.sample(range(16), 12)) for _ in range(60)]
+    buckets = {1: range(0, 40), 2: range(20, 60), 3: range(55, 60)}
+    rows = []
+    for tid, s in enumerate(own):
+        marks, beyond = near_dup.marks_of(np.array(s, np.uint64))
+        rows.append((tid, s, marks.tolist(), beyond))
+    sets = spark.createDataFrame(rows, "tid long, set array<long>, marks array<long>, beyond int")
+    members = spark.createDataFrame([(b, t, len(ts)) for b, ts in buckets.items() for t in ts], "bucket long, tid long, n long")
+    labels, plain = [], near_dup.written
+    monkeypatch.setattr(near_dup, "written", lambda df, label="step": labels.append(label) or plain(df, label))
+    got = {r["tid"]: r["cls"] for r in near_dup._links(members, sets, similarity).collect()}
+    top = list(range(60))
+    for ts in buckets.values():
+        for a in ts:
+            for b in ts:
+                common = len({*own[a]} & {*own[b]})
+                if common >= similarity * (24 - common) and top[a] != top[b]:
+                    low, high = sorted((top[a], top[b]))
+                    top = [low if t == high else t for t in top]
+    alike = lambda of: {frozenset(t for t in range(60) if of[t] == c) for c in {of[t] for t in range(60)}}
+    assert 1 < len({*top}) < 60 and alike(got) == alike(top)
+    assert labels.count("verified") <= 3, labels
