@@ -13,6 +13,8 @@ from tabloom.session import new_path, scratch
 
 #: Characters of a chunk of texts in the last stage: half of the operator's own, as its workers share memory with those of all stages.
 CHUNK_CHARS = 14_000_000
+#: Words of a shard that is searched for test passages, for the same reason.
+SHARD_WORDS = 300_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -43,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; from the others the few hit words are cut out. Null and empty texts have no words and stay; an empty table, or an
     empty test set, changes nothing."""
-    found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"), shard_words=SHARD_WORDS)
     return _documents(decontaminate.cut_spans(found.filter(~decontaminate.contaminated())))
 
 

@@ -44,6 +44,13 @@ def _bytes_by_id(raw: bytes) -> dict[int, bytes]:
     return {rank: word for word, rank in _ranks(raw).items()}
 
 
+def _forget() -> None:
+    """At the end of a task: its worker stays for tasks of other kinds, which need no vocabulary."""
+    _bytes_by_id.cache_clear()
+    _ranks.cache_clear()
+    release()
+
+
 @lru_cache(4)
 def splitter(pattern: str):
     """The pattern's matches; white space is meant as Unicode has it, as in the library of the rank files."""
@@ -199,7 +206,8 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key:
                 chunks, numbers, coded = [], [], []
         if coded:
             yield _pack(np.concatenate(chunks), np.concatenate(numbers), coded)
-        release()
+        del known, chunks, numbers, coded
+        _forget()
 
     def put_together(places: pa.Table, coded: pa.Table) -> pa.Table:
         n = sum(coded.column("n").to_pylist())
@@ -215,6 +223,8 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key:
         values = flat[at]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
         rows = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32()))
+        del lengths, starts, flat, sequence, each, ends, at, values, bounds
+        release()
         return pa.Table.from_arrays([places.column("keys").combine_chunks().flatten(), rows], names=[key, ids])
 
     words = source.mapInArrow(chunk_words, "chunk long, no int, word binary")
@@ -231,5 +241,7 @@ def decode(coded: DataFrame, ranks: bytes, ids: str = "ids", decoded: str = "dec
         table = _bytes_by_id(ranks)
         for batch in batches:
             yield pa.array([b"".join(map(table.__getitem__, x.values.to_numpy().tolist())) if x.is_valid else None for x in batch], pa.binary())
+        del table
+        _forget()
 
     return coded.withColumn(decoded, F.arrow_udf(look_up, "binary")(F.col(ids)))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -133,11 +133,12 @@ class Phrases:
 
 def search_shard(texts: list[bytes | None], phrases: Phrases) -> list[tuple]:
     """Words, hit words, items and merged spans (word numbers, end exclusive) of every text."""
-    split = [words_of(t) for t in texts]
-    sizes = np.array([len(w) for w in split], np.int64)
+    # words become numbers text by text, as the words of a whole shard take six times the memory of their numbers
+    numbered = [np.fromiter(map(phrases.numbers.get, words_of(t), repeat(0)), np.int64) for t in texts]
+    sizes = np.array([len(n) for n in numbered], np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    number = phrases.numbers.get
-    ids = np.fromiter(map(number, chain.from_iterable(split), repeat(0)), np.int64, int(starts[-1]))
+    ids = np.concatenate([np.empty(0, np.int64), *numbered])
+    del numbered
     nothing = [(int(n), 0, [], []) for n in sizes]
     if not phrases.least or not len(ids):
         return nothing
@@ -212,7 +213,8 @@ def _finder(items: list[tuple[str, bytes | None]], width: int, shard_words: int)
             yield pa.array([dict(zip(("n_words", "n_hit", "items", "spans"), o)) for o in out], kind)
         release()
 
-    return F.arrow_udf(find, FOUND)
+    # called nondeterministic so that a filter on the results does not search the texts again, in a second worker of the task
+    return F.arrow_udf(find, FOUND).asNondeterministic()
 
 
 def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -265,8 +267,9 @@ def cut_spans(found: DataFrame, text: str = "text") -> DataFrame:
 
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for raw, spans in batches:
-            rows = zip(raw.to_pylist(), spans.to_pylist())
+            rows = ((t.as_py(), s.as_py()) for t, s in zip(raw, spans))
             yield pa.array([(_cut(t, s) if s else t).decode("utf-8", "replace") if t is not None else None for t, s in rows], pa.string())
+        release()
 
     return found.withColumn(text, F.when(F.size("spans") > 0, F.arrow_udf(cut, "string")(utf8(text), F.col("spans"))).otherwise(F.col(text)))
 

@@ -131,6 +131,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([_spread(t.as_py() or b"", most).tobytes() for t in batch], pa.binary())
+        release()
 
     rows = docs.select(F.col(key).alias("_k"), utf8(text).alias("_t")).join(F.broadcast(chosen), "_k")  # the bound of the broadcast is the parameter
     size = F.greatest(F.lit(1), F.ceil(F.coalesce(F.octet_length("_t"), F.lit(0)) / PASSAGE))

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +87,29 @@ def test_spans_are_cut_out(spark):
     assert got == {1: "Keep this: . And this.", 2: "nothing here", 3: None}
 
 
+def test_texts_are_searched_once_before_the_cut(spark):
+    """Before, the filter searched each text a second time, in a third worker of the task."""
+    docs = spark.createDataFrame([(1, "one two three four five six " * 20), (2, "seven " * 30 + "one two three four five six")], "doc_id long, text string")
+    items = spark.createDataFrame([(9, "one two three four five six")], "item_id long, text string")
+    cut = decontaminate.cut_spans(decontaminate.find_overlaps(docs, items).filter(F.expr("20 * n_hit < 10 * n_words")))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("find(") == plan.count("cut(") == 1, plan
+    assert [(r["doc_id"], r["text"].strip()) for r in cut.collect()] == [(2, ("seven " * 30).strip())]
+
+
+def test_a_shard_holds_numbers_of_words():
+    """Before, the words of a whole shard were held as objects of their own: 24 MB here."""
+    rnd = random.Random(6)
+    texts = [" ".join(f"word{rnd.randrange(90_000)}" for _ in range(1_000)).encode() for _ in range(400)]
+    phrases = decontaminate.Phrases([("a", b" ".join(texts[7].split()[5:30])), ("b", b"not there")], 13)
+    tracemalloc.start()
+    found = decontaminate.search_shard(texts, phrases)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[7] == (1_000, 25, ["a"], [{"start": 5, "end": 30}]) and {f[0] for f in found} == {1_000}
+    assert peak < 17e6, peak
+
+
 def test_overlaps_of_nothing(odd, nothing):
     items = odd.select(F.col("doc_id").alias("item_id"), "text")
     assert decontaminate.find_overlaps(nothing, items).count() == 0
