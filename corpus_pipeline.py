@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabloom.llm import byte_bpe, decontaminate, line_dedup, near_dup, quality_mil
 from tabloom.llm.common import table
 from tabloom.llm.queries import byte_tokenizer
-from tabloom.session import new_path, scratch
+from tabloom.session import new_path, scratch, written
 
-#: Characters of a chunk of texts in the last stage: half of the operator's own, as its workers share memory with those of all stages.
-CHUNK_CHARS = 14_000_000
+#: Characters of a chunk of texts in the last stage: a fraction of the operator's own, as its workers share memory with the heap after all stages.
+CHUNK_CHARS = 5_000_000
 #: Words of a shard that is searched for test passages, for the same reason.
 SHARD_WORDS = 300_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -46,14 +46,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Contaminated documents go; from the others the few hit words are cut out. Null and empty texts have no words and stay; an empty table, or an
     empty test set, changes nothing."""
     found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"), shard_words=SHARD_WORDS)
-    return _documents(decontaminate.cut_spans(found.filter(~decontaminate.contaminated())))
+    # stored before the cut: an executor keeps as many Python workers as its tasks have ever used at once, here one a task and not two
+    left = written(found.filter(~decontaminate.contaminated()).select(*COLUMNS, "spans"), "overlaps")
+    return _documents(decontaminate.cut_spans(left))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and a digest of what they decode to. Null and empty texts have no ids; repeated rows are encoded alike; an empty
     table gives an empty one."""
     ranks, pattern = byte_tokenizer()
-    both = byte_bpe.decode(byte_bpe.encode(docs, ranks, pattern, chunk_chars=CHUNK_CHARS), ranks)
+    # stored in between for the same reason
+    both = byte_bpe.decode(written(byte_bpe.encode(docs, ranks, pattern, chunk_chars=CHUNK_CHARS), "ids"), ranks)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -34,3 +34,10 @@ def test_stages_take_odd_rows(spark, odd_docs, name):
         assert len(out) == 8
     empty = stage(spark, odd_docs.limit(0), FOLDER)
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("name", ["benchmark decontamination", "byte-level BPE"])
+def test_a_task_needs_one_worker_at_a_time(spark, odd_docs, name):
+    """Executors keep the workers that their tasks have used at once. Before, three Python steps ran in one task, and two in another."""
+    plan = dict(corpus_pipeline.STAGES)[name](spark, odd_docs, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert sum(plan.count(node) for node in ("ArrowEvalPython", "FlatMapCoGroupsInArrow", "MapInArrow")) == 1, plan
