@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
@@ -19,6 +20,10 @@ from tabloom.llm.common import copied, release
 
 #: Characters of the texts that one chunk holds. A longer text is a chunk of its own.
 CHUNK_CHARS = 28_000_000
+#: Characters of the texts that are split at once.
+SPLIT_CHARS = 500_000
+#: The pattern that is split by the kinds of neighbouring signs; others take the splitter, with the same matches and more time.
+RUNS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Encoded words that are packed together on their way back to their chunks.
 PACK_WORDS = 200_000
 #: A vocabulary travels with the tasks; larger files than this are refused.
@@ -64,15 +69,69 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[s] for s in merge_pairs([word[i : i + 1] for i in range(len(word))], ranks.get)]
 
 
-class _Numbers(dict):
-    """Numbers words in the order they come. The empty word is always there, so that a chunk without words has one."""
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """Kind of every code point: 0 white space, 1 the blank, 2 letters, 3 numbers, 4 the rest, as the splitter's library has them."""
+    kinds = np.full(0x110000, 4, np.uint8)
+    points = np.arange(0x110000, dtype="<u4")
+    points[0xD800:0xE000] = 0  # not in any text
+    signs = points.tobytes().decode("utf-32-le")
+    for kind, name in enumerate((r"\p{White_Space}+", " ", r"\p{L}+", r"\p{N}+")):
+        for run in regex.finditer(name, signs):
+            kinds[run.start() : run.end()] = kind
+    return kinds
 
-    def __init__(self):
-        super().__init__({"": 0})
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        return n
+def _token_starts(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the matches of ``RUNS`` start in the UTF-8 bytes of joined texts, and how many each text has. ``bounds``: where texts start, and the end.
+
+    That pattern leaves no sign out, so a match is known by its first sign alone: one whose kind differs from the sign before
+    it, unless that is a blank, which goes with what follows. The last sign of a run of white space before other signs is cut off.
+    """
+    if len(raw) == 0:
+        return np.empty(0, np.int64), np.zeros(len(bounds) - 1, np.int64)
+    signs, places, firsts = raw, None, bounds[:-1]
+    if raw.max() >= 128:
+        signs = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), "<u4")
+        places = np.flatnonzero((raw & 0xC0) != 0x80)
+        firsts = np.searchsorted(places, firsts)
+    n, kinds = len(signs), _kinds()[signs]
+    first = np.zeros(n + 3, bool)
+    first[firsts] = True
+    first[n:] = True
+    white = kinds <= 1
+    begins = np.ones(n + 3, bool)
+    before, own = kinds[:-1], kinds[1:]
+    ahead = np.zeros(n, bool)
+    ahead[:-1] = ~(white[1:] | first[1:n])
+    begins[1:n] = np.where(white[1:], ~white[:-1] | ahead[1:], (before != own) & (before != 1)) | first[1:n]
+    # 's 't 'm 'd 're 've 'll, where a match may start at the quote
+    quotes = np.flatnonzero(signs == 39)
+    quotes = quotes[begins[quotes] & ~first[quotes + 1]]
+    padded = np.concatenate([signs[np.minimum(quotes + k, n - 1)] for k in (1, 2)]).reshape(2, -1)
+    short = np.isin(padded[0], np.frombuffer(b"stmd", np.uint8))
+    long = ~first[quotes + 2] & (((padded[1] == 101) & np.isin(padded[0], np.frombuffer(b"rv", np.uint8))) | ((padded[0] == 108) & (padded[1] == 108)))
+    begins[quotes[short | long] + 1] = False
+    begins[quotes[short] + 2] = True
+    begins[quotes[long] + 3] = True
+    starts = np.flatnonzero(begins[:n])
+    sizes = np.diff(np.searchsorted(starts, np.append(firsts, n)))
+    return (starts if places is None else places[starts]), sizes
+
+
+def _split(texts: pa.Array, pattern: str) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The matches of the pattern in all texts, one after the other, and how many each text has."""
+    if pattern != RUNS:
+        found = list(map(splitter(pattern), texts.to_pylist()))
+        matches = [w.encode("utf-8", "surrogatepass") for own in found for w in own]
+        return pa.array(matches, pa.binary()).dictionary_encode(), np.fromiter(map(len, found), np.int64, len(found))
+    _, offsets, body = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * texts.offset)
+    raw = np.frombuffer(body or b"", np.uint8)[bounds[0] : bounds[-1]]
+    starts, sizes = _token_starts(raw, bounds - bounds[0])
+    ends = np.append(starts, len(raw)).astype(np.int32)
+    matches = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+    return matches.dictionary_encode(), sizes
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, chunk_chars: int) -> Iterator[tuple]:
@@ -80,38 +139,52 @@ def _chunks(batches: Iterator[pa.RecordBatch], pattern: str, chunk_chars: int) -
 
     The chunk's name is a digest of its task, its order there and its words, so a second pass over other rows does not meet the first one.
     """
-    find, task, order = splitter(pattern), TaskContext.get().partitionId(), 0
-    numbers, keys, sizes, parts, chars = _Numbers(), [], [], [], 0
+    task, order = TaskContext.get().partitionId(), 0
+    # the empty word is always there, so that a chunk without words has one
+    no_words = pa.DictionaryArray.from_arrays(pa.array([], pa.int32()), pa.array([b""], pa.binary()))
+    keys, sizes, parts, chars = [], [], [no_words], 0
 
     def closed() -> tuple:
-        words = [w.encode("utf-8", "surrogatepass") for w in numbers]
-        sequence = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+        whole = pa.chunked_array(parts).unify_dictionaries()
+        words = whole.chunk(0).dictionary
+        sequence = np.concatenate([part.indices.to_numpy() for part in whole.chunks])
+        parts.clear()
+        del whole
         # frequent words get small numbers, which pack better
         order_by_count = np.argsort(-np.bincount(sequence, minlength=len(words)), kind="stable")
         rank = np.empty(len(words), np.uint32)
         rank[order_by_count] = np.arange(len(words), dtype=np.uint32)
-        sequence, words = rank[sequence], [words[i] for i in order_by_count]
-        digest = xxhash.xxh3_64(b"%d-%d-" % (task, order) + b"\x00".join(words))
-        digest.update(sequence.tobytes())
-        return digest.intdigest() & _LOW_BITS, pa.concat_arrays(keys), sizes, sequence, words
+        sequence, words = rank[sequence], words.take(pa.array(order_by_count))
+        digest = xxhash.xxh3_64(b"%d-%d-" % (task, order))
+        for part in (*words.buffers()[1:], sequence):
+            digest.update(part)
+        return digest.intdigest() & _LOW_BITS, pa.concat_arrays(keys), np.concatenate(sizes), sequence, words
+
+    def add(lo: int, hi: int) -> None:
+        part, own = _split(texts.slice(lo, hi - lo), pattern)
+        parts.append(part)
+        sizes.append(own)
+        keys.append(copied(batch.column(0).slice(lo, hi - lo)))
 
     for batch in batches:
-        first = 0
-        texts = batch.column(1)
-        for i in range(batch.num_rows):
-            text = texts[i].as_py() or ""
-            if chars and chars + len(text) > chunk_chars:
-                keys.append(copied(batch.column(0).slice(first, i - first)))
+        batch.column(1).validate(full=True)
+        texts = batch.column(1).cast(pa.large_string()).fill_null("")
+        first, held = 0, 0
+        for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
+            full = chars and chars + n > chunk_chars
+            if i > first and (full or held + n > SPLIT_CHARS):
+                add(first, i)
+                first, held = i, 0
+            if full:
                 yield closed()
-                numbers, keys, sizes, parts, chars, first, order = _Numbers(), [], [], [], 0, i, order + 1
-            own = np.fromiter(map(numbers.__getitem__, find(text)), np.uint32)
-            parts.append(own)
-            sizes.append(len(own))
-            chars += len(text)
-        keys.append(copied(batch.column(0).slice(first)))
+                keys, sizes, parts, chars, order = [], [], [no_words], 0, order + 1
+            chars += n
+            held += n
+        if batch.num_rows:
+            add(first, batch.num_rows)
     if sizes:
         yield closed()
-    del numbers, keys, sizes, parts
+    del keys, sizes
     release()
 
 
@@ -178,11 +251,10 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key:
     def chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, _, _, _, words in _chunks(batches, pattern, chunk_chars):
             # in order of the words, which packs better on the way
-            order = sorted(range(len(words)), key=words.__getitem__)
+            order = pc.array_sort_indices(words)
             for at in range(0, len(order), 50_000):
-                part = order[at : at + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(part), pa.int64()), pa.array(part, pa.int32()), pa.array([words[i] for i in part], pa.binary())],
-                                                 names=["chunk", "no", "word"])
+                part = order.slice(at, 50_000)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), chunk)), part.cast(pa.int32()), words.take(part)], names=["chunk", "no", "word"])
 
     def chunk_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, keys, sizes, sequence, words in _chunks(batches, pattern, chunk_chars):

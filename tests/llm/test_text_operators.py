@@ -5,8 +5,11 @@ import collections
 import hashlib
 import random
 import re
+import time
 import tracemalloc
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +146,38 @@ def test_encoding_equals_the_library_and_comes_back(spark, odd, tokenizer, chunk
     assert got == want
 
 
+def test_runs_of_signs_are_the_matches_of_the_splitter():
+    find, rnd = byte_bpe.splitter(byte_bpe.RUNS), random.Random(5)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    rnd.shuffle(every)
+    texts = [None, "", "".join(every)]
+    for signs in ("'' sretlvdmS1\n", "'  \n\t\x1c\x85\xa0\u3000\u200bsle1²٣Ⅳéñ日😀\u0301.-_\x00\r\ufeff"):
+        texts += ["".join(rnd.choice(signs) for _ in range(rnd.randrange(12))) for _ in range(4_000)]
+    for part in (pa.array(texts, pa.large_string()).fill_null(""), pa.array([t or "" for t in texts], pa.large_string()).slice(1)):
+        want = [find(t) for t in part.to_pylist()]
+        for pattern in (byte_bpe.RUNS, f"(?:{byte_bpe.RUNS})"):
+            words, sizes = byte_bpe._split(part, pattern)
+            assert sizes.tolist() == list(map(len, want))
+            assert words.dictionary.take(words.indices).to_pylist() == [w.encode() for own in want for w in own]
+
+
+def test_chunking_takes_less_time_than_the_matches_of_the_splitter(tokenizer, monkeypatch):
+    pattern, rnd = tokenizer[1], random.Random(6)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randrange(1, 9))) for _ in range(20_000)]
+    texts = [" ".join(rnd.choices(words, k=500)) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["k", "t"])
+    monkeypatch.setattr(byte_bpe, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+
+    def seconds(work) -> float:
+        began = time.process_time()
+        work()
+        return time.process_time() - began
+
+    find = byte_bpe.splitter(pattern)
+    alone = min(seconds(lambda: [len(find(t)) for t in texts]) for _ in range(3))
+    assert min(seconds(lambda: list(byte_bpe._chunks(iter([batch]), pattern, 1_000_000))) for _ in range(3)) < alone
+
+
 def test_encoding_of_nothing(nothing, tokenizer):
     ranks, pattern, _ = tokenizer
     assert byte_bpe.encode(nothing, ranks, pattern).count() == 0
